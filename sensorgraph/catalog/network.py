@@ -209,9 +209,14 @@ SPLIT_VIEWS = PANEL_VIEWS | {
 }
 
 
+def hourly_target(spark, sf):
+    # One row per sensor and hour: the length of a series is bounded by the hours covered.
+    return series.next_target(fx.speed_hourly(spark, sf), rows_per_task=None)
+
+
 def dense(spark, sf, edges=None):
     """The dense hourly panel with its targets, and the times it covers."""
-    readings = series.next_target(fx.speed_hourly(spark, sf))
+    readings = hourly_target(spark, sf)
     edges = fx.sensor_edges(spark, sf) if edges is None else edges
     times, ids = panel.time_index(readings), panel.node_ids(edges)
     cols = ["speed", panel.pick_target(readings)]
@@ -220,7 +225,7 @@ def dense(spark, sf, edges=None):
 
 @query("n04_target", fx.with_views(f"select sensor_id, timestamp, {r('target_speed', 'target')} from hourly_target", hourly_target=st.HOURLY_TARGET))
 def n04(spark, sf):
-    readings = series.next_target(fx.speed_hourly(spark, sf))
+    readings = hourly_target(spark, sf)
     return rounded(readings.select("sensor_id", "timestamp", F.col(panel.pick_target(readings)).alias("target")))
 
 

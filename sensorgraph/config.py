@@ -24,7 +24,7 @@ class SeriesConfig:
     frames: tuple[int, ...] = (3, 6, 12)
     tiebreak: str | None = None
     keep_scaled: bool = False
-    rows_per_task: int = ROWS_PER_TASK
+    rows_per_task: int | None = ROWS_PER_TASK
 
 
 @dataclass(frozen=True)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from sensorgraph.config import BROADCAST_ROWS, LINKS_PER_SLOT
 from sensorgraph.operators.reshape import fill_defaults
-from sensorgraph.operators.storage import shared_folder, stored
+from sensorgraph.operators.storage import stored, stored_by
 
 END_DEFAULTS = {
     "out_degree": 0,
@@ -140,12 +140,13 @@ def _pagerank(pairs, iterations, reset, store_every, sensor, broadcast_rows, lin
         "rank-links",
     )
     inflow = F.lit(reset) + F.lit(1 - reset) * F.coalesce(F.sum("passed"), F.lit(0.0))
-    sensors = links.where(F.col("source_sensor").eqNullSafe(F.col("destination_sensor")))
-    small = sensors.select("source_sensor").distinct().count() <= broadcast_rows
     if iterations == 0:
-        return sensors.select(F.col("source_sensor").alias(sensor)).distinct().withColumn(
-            "pagerank", F.lit(1.0)
-        )
+        return vertices(pairs, sensor=sensor).withColumn("pagerank", F.lit(1.0))
+    # Every sensor has a link, so few links mean few ranks; only otherwise are the sensors counted.
+    small = (
+        links.count() <= broadcast_rows
+        or links.select("source_sensor").distinct().count() <= broadcast_rows
+    )
     spread = None if small else SpreadLinks(links, links_per_slot)
     ranks = None
     for i in range(iterations):
@@ -163,7 +164,7 @@ def _pagerank(pairs, iterations, reset, store_every, sensor, broadcast_rows, lin
         ranks = passed.groupBy(F.col("destination_sensor").alias(sensor)).agg(
             inflow.alias("pagerank")
         )
-    return stored(ranks, "ranks")
+    return ranks
 
 
 class SpreadLinks:
@@ -174,7 +175,6 @@ class SpreadLinks:
     """
 
     def __init__(self, links: DataFrame, links_per_slot: int = LINKS_PER_SLOT):
-        spark = links.sparkSession
         self.hubs = stored(
             links.groupBy("source_sensor")
             .count()
@@ -183,14 +183,12 @@ class SpreadLinks:
             "hubs",
         )
         slots = F.coalesce("slots", F.lit(1))
-        shared_folder(spark)
-        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.links = (
+        self.links = stored_by(
             links.join(self.hubs, "source_sensor", "left")
             .withColumn("slot", F.pmod(F.xxhash64("destination_sensor"), slots).cast("int"))
-            .drop("slots")
-            .repartition(partitions, "source_sensor", "slot")
-            .checkpoint()
+            .drop("slots"),
+            "spread-links",
+            ["source_sensor", "slot"],
         )
 
     def join(self, values: DataFrame, sensor: str) -> DataFrame:

@@ -30,16 +30,20 @@ def over_ordered(
     columns: Callable[[WindowSpec], dict[str, Column]],
     before: int = 0,
     after: int = 0,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Adds ``columns(window)`` where the window runs over ``order`` within ``keys``.
 
     The columns may look at most ``before`` rows back and ``after`` rows ahead. ``order[0]`` is a number,
-    date or timestamp. Rows of one key with equal ``order[0]`` stay in one piece.
+    date or timestamp. Rows of one key with equal ``order[0]`` stay in one piece. The longest series is
+    counted first; ``rows_per_task=None`` skips that for series whose length is bounded by construction.
     """
+    plain = Window.partitionBy(*keys).orderBy(*order)
+    if rows_per_task is None:
+        return df.withColumns(columns(plain))
     longest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
     if longest <= rows_per_task:
-        return df.withColumns(columns(Window.partitionBy(*keys).orderBy(*order)))
+        return df.withColumns(columns(plain))
     pieces = _cut(df, keys, order[0], before, after, rows_per_task, longest)
     window = Window.partitionBy(*keys, _PIECE).orderBy(*order)
     return pieces.withColumns(columns(window)).where(_OWN).drop(_BUCKET, _PIECE, _OWN)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorgraph.config import NODES_PER_BLOCK, STEPS_PER_TASK
+from sensorgraph.config import BROADCAST_ROWS, NODES_PER_BLOCK, STEPS_PER_TASK
 from sensorgraph.functions.parsing import to_number
 from sensorgraph.operators.graph import vertices
 from sensorgraph.operators.reshape import fill_zero
@@ -97,6 +97,10 @@ def dense_panel(
         F.expr(f"id div {max(n_nodes, 1)}").alias("time_index"),
         (F.col("id") % max(n_nodes, 1)).alias("node_id"),
     )
+    if n_times <= BROADCAST_ROWS:
+        times = F.broadcast(times)
+    if n_nodes <= BROADCAST_ROWS:
+        ids = F.broadcast(ids)
     panel = (
         grid.join(times, "time_index")
         .join(ids, "node_id")

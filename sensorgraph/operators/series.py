@@ -43,7 +43,7 @@ def lag_columns(
     sensor: str = "sensor_id",
     time: str = "timestamp",
     value: str = "speed",
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Lags count rows, not minutes. Adds ``speed_change`` next to the lags."""
     return over_ordered(
@@ -60,7 +60,7 @@ def rolling_columns(
     sensor: str = "sensor_id",
     time: str = "timestamp",
     value: str = "speed",
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     return over_ordered(
         df, [sensor], _order(time, tiebreak), lambda w: rolling_parts(w, value, sizes),
@@ -76,7 +76,7 @@ def next_target(
     sensor: str = "sensor_id",
     time: str = "timestamp",
     value: str = "speed",
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """The value ``steps`` rows ahead; rows without one are dropped."""
     with_target = over_ordered(

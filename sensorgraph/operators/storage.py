@@ -36,3 +36,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored_by(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """Like ``stored``, bucketed and sorted by ``keys``: repeated joins on them do not shuffle it again.
+
+    The catalog entry is only needed to write and resolve the buckets, so it is dropped at once; the
+    files in the shared folder stay.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    table = "sensorgraph_" + path.rsplit("/", 1)[1].replace("-", "_")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (
+        df.repartition(buckets, *keys)
+        .write.bucketBy(buckets, *keys)
+        .sortBy(*keys)
+        .option("path", path)
+        .saveAsTable(table)
+    )
+    kept = spark.table(table).select("*")
+    kept.schema  # resolves the table before its name goes
+    spark.sql(f"drop table {table}")
+    return kept
