@@ -49,14 +49,14 @@ def s04(spark, sf):
     path = scratch_path(spark, "gold")
     tables.write_gold(fx.speed_long(spark, sf), path)
     # A second write replaces rows and schema.
-    tables.write_gold(calendar_columns(fx.speed_long(spark, sf)), path)
+    tables.write_gold(calendar_columns(fx.speed_long(spark, sf)), path, partitions=50)
     return tables.read_table(spark, path)
 
 
-@query("l05_sized_gold_round_trip", fx.with_views("select * from speed_long"))
+@query("l05_repartition_round_trip", fx.with_views("select * from speed_long"))
 def l05(spark, sf):
     path = scratch_path(spark, "gold")
-    tables.write_gold(fx.speed_long(spark, sf), path, partitions=None)
+    tables.write_gold(fx.speed_long(spark, sf), path, partitions=50, rows_per_file=1000)
     return tables.read_table(spark, path)
 
 

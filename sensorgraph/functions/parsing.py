@@ -16,4 +16,4 @@ def to_number(col: Column | str) -> Column:
 
 def to_ts(col: Column | str) -> Column:
     column = F.col(col) if isinstance(col, str) else col
-    return F.try_to_timestamp(column).cast("timestamp_ntz")
+    return column.try_cast("timestamp_ntz")

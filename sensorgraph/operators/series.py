@@ -10,6 +10,7 @@ from sensorgraph.operators.ordered import over_ordered
 from sensorgraph.operators.reshape import drop_missing
 
 TARGET = "target_speed"
+ROLLING = {"mean": F.avg, "std": F.stddev_samp, "max": F.max, "min": F.min}
 
 
 def lag_parts(window: WindowSpec, value: str, lags) -> dict[str, Column]:
@@ -19,11 +20,10 @@ def lag_parts(window: WindowSpec, value: str, lags) -> dict[str, Column]:
 
 def rolling_parts(window: WindowSpec, value: str, sizes) -> dict[str, Column]:
     """Frames end at the current row and are shorter at the start of a series."""
-    statistics = {"mean": F.avg, "std": F.stddev_samp, "max": F.max, "min": F.min}
     return {
         f"rolling_{name}_{n}": statistic(value).over(window.rowsBetween(1 - n, 0))
         for n in sizes
-        for name, statistic in statistics.items()
+        for name, statistic in ROLLING.items()
     }
 
 
@@ -31,6 +31,12 @@ def target_part(window: WindowSpec, value: str, steps: int = 1) -> dict[str, Col
     return {TARGET: F.lead(value, steps).over(window)}
 
 
+def window_column_names(cfg: SeriesConfig) -> list[str]:
+    """Names of the lag and rolling columns of ``series_columns``."""
+    lags = [f"lag_{k}" for k in cfg.lags]
+    return [*lags, "speed_change", *[f"rolling_{s}_{n}" for n in cfg.frames for s in ROLLING]]
+
+
 def _order(time: str, tiebreak: str | None) -> list[str]:
     return [time] if tiebreak is None else [time, tiebreak]
 

@@ -22,7 +22,7 @@ from sensorgraph.operators.reshape import (
     require_columns,
     vectors_to_arrays,
 )
-from sensorgraph.operators.series import TARGET, series_columns
+from sensorgraph.operators.series import TARGET, series_columns, window_column_names
 from sensorgraph.operators.storage import stored
 
 LARGE_COLUMNS = ("features", "scaled_features", "numeric_features")
@@ -37,17 +37,12 @@ def scaled_inputs(df: DataFrame, tiebreak: str | None = None) -> list[str]:
 def series_frame(df: DataFrame, cfg: SeriesConfig = SeriesConfig()) -> DataFrame:
     """Calendar, lag, rolling, label and cyclic columns of all rows that have a target."""
     require_columns(df, SERIES_COLUMNS)
-    windowed = series_columns(df, cfg)
-    kept = drop_missing(windowed, [TARGET])
-    added = calendar_parts("timestamp") | condition_parts(
-        free_flow=cfg.free_flow, moderate=cfg.moderate
-    ) | cyclic_parts("timestamp")
-    calendar, cyclic = list(calendar_parts("timestamp")), list(cyclic_parts("timestamp"))
-    labels = [c for c in added if c not in calendar and c not in cyclic]
-    window_columns = [c for c in windowed.columns if c not in df.columns and c != TARGET]
-    return kept.withColumns(added).select(
-        *df.columns, *calendar, *window_columns, *labels, *cyclic, TARGET
-    )
+    kept = drop_missing(series_columns(df, cfg), [TARGET])
+    calendar, cyclic = calendar_parts("timestamp"), cyclic_parts("timestamp")
+    labels = condition_parts(free_flow=cfg.free_flow, moderate=cfg.moderate)
+    made = [*calendar, *window_column_names(cfg), *labels, *cyclic, TARGET]
+    given = [c for c in df.columns if c not in made]
+    return kept.withColumns(calendar | labels | cyclic).select(*given, *made)
 
 
 def build_series_features(

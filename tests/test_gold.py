@@ -119,3 +119,11 @@ def test_gold_plan(spark):
     text = plan(gold_features(readings(spark), edges(spark, NETWORK)))
     assert text.count("Exchange hashpartitioning") == 1  # one shuffle of the readings
     assert "BroadcastHashJoin" in text and "Python" not in text
+
+
+def test_columns_that_exist_are_replaced(spark):
+    df = readings(spark).withColumns({"hour": F.lit(99), "lag_1": F.lit(-1.0), "lane": F.lit(2)})
+    frame = series_frame(df)
+    assert frame.columns[:4] == ["sensor_id", "timestamp", "speed", "lane"]
+    assert frame.agg(F.max("hour"), F.min("lag_1")).first()[0] < 24
+    assert len(frame.columns) == len(set(frame.columns))

@@ -37,12 +37,12 @@ def test_gold_write_replaces_rows_and_schema(spark, path):
     assert written.select(F.input_file_name()).distinct().count() == 7
 
 
-def test_gold_write_sized_by_spark(spark, path):
-    df = speeds(spark, [(i, at(i), float(i)) for i in range(200)]).repartition(20)
-    tables.write_gold(df, path, partitions=None)
+def test_gold_write_keeps_partitions_and_splits_files(spark, path):
+    df = speeds(spark, [(i, at(i), float(i)) for i in range(200)]).coalesce(1)
+    tables.write_gold(df, path, rows_per_file=30)
     written = tables.read_table(spark, path)
     assert written.count() == 200
-    assert written.select(F.input_file_name()).distinct().count() < 20
+    assert written.select(F.input_file_name()).distinct().count() == 7
 
 
 @pytest.mark.parametrize("codec", ["snappy", "gzip", "zstd", "lz4", "none"])
