@@ -56,18 +56,21 @@ def g05(spark, sf):
     return rounded(graph.transitions(fx.sensor_edges(spark, sf)))
 
 
-def _rank_query(name, edges):
+def _rank_query(name, edges, **options):
     last = f"rank_{st.ITERATIONS}"
 
     @query(
         name, fx.with_views(f"select s as sensor_id, {r('r', 'pagerank')} from {last}", **st.rank_views(edges))
     )
     def run(spark, sf):
-        return rounded(graph.pagerank(getattr(fx, edges)(spark, sf)))
+        return rounded(graph.pagerank(getattr(fx, edges)(spark, sf), **options))
 
 
 _rank_query("g06_pagerank", "sensor_edges")
 _rank_query("g06_pagerank_dangling", "supply_edges")
+# The way beyond the broadcast limit, with the links of most sensors spread over several slots.
+SPREAD = {"broadcast_rows": 0, "links_per_slot": 20}
+_rank_query("g06_pagerank_spread", "sensor_edges", **SPREAD)
 
 GRAPH_SQL = ", ".join(r(f"g.{c}", c) if c in END_ROUNDED else f"g.{c}" for c in graph.END_DEFAULTS)
 
@@ -84,16 +87,22 @@ def g07(spark, sf):
     return rounded(build_graph_features(fx.sensor_edges(spark, sf)))
 
 
-@query(
-    "g08_propagate",
-    fx.with_views(
-        f"select timestamp, b as sensor_id, {r('sum(speed * k)', 'speed')} from speed_hourly "
-        "join link on a = sensor_id group by timestamp, b",
-        **st.link_views("sensor_edges"),
-    ),
-)
-def g08(spark, sf):
-    return rounded(graph.propagate(fx.speed_hourly(spark, sf), fx.sensor_edges(spark, sf), ["speed"]))
+def _propagate_query(name, **options):
+    @query(
+        name,
+        fx.with_views(
+            f"select timestamp, b as sensor_id, {r('sum(speed * k)', 'speed')} from speed_hourly "
+            "join link on a = sensor_id group by timestamp, b",
+            **st.link_views("sensor_edges"),
+        ),
+    )
+    def run(spark, sf):
+        readings, edges = fx.speed_hourly(spark, sf), fx.sensor_edges(spark, sf)
+        return rounded(graph.propagate(readings, edges, ["speed"], **options))
+
+
+_propagate_query("g08_propagate")
+_propagate_query("g08_propagate_spread", **SPREAD)
 
 
 @query(
@@ -255,27 +264,35 @@ STEP_SQL = ", ".join(r(f"speed_sequence_{k}", f"speed_sequence_{k}") for k in ra
 STEP_WIDTHS = {"speed_sequence": SEQ.length}
 
 
-def sequences(spark, sf, split=True, cols=("speed",)):
+def sequences(spark, sf, split=True, cols=("speed",), steps_per_task=SEQ.steps_per_task):
     cells, times = dense(spark, sf)
     if split:
         cells = panel.chrono_split(cells, times, SEQ.train_fraction)
     return panel.sequences(
         cells, list(cols), "target_speed", SEQ.length, SEQ.horizon, "split" if split else None,
-        steps_per_task=SEQ.steps_per_task,
+        steps_per_task=steps_per_task,
     )
 
 
-@query(
-    "w08_sequences",
+SEQUENCE_SQL = (
     fx.with_views(
         f"select node_id, sensor_id, timestamp, time_index, {STEP_SQL}, {r('target', 'target')} "
         "from seq where target_index is not null",
         **PANEL_VIEWS,
         **sequence_view("panel", "sensor_id"),
-    ),
+    )
 )
-def w08(spark, sf):
-    return rounded(reshape.flatten_arrays(sequences(spark, sf, split=False), STEP_WIDTHS))
+
+
+def _sequence_query(name, steps_per_task):
+    @query(name, SEQUENCE_SQL)
+    def run(spark, sf):
+        found = sequences(spark, sf, split=False, steps_per_task=steps_per_task)
+        return rounded(reshape.flatten_arrays(found, STEP_WIDTHS))
+
+
+_sequence_query("w08_sequences", SEQ.steps_per_task)
+_sequence_query("w08_sequences_in_spans", 50)
 
 
 @query(

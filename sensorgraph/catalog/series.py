@@ -71,6 +71,22 @@ for _position, (_name, _digits) in enumerate({"mean": 6, "std": 4, "max": 6, "mi
     )
 
 
+@query(
+    "w09_cut_windows",
+    fx.with_views(
+        f"select {KEY_SQL}, "
+        + ", ".join(r(c, c, 4 if "std" in c else 6) for c in [*st.LAG, *st.CHANGE, *st.ROLLING, *st.TARGET])
+        + " from win",
+        win=st.windowed("speed_nullable"),
+    ),
+)
+def w09(spark, sf):
+    """All window columns with every series cut into pieces of about 16 rows."""
+    cut = SeriesConfig(tiebreak="event_id", rows_per_task=16)
+    windows = series.series_columns(fx.speed_nullable(spark, sf), cut).drop("speed")
+    return rounded(windows, **{c: 4 for c in st.ROLLING if "std" in c})
+
+
 @query(
     "w07_target",
     fx.with_views(

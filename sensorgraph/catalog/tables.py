@@ -13,6 +13,7 @@ from sensorgraph.functions.calendar import calendar_columns
 from sensorgraph.functions.parsing import to_number, to_ts
 from sensorgraph.operators import reshape
 from sensorgraph.operators.encode import label_index, one_hot
+from sensorgraph.operators.graph import restrict_to_graph
 from sensorgraph.operators.storage import scratch_path
 from sensorgraph.sources import inspect, tables
 
@@ -209,7 +210,7 @@ def p10(spark, sf):
     ),
 )
 def p11(spark, sf):
-    return reshape.restrict_to_graph(fx.speed_long(spark, sf), fx.trade_edges(spark, sf))
+    return restrict_to_graph(fx.speed_long(spark, sf), fx.trade_edges(spark, sf))
 
 
 @query("p12_drop_missing", fx.with_views("select * from speed_nullable where speed is not null"))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sensorgraph.operators.reshape import fill_zero, numeric_columns
+
 
 def label_frequency(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Rows per label of every column, as ``(column, label, count)``."""
@@ -54,12 +56,10 @@ def column_moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
-def minmax_parts(df: DataFrame, cols: Sequence[str]) -> dict[str, Column]:
-    """Expressions that map each column to [0, 1] by the ranges of ``df``; constants become 0.5."""
-    fitted = column_ranges(df, cols).first()
+def minmax_parts(ranges: Mapping[str, tuple[float | None, float | None]]) -> dict[str, Column]:
+    """Expressions that map each column to [0, 1] by its range; constants become 0.5."""
     parts = {}
-    for c in cols:
-        low, high = fitted[f"{c}_min"], fitted[f"{c}_max"]
+    for c, (low, high) in ranges.items():
         if low is None:
             parts[c] = F.lit(None).cast("double")
         elif low == high:
@@ -70,7 +70,8 @@ def minmax_parts(df: DataFrame, cols: Sequence[str]) -> dict[str, Column]:
 
 
 def minmax_scale(df: DataFrame, cols: Sequence[str], fit_df: DataFrame | None = None) -> DataFrame:
-    return df.withColumns(minmax_parts(df if fit_df is None else fit_df, cols))
+    fitted = column_ranges(df if fit_df is None else fit_df, cols).first()
+    return df.withColumns(minmax_parts({c: (fitted[f"{c}_min"], fitted[f"{c}_max"]) for c in cols}))
 
 
 def standard_scale(df: DataFrame, cols: Sequence[str], fit_df: DataFrame | None = None) -> DataFrame:
@@ -95,8 +96,6 @@ def standard_scale(df: DataFrame, cols: Sequence[str], fit_df: DataFrame | None
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str) -> DataFrame:
     """One vector of all columns (numbers or vectors); missing numbers count as 0."""
-    from sensorgraph.operators.reshape import fill_zero, numeric_columns
-
     numbers = [c for c in numeric_columns(df) if c in cols]
     assembler = VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="keep")
     return assembler.transform(fill_zero(df, numbers))

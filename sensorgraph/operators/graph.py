@@ -36,6 +36,11 @@ def vertices(edges: DataFrame, *, sensor: str = "sensor_id") -> DataFrame:
     return sources.union(edges.select("destination_sensor")).distinct()
 
 
+def restrict_to_graph(df: DataFrame, edges: DataFrame, *, sensor: str = "sensor_id") -> DataFrame:
+    """Rows whose sensor is an end of some edge."""
+    return df.join(stored(vertices(edges, sensor=sensor), "vertices"), sensor, "left_semi")
+
+
 def collapse_edges(edges: DataFrame) -> DataFrame:
     """One row per (source, destination): edge rows, summed weight and number of weights."""
     return edges.groupBy("source_sensor", "destination_sensor").agg(

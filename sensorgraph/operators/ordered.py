@@ -20,6 +20,7 @@ from sensorgraph.config import ROWS_PER_TASK
 from sensorgraph.operators.storage import stored
 
 BUCKETS_PER_PIECE = 64
+MOST_PARTITIONS = 50_000
 _BUCKET, _PIECE, _OWN = "__bucket", "__piece", "__own"
 
 
@@ -41,14 +42,25 @@ def over_ordered(
     plain = Window.partitionBy(*keys).orderBy(*order)
     if rows_per_task is None:
         return df.withColumns(columns(plain))
-    longest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    longest, total = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
+    longest, total = longest or 0, total or 0
     if longest <= rows_per_task:
-        return df.withColumns(columns(plain))
-    pieces = _cut(df, keys, order[0], before, after, rows_per_task, longest)
+        return _placed(df, keys, total).withColumns(columns(plain))
+    pieces = _placed(
+        _cut(df, keys, order[0], before, after, rows_per_task, longest), [*keys, _PIECE], total
+    )
     window = Window.partitionBy(*keys, _PIECE).orderBy(*order)
     return pieces.withColumns(columns(window)).where(_OWN).drop(_BUCKET, _PIECE, _OWN)
 
 
+def _placed(df: DataFrame, keys: Sequence[str], total: int) -> DataFrame:
+    """Places rows by ``keys`` in more partitions than the session's setting where the counted rows need
+    them; the window then uses this placement instead of its own."""
+    needed = min(-(-total // ROWS_PER_TASK), MOST_PARTITIONS)
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(needed, *keys) if needed > usual else df
+
+
 def _cut(df, keys, axis_name, before, after, rows_per_task, longest) -> DataFrame:
     axis = _axis(df, axis_name)
     low, high = df.agg(F.min(axis), F.max(axis)).first()

@@ -77,15 +77,6 @@ def flatten_arrays(df: DataFrame, widths: Mapping[str, int] | None = None) -> Da
     return df.select(*columns)
 
 
-def restrict_to_graph(df: DataFrame, edges: DataFrame, *, sensor: str = "sensor_id") -> DataFrame:
-    """Rows whose sensor is an end of some edge."""
-    from sensorgraph.operators.graph import vertices
-    from sensorgraph.operators.storage import stored
-
-    known = stored(vertices(edges, sensor=sensor), "vertices")
-    return df.join(known, sensor, "left_semi")
-
-
 def drop_missing(df: DataFrame, subset: Sequence[str]) -> DataFrame:
     """Drops rows where a column of ``subset`` is NULL or NaN."""
     return df.dropna(subset=list(subset))

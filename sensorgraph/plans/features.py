@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import MinMaxScaler, VectorAssembler
+from collections import Counter
+
+from pyspark.ml.feature import StringIndexerModel, VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorgraph.config import GoldConfig, GraphConfig, SeriesConfig
 from sensorgraph.functions.calendar import calendar_parts, cyclic_parts
 from sensorgraph.functions.labels import LABEL_COLUMNS, condition_parts
-from sensorgraph.operators.encode import label_index, one_hot
+from sensorgraph.operators.encode import minmax_parts, one_hot
 from sensorgraph.operators.graph import GRAPH_DEFAULTS, _end_features, _pagerank, collapse_edges
 from sensorgraph.operators.reshape import (
     EDGE_COLUMNS,
@@ -58,19 +61,51 @@ def build_series_features(
     them the pass that fits the ranges.
     """
     frame = series_frame(df, cfg)
-    encoded = one_hot(label_index(frame, LABEL_COLUMNS, fit_df), LABEL_COLUMNS)
     numbers = scaled_inputs(frame, cfg.tiebreak)
-    filled = fill_zero(encoded, numbers)
+    filled = fill_zero(frame, numbers)
+    fit_on = filled if fit_df is None else fill_zero(fit_df, numbers)
+    labels, ranges = _fit(fit_on, numbers if vectors else [])
+    indexed = filled
+    for c, known in labels.items():
+        indexed = StringIndexerModel.from_labels(known, c, f"{c}_index", "keep").transform(indexed)
+    encoded = one_hot(indexed, LABEL_COLUMNS)
     if not vectors:
-        return filled
-    assembled = VectorAssembler(
-        inputCols=numbers, outputCol="numeric_features", handleInvalid="keep"
+        return encoded
+    scaled = minmax_parts(ranges)
+    together = encoded.withColumns(
+        {
+            "numeric_features": array_to_vector(F.array(*[F.col(c).cast("double") for c in numbers])),
+            "scaled_features": array_to_vector(F.array(*[scaled[c] for c in numbers])),
+        }
     )
-    scaler = MinMaxScaler(inputCol="numeric_features", outputCol="scaled_features")
-    fit_on = fill_zero(frame if fit_df is None else fit_df, numbers)
-    scaled = scaler.fit(assembled.transform(fit_on)).transform(assembled.transform(filled))
     parts = ["scaled_features", *[f"{c}_vector" for c in LABEL_COLUMNS]]
-    return VectorAssembler(inputCols=parts, outputCol="features").transform(scaled)
+    return VectorAssembler(inputCols=parts, outputCol="features").transform(together)
+
+
+def _fit(frame: DataFrame, numbers: list[str]):
+    """Labels by falling frequency and column ranges, from one pass over ``frame``.
+
+    Rows are combined per combination of labels, of which there are at most 4 * 3 * 3 * 3.
+    """
+    groups = frame.groupBy(*LABEL_COLUMNS).agg(
+        F.count("*").alias("rows"),
+        *[F.min(c).cast("double").alias(f"{c}_min") for c in numbers],
+        *[F.max(c).cast("double").alias(f"{c}_max") for c in numbers],
+    ).collect()
+    labels = {}
+    for c in LABEL_COLUMNS:
+        counts = Counter()
+        for group in groups:
+            counts[group[c]] += group["rows"]
+        labels[c] = sorted(counts, key=lambda label: (-counts[label], label))
+    ranges = {
+        c: (
+            min((g[f"{c}_min"] for g in groups), default=None),
+            max((g[f"{c}_max"] for g in groups), default=None),
+        )
+        for c in numbers
+    }
+    return labels, ranges
 
 
 def build_graph_features(edges: DataFrame, cfg: GraphConfig = GraphConfig()) -> DataFrame:

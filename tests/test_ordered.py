@@ -57,15 +57,17 @@ def run(df, before, after, rows_per_task, order=("timestamp", "event_id"), keys=
     return {r["event_id"]: (r["back"], r["ahead"], tuple(r["frame"])) for r in rows}
 
 
-@pytest.mark.parametrize("rows_per_task", [1, 7, 40, 150, 10_000, None])
-@pytest.mark.parametrize("before, after", [(12, 1), (1, 3), (5, 12)])
+@pytest.mark.parametrize(
+    "rows_per_task, before, after",
+    [(1, 12, 1), (7, 5, 12), (40, 12, 1), (40, 1, 3), (150, 12, 1), (10_000, 5, 12), (None, 12, 1)],
+)
 def test_cut_windows_equal_brute_force(spark, rows_per_task, before, after):
     rows = skewed_rows()
     df = speeds(spark, rows, SCHEMA)
     assert run(df, before, after, rows_per_task) == expected(rows, before, after)
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(2))
 def test_random_data(spark, seed):
     rows = skewed_rows(seed + 10, 400)
     assert run(speeds(spark, rows, SCHEMA), 3, 2, 25) == expected(rows, 3, 2)
@@ -121,3 +123,20 @@ def test_pieces_are_bounded(spark):
     sizes = [r["count"] for r in pieces.groupBy("sensor_id", ordered._PIECE).count().collect()]
     assert max(sizes) < 2 * 200
     assert pieces.where(ordered._OWN).count() == len(rows)
+
+
+@pytest.mark.parametrize("rows_per_task", [30, 10_000])
+def test_many_rows_get_more_partitions_in_the_same_shuffle(spark, monkeypatch, rows_per_task):
+    from sensorgraph.operators import ordered
+
+    monkeypatch.setattr(ordered, "ROWS_PER_TASK", 40)
+    rows = skewed_rows(9, 400)
+    df = over_ordered(
+        speeds(spark, rows, SCHEMA), ["sensor_id"], ["timestamp", "event_id"],
+        lambda w: {"back": F.lag("speed", 2).over(w)}, before=2, rows_per_task=rows_per_task,
+    )
+    text = df._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in text.splitlines() if "Exchange hashpartitioning(sensor_id" in line]
+    assert len(windows) == 1 and ", 10), REPARTITION_BY_NUM" in windows[0]
+    found = {r["event_id"]: r["back"] for r in df.collect()}
+    assert found == {k: v[0] for k, v in expected(rows, 2, 1).items()}

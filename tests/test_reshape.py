@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sensorgraph.functions.parsing import to_number, to_ts
 from sensorgraph.operators import encode, reshape
+from sensorgraph.operators.graph import restrict_to_graph
 from tests.helpers import at, edges, speeds, values
 
 
@@ -69,7 +70,7 @@ def test_drop_if_present(spark):
 
 def test_restrict_to_graph(spark):
     df = speeds(spark, [(1, at(0), 1.0), (2, at(0), 1.0), (3, at(0), 1.0)])
-    kept = reshape.restrict_to_graph(df, edges(spark, [(1, 3, 1.0), (3, 3, 1.0)]))
+    kept = restrict_to_graph(df, edges(spark, [(1, 3, 1.0), (3, 3, 1.0)]))
     assert values(kept, "sensor_id", by=["sensor_id"]) == [(1,), (3,)]
 
 
