@@ -208,7 +208,7 @@ def stamped(spark, sf):
 def n03(spark, sf):
     readings = stamped(spark, sf)
     times, ids = panel.time_index(readings), panel.node_ids(fx.sensor_edges(spark, sf))
-    return panel.dense_panel(readings, times, ids, ["speed"], tiebreak="event_id")
+    return panel.dense_panel(readings, ["speed"], tiebreak="event_id", times=times, ids=ids)
 
 
 PANEL_VIEWS = {"hourly_target": st.HOURLY_TARGET, **st.panel_views("hourly_target")}
@@ -229,7 +229,7 @@ def dense(spark, sf, edges=None):
     edges = fx.sensor_edges(spark, sf) if edges is None else edges
     times, ids = panel.time_index(readings), panel.node_ids(edges)
     cols = ["speed", panel.pick_target(readings)]
-    return panel.dense_panel(readings, times, ids, cols), times
+    return panel.dense_panel(readings, cols, times=times, ids=ids), times
 
 
 @query("n04_target", fx.with_views(f"select sensor_id, timestamp, {r('target_speed', 'target')} from hourly_target", hourly_target=st.HOURLY_TARGET))
@@ -244,7 +244,7 @@ def n04(spark, sf):
 )
 def n05(spark, sf):
     cells, times = dense(spark, sf)
-    return rounded(panel.chrono_split(cells, times, SEQ.train_fraction))
+    return rounded(panel.chrono_split(cells, SEQ.train_fraction, times=times))
 
 
 def sequence_view(source: str, parts: str, cols=("speed",)) -> dict[str, str]:
@@ -267,10 +267,10 @@ STEP_WIDTHS = {"speed_sequence": SEQ.length}
 def sequences(spark, sf, split=True, cols=("speed",), steps_per_task=SEQ.steps_per_task):
     cells, times = dense(spark, sf)
     if split:
-        cells = panel.chrono_split(cells, times, SEQ.train_fraction)
+        cells = panel.chrono_split(cells, SEQ.train_fraction, times=times)
     return panel.sequences(
-        cells, list(cols), "target_speed", SEQ.length, SEQ.horizon, "split" if split else None,
-        steps_per_task=steps_per_task,
+        cells, SEQ.length, SEQ.horizon, "split" if split else None,
+        cols=cols, steps_per_task=steps_per_task,
     )
 
 
@@ -420,9 +420,9 @@ def _forecast(spark, sf, kind):
     cells = stored(cells, "panel")
     near = graph.propagate(cells, edges, ["speed"]).withColumnRenamed("speed", "neighbor_speed")
     joined = reshape.fill_zero(cells.join(near, ["timestamp", "sensor_id"], "left"), ["neighbor_speed"])
-    parted = panel.chrono_split(joined, times, SEQ.train_fraction)
+    parted = panel.chrono_split(joined, SEQ.train_fraction, times=times)
     inputs = ["speed", "neighbor_speed"]
-    samples = panel.sequences(parted, inputs, "target_speed", SEQ.length, SEQ.horizon, "split")
+    samples = panel.sequences(parted, SEQ.length, SEQ.horizon, "split", cols=inputs)
     widths = {f"{c}_sequence": SEQ.length for c in inputs}
     flat = stored(
         reshape.flatten_arrays(samples.withColumnRenamed("target", "actual"), widths), "samples"

@@ -69,20 +69,25 @@ def pick_target(df: DataFrame, *, value: str = "speed") -> str:
 
 def dense_panel(
     df: DataFrame,
-    times: DataFrame,
-    ids: DataFrame,
     cols: Sequence[str],
     mask_missing: bool = False,
     tiebreak: str | None = None,
     *,
+    times: DataFrame | None = None,
+    ids: DataFrame | None = None,
     sensor: str = "sensor_id",
     time: str = "timestamp",
 ) -> DataFrame:
     """One row per time of ``times`` and node of ``ids``; cells without a reading are 0.
 
-    Of several rows for a cell, the one with the highest ``tiebreak`` wins (the highest values without
+    ``times`` and ``ids`` (see ``time_index`` and ``node_ids``) default to the times and sensors of ``df``. Of
+    several rows for a cell, the one with the highest ``tiebreak`` wins (the highest values without
     one). ``mask_missing`` leaves empty cells NULL instead.
     """
+    if times is None:
+        times = time_index(df, time=time)
+    if ids is None:
+        ids = dense_index(df.select(sensor).distinct(), [sensor], "node_id")
     if tiebreak is None:
         highest = df.groupBy(time, sensor).agg(F.max(F.struct(*cols)).alias("cell"))
         cells = highest.select(time, sensor, "cell.*")
@@ -111,10 +116,21 @@ def dense_panel(
 
 
 def chrono_split(
-    panel: DataFrame, times: DataFrame, fraction: float = 0.8, split_col: str = "split"
+    panel: DataFrame,
+    fraction: float = 0.8,
+    *,
+    times: DataFrame | None = None,
+    split_col: str = "split",
 ) -> DataFrame:
-    """Marks the first ``int(fraction * times)`` times as ``train`` and the rest as ``validation``."""
-    cut = int(times.count() * fraction)
+    """Marks the first ``int(fraction * times)`` times as ``train`` and the rest as ``validation``.
+
+    Without ``times`` their number is read off the panel, which computes it once more.
+    """
+    if times is None:
+        total = panel.agg(F.max("time_index") + 1).first()[0] or 0
+    else:
+        total = times.count()
+    cut = int(total * fraction)
     return panel.withColumn(
         split_col, F.when(F.col("time_index") < cut, "train").otherwise("validation")
     )
@@ -122,21 +138,22 @@ def chrono_split(
 
 def sequences(
     panel: DataFrame,
-    cols: Sequence[str],
-    target: str,
     length: int = 12,
     horizon: int = 12,
     split_col: str | None = None,
     *,
+    cols: Sequence[str] = ("speed",),
+    target: str | None = None,
     sensor: str = "sensor_id",
     time: str = "timestamp",
     steps_per_task: int = STEPS_PER_TASK,
 ) -> DataFrame:
     """Windows of ``length`` consecutive steps with the target ``horizon`` steps after the first.
 
-    ``panel`` is dense. Long panels are cut into spans of ``steps_per_task`` steps; the first steps of a
+    ``panel`` is dense; the target is ``pick_target(panel)`` unless given. Long panels are cut into spans of ``steps_per_task`` steps; the first steps of a
     span are also read by the span before it, so no window is lost at a cut.
     """
+    target = target or pick_target(panel)
     reach = max(length - 1, horizon)
     span_steps = max(steps_per_task, reach)
     span = F.expr(f"time_index div {span_steps}")

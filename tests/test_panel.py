@@ -52,11 +52,16 @@ def grid(spark):
     return readings, panel.time_index(readings), ids
 
 
+def panel_of(grid, cols, **options):
+    readings, times, ids = grid
+    return panel.dense_panel(readings, cols, times=times, ids=ids, **options)
+
+
 CELLS = ["time_index", "node_id", "speed", "target_speed"]
 
 
 def test_dense_panel_last_row_wins_and_gaps_are_zero(grid):
-    df = panel.dense_panel(*grid, ["speed", "target_speed"], tiebreak="event_id")
+    df = panel_of(grid, ["speed", "target_speed"], tiebreak="event_id")
     assert values(df, *CELLS, by=["time_index", "node_id"]) == [
         (0, 0, 1.0, 2.0), (0, 1, 5.0, 6.0), (1, 0, 2.0, 3.0), (1, 1, 0.0, 0.0),
         (2, 0, 3.0, 4.0), (2, 1, 7.0, 0.0),
@@ -64,22 +69,29 @@ def test_dense_panel_last_row_wins_and_gaps_are_zero(grid):
 
 
 def test_dense_panel_without_tiebreak_takes_whole_rows(grid):
-    df = panel.dense_panel(*grid, ["speed", "target_speed"])
+    df = panel_of(grid, ["speed", "target_speed"])
     assert values(df.where("time_index = 0 and node_id = 1"), *CELLS, by=["node_id"]) == [(0, 1, 9.0, 9.0)]
 
 
 def test_dense_panel_can_mask_missing_cells(grid):
-    df = panel.dense_panel(*grid, ["speed", "target_speed"], mask_missing=True, tiebreak="event_id")
+    df = panel_of(grid, ["speed", "target_speed"], mask_missing=True, tiebreak="event_id")
     assert values(df.where("node_id = 1"), *CELLS, by=["time_index"]) == [
         (0, 1, 5.0, 6.0), (1, 1, None, None), (2, 1, 7.0, None)
     ]
 
 
 def test_dense_panel_uses_no_cross_join(grid):
-    text = plan(panel.dense_panel(*grid, ["speed"]))
+    text = plan(panel_of(grid, ["speed"]))
     assert "Cartesian" not in text and "NestedLoop" not in text and "Range" in text
 
 
+def test_dense_panel_of_its_own_times_and_sensors(spark):
+    df = panel.dense_panel(speeds(spark, [(7, at(0), 1.0), (3, at(5), 2.0)]), ["speed"])
+    assert values(df, "sensor_id", *CELLS[:3], by=["time_index", "node_id"]) == [
+        (3, 0, 0, 0.0), (7, 0, 1, 1.0), (3, 1, 0, 2.0), (7, 1, 1, 0.0)
+    ]
+
+
 def test_pick_target(grid):
     readings = grid[0]
     assert panel.pick_target(readings) == "target_speed"
@@ -113,7 +125,9 @@ def brute_sequences(rows, length, horizon, parts):
 @pytest.mark.parametrize("length, horizon", [(12, 12), (3, 5), (5, 2)])
 def test_sequences_equal_brute_force(spark, steps_per_task, length, horizon):
     df = dense(spark, 61, 3)
-    found = panel.sequences(df, ["speed"], "goal", length, horizon, steps_per_task=steps_per_task)
+    found = panel.sequences(
+        df, length, horizon, cols=["speed"], target="goal", steps_per_task=steps_per_task
+    )
     assert {
         (r["node_id"], r["time_index"]): (r["speed_sequence"], r["target"]) for r in found.collect()
     } == brute_sequences(df.collect(), length, horizon, [])
@@ -122,9 +136,10 @@ def test_sequences_equal_brute_force(spark, steps_per_task, length, horizon):
 def test_split_sequences_do_not_cross_the_cut(spark):
     df = dense(spark, 50, 2)
     times = df.select("timestamp", "time_index").distinct()
-    parted = panel.chrono_split(df, times, 0.61)
+    parted = panel.chrono_split(df, 0.61, times=times)
+    assert parted.exceptAll(panel.chrono_split(df, 0.61)).count() == 0
     assert parted.where("split = 'train'").agg(F.max("time_index")).first()[0] == int(50 * 0.61) - 1
-    found = panel.sequences(parted, ["speed"], "goal", 4, 4, "split", steps_per_task=7)
+    found = panel.sequences(parted, 4, 4, "split", target="goal", steps_per_task=7)
     assert {
         (r["node_id"], r["split"], r["time_index"]): (r["speed_sequence"], r["target"])
         for r in found.collect()
@@ -133,7 +148,7 @@ def test_split_sequences_do_not_cross_the_cut(spark):
 
 
 def test_sequence_of_target_column_only_once(spark):
-    found = panel.sequences(dense(spark, 20, 1), ["goal"], "goal", 3, 3)
+    found = panel.sequences(dense(spark, 20, 1), 3, 3, cols=["goal"], target="goal")
     assert found.count() == 17 and found.columns[-2:] == ["goal_sequence", "target"]
 
 
@@ -165,7 +180,7 @@ def test_metrics(spark):
 
 
 def test_persistence_takes_the_last_step(spark):
-    found = forecast.persistence(panel.sequences(dense(spark, 6, 1), ["goal"], "goal", 2, 3), "goal")
+    found = forecast.persistence(panel.sequences(dense(spark, 6, 1), 2, 3, cols=["goal"], target="goal"), "goal")
     assert values(found, "actual", "predicted", by=["time_index"]) == [(6.0, 2.0), (8.0, 4.0), (10.0, 6.0)]
 
 
