@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorgraph.llm.decontamination import find_passages, items_digest
 from sensorgraph.llm.quality_rules import quality_verdicts
 from sensorgraph.llm.token_counts import length_histogram, length_sums
 
@@ -65,3 +66,44 @@ from counted
 @query("op10_quality_rules", OP10_SQL)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return quality_verdicts(table(spark, folder, "documents"))
+
+
+OP3_SQL = r"""
+with items as (
+  select item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+docs as (
+  select doc_id, regexp_extract_all(
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+phrases as (
+  select distinct item_id, n, array_to_string(w[i:i + n - 1], ' ') as s
+  from (select item_id, w, least(10, len(w)) as n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i
+        from items where len(w) > 0)),
+places as (
+  select doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') as s
+  from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i
+        from docs, (select distinct n from phrases) where len(w) >= n)),
+hits as (select doc_id, item_id, i, p.n from places p join phrases q on p.s = q.s and p.n = q.n),
+words as (
+  select doc_id, count(distinct k) as n from (select doc_id, unnest(range(i, i + n)) as k from hits) group by doc_id),
+found as (
+  select doc_id, count(*) as n, string_agg(item_id::varchar, ',' order by item_id::varchar) as ids
+  from (select distinct doc_id, item_id from hits) group by doc_id)
+select doc_id, len(w)::bigint as n_words, coalesce(words.n, 0)::bigint as n_hit, coalesce(found.n, 0)::bigint as n_items,
+       sha256(coalesce(ids, '')) as items_sha256, coalesce(words.n, 0) > 0 as contaminated
+from docs left join words using (doc_id) left join found using (doc_id)
+"""
+
+
+@query("op3_benchmark_decontamination", OP3_SQL)
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        items_digest().alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
