@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorgraph.llm.decontamination import find_passages, items_digest
+from sensorgraph.llm.packing import pack
 from sensorgraph.llm.quality_rules import quality_verdicts
 from sensorgraph.llm.token_counts import length_histogram, length_sums
 
@@ -107,3 +108,8 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
         items_digest().alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query("op7_best_fit_packing")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(table(spark, folder, "documents"))

@@ -127,34 +127,31 @@ def best_knapsack(prices: np.ndarray, lengths: np.ndarray, capacity: int) -> tup
     return float(best[capacity]), counts
 
 
-def configurations(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = 120) -> list[tuple[np.ndarray, int]]:
+def configurations(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = 200) -> list[tuple[np.ndarray, int]]:
     """Patterns (count per length) with how often each is used, covering every count exactly.
 
-    The covering program, min sum x_c with each length covered, is solved by multiplicative weights: lengths covered
-    less get dearer, the knapsack gives the best pattern at these prices, and the mean of the patterns, scaled, is the
-    solution. It is rounded down; what is left, at most a few items per pattern, is filled largest first.
+    The covering program, min sum x_c with each length covered, is solved by multiplicative weights: a length gets
+    cheaper as it is covered, the knapsack gives the best pattern at these prices, and the uses of the patterns, scaled
+    to cover the total once, are the solution. They are rounded down; what is left is filled largest first.
     """
     plan: dict[bytes, int] = {}
     left = counts.astype(np.int64).copy()
     if len(lengths):
-        weights, chosen = np.ones(len(lengths)), {}
+        weights, chosen = counts * lengths.astype(float), {}
         covered = np.zeros(len(lengths))
-        share = counts / counts.sum()
         for _ in range(rounds):
-            prices = weights / (weights @ share)
-            _, pattern = best_knapsack(prices, lengths, capacity)
+            _, pattern = best_knapsack(weights / counts / capacity, lengths, capacity)
             pattern = np.minimum(pattern, counts)
-            covered += pattern
-            chosen[pattern.tobytes()] = chosen.get(pattern.tobytes(), 0) + 1
-            gain = pattern / np.maximum(share, 1e-12)
-            weights *= np.exp(-0.5 * gain / max(gain.max(), 1e-12))
-            weights = np.maximum(weights / weights.max(), 1e-9)
-        # Each round stands for as many sequences as the total needs; whole copies only, and never beyond what is left.
-        scale = counts.sum() / max(covered.sum(), 1)
-        for key, times in sorted(chosen.items(), key=lambda x: -(np.frombuffer(x[0], np.int64) @ lengths)):
+            used = pattern > 0
+            times = float((counts[used] / pattern[used]).min())  # the step that covers one length in full
+            covered += times * pattern
+            chosen[pattern.tobytes()] = chosen.get(pattern.tobytes(), 0.0) + times
+            weights[used] *= np.exp(-0.5 * times * pattern[used] / counts[used])
+        scale = min(1.0, float(counts @ lengths) / float(covered @ lengths))
+        for key, times in sorted(chosen.items(), key=lambda x: -x[1]):
             pattern = np.frombuffer(key, np.int64)
             used = pattern > 0
-            if pattern[used] @ lengths[used] < capacity - capacity // 256:
+            if pattern @ lengths < capacity - capacity // 256:
                 continue  # a pattern with much waste is left to the filling
             copies = min(int(times * scale), int((left[used] // pattern[used]).min()))
             if copies > 0:
