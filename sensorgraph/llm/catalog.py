@@ -11,6 +11,8 @@ from sensorgraph.llm.decontamination import find_passages, items_digest
 from sensorgraph.llm.packing import pack
 from sensorgraph.llm.quality_rules import quality_verdicts
 from sensorgraph.llm.token_counts import length_histogram, length_sums
+from sensorgraph.llm.warc import read_archives, write_archives
+from sensorgraph.operators.storage import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -113,3 +115,20 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_best_fit_packing")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"))
+
+
+OP4_SQL = """
+with p as (
+  select page_id, coalesce(html, '') as h, strlen(coalesce(html, '')) as n,
+         min(page_id) over (partition by coalesce(html, '')) as first from pages)
+select page_id, n::bigint as payload_bytes, sha256(h) as payload_digest,
+       case when n >= 100 and first <> page_id then 'revisit' else 'response' end as record_type,
+       case when n >= 100 and first <> page_id then first end as refers_to
+from p
+"""
+
+
+@query("op4_warc", OP4_SQL)
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    manifest = write_archives(table(spark, folder, "pages"), scratch_path(spark, "warc"))
+    return read_archives(manifest).drop("url", "payload")
