@@ -11,6 +11,7 @@ from sensorgraph.llm.decontamination import find_passages, items_digest
 from sensorgraph.llm.packing import pack
 from sensorgraph.llm.quality_rules import quality_verdicts
 from sensorgraph.llm.token_counts import length_histogram, length_sums
+from sensorgraph.llm import toxicity
 from sensorgraph.llm.warc import read_archives, write_archives
 from sensorgraph.operators.storage import scratch_path
 
@@ -132,3 +133,12 @@ from p
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     manifest = write_archives(table(spark, folder, "pages"), scratch_path(spark, "warc"))
     return read_archives(manifest).drop("url", "payload")
+
+
+@query("op9_toxicity")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    model = toxicity.fit(documents, table(spark, folder, "labels"))
+    return toxicity.score(documents, model).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
