@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorgraph.llm.decontamination import find_passages, items_digest
+from sensorgraph.llm.language_id import document_rows, identify, page_rows
 from sensorgraph.llm.packing import pack
 from sensorgraph.llm.quality_rules import quality_verdicts
 from sensorgraph.llm.token_counts import length_histogram, length_sums
@@ -142,3 +143,13 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(documents, model).select(
         "doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+@query("op8_language_id")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents (``doc_id``) and pages (``page_id``) together: pages bring markup and addresses, documents the labels."""
+    rows = document_rows(table(spark, folder, "documents")).unionByName(page_rows(table(spark, folder, "pages")))
+    of = lambda kind: F.when(F.col("kind") == kind, F.col("id"))
+    return identify(rows).select(
+        of("document").alias("doc_id"), of("page").alias("page_id"), "host", "language", "confidence", F.col("accepted").alias("kept")
+    )
