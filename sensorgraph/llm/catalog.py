@@ -11,6 +11,7 @@ from sensorgraph.llm.decontamination import find_passages, items_digest
 from sensorgraph.llm.language_id import document_rows, identify, page_rows
 from sensorgraph.llm.packing import pack
 from sensorgraph.llm.quality_rules import quality_verdicts
+from sensorgraph.llm.suffix_dedup import remove_repeats
 from sensorgraph.llm.token_counts import length_histogram, length_sums
 from sensorgraph.llm import toxicity
 from sensorgraph.llm.warc import read_archives, write_archives
@@ -153,3 +154,11 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return identify(rows).select(
         of("document").alias("doc_id"), of("page").alias("page_id"), "host", "language", "confidence", F.col("accepted").alias("kept")
     )
+
+
+@query("op6_suffix_array_dedup")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    found = remove_repeats(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )

@@ -26,3 +26,21 @@ def packing_faults(rows, texts, encode, capacity=2048, end_id=0):
         if end > capacity:
             faults.append(("long", sequence))
     return faults
+
+
+def repeated_bytes(texts, length=50):
+    """Per id: bytes, removed bytes, removed runs and the kept bytes, by a table of all strings."""
+    least, out = {}, {}
+    for doc, text in sorted(texts.items()):
+        raw = (text or "").encode()
+        for p in range(len(raw) - length + 1):
+            least.setdefault(raw[p : p + length], doc)
+    for doc, text in texts.items():
+        raw = (text or "").encode()
+        gone = bytearray(len(raw) + 1)
+        for p in range(len(raw) - length + 1):
+            if least[raw[p : p + length]] < doc:
+                gone[p : p + length] = b"\1" * length
+        runs = sum(1 for k in range(len(raw)) if gone[k] and not (k and gone[k - 1]))
+        out[doc] = (len(raw), sum(gone), runs, bytes(b for k, b in enumerate(raw) if not gone[k]))
+    return out
