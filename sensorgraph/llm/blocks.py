@@ -1,4 +1,4 @@
-"""Blocks of documents in the shared folder, and the exchange that tells each block which of its codes are shared.
+"""Blocks of documents in the shared folder, and the exchange that tells each block how frequent its codes are.
 
 A block is a file with the ids and texts of some documents, written once. Tasks that need the texts again read the
 file, so texts are never shuffled; what moves are codes of 8 bytes, packed per block and bucket.
@@ -7,6 +7,7 @@ file, so texts are never shuffled; what moves are codes of 8 bytes, packed per b
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -21,7 +22,7 @@ from sensorgraph.operators.storage import scratch_path, stored
 
 BLOCK_BYTES = 8 << 20
 BUCKET_BYTES = 2 << 20
-CODE_BYTES = 6  # of a code's 8; the highest are its bucket
+CODE_BYTES = 5  # of a code's 8; the highest are its bucket
 
 
 def file_system(path: str):
@@ -54,6 +55,25 @@ def unpacked(payload: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+def code_rows(block: str, codes: np.ndarray, bits: int) -> pa.RecordBatch:
+    """Sorted codes as one row per bucket; a row of bucket -1 if there are none."""
+    rows = [(k, packed(codes[a:b])) for k, a, b in by_bucket(codes, bits)] if len(codes) else [(-1, b"")]
+    columns = [pa.array([block] * len(rows)), pa.array([k for k, _ in rows], pa.int64()), pa.array([p for _, p in rows], pa.binary())]
+    return pa.record_batch(columns, ["block", "bucket", "payload"])
+
+
+def doubled(codes: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Sorted distinct codes, those of several documents twice."""
+    order = np.lexsort((doc, codes))
+    codes, doc = codes[order], doc[order]
+    new = np.concatenate(([True], codes[1:] != codes[:-1])) if len(codes) else np.zeros(0, bool)
+    first = np.flatnonzero(new)
+    group = np.cumsum(new) - 1
+    several = np.zeros(len(first), bool)
+    several[group[doc != doc[first][group]]] = True
+    return np.repeat(codes[first], 1 + several)
+
+
 def read_block(path: str) -> pa.Table:
     system, place = file_system(path)
     with system.open_input_file(place) as file:
@@ -90,11 +110,7 @@ def write_blocks(docs: DataFrame, id_col: str, text_col: str, codes_of: Callable
                 pq.write_table(block, out, compression="zstd", compression_level=6, use_dictionary=False, write_statistics=False)
             waiting, size, number = [], 0, number + 1
             codes = codes_of(*block_texts(block))
-            rows = [(k, packed(codes[a:b])) for k, a, b in by_bucket(codes, bits)] if len(codes) else [(-1, b"")]
-            return pa.record_batch(
-                [pa.array([f"{folder}/{name}"] * len(rows)), pa.array([k for k, _ in rows], pa.int64()), pa.array([p for _, p in rows], pa.binary())],
-                ["block", "bucket", "payload"],
-            )
+            return code_rows(f"{folder}/{name}", codes, bits)
 
         for batch in batches:
             for part in _split(batch, block_bytes):
@@ -115,24 +131,24 @@ def _split(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
         yield batch.slice(a, step)
 
 
-def shared_codes(codes: DataFrame) -> DataFrame:
-    """``block, bucket, mask``: one bit per code of a row, set if the code occurs at least twice in all blocks."""
+def code_levels(codes: DataFrame) -> DataFrame:
+    """``block, bucket, levels``: per code of a row a byte, 1 + the whole logarithm of its count in all blocks."""
 
     def run(group: pa.Table) -> pa.Table:
         parts = [unpacked(p.as_py()) for p in group.column("payload")]
-        values, where, count = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
-        shared = count[where] >= 2
+        _, where, count = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+        level = (1 + np.log2(count)).astype(np.uint8)[where]
         ends = np.cumsum([len(p) for p in parts])
-        masks = [np.packbits(shared[b - len(p) : b]).tobytes() for p, b in zip(parts, ends.tolist(), strict=True)]
-        return pa.table({"block": group.column("block"), "bucket": group.column("bucket"), "mask": pa.array(masks, pa.binary())})
+        out = [zlib.compress(level[b - len(p) : b].tobytes(), 1) for p, b in zip(parts, ends.tolist(), strict=True)]
+        return pa.table({"block": group.column("block"), "bucket": group.column("bucket"), "levels": pa.array(out, pa.binary())})
 
-    found = codes.where("bucket >= 0").groupBy("bucket").applyInArrow(run, "block string, bucket long, mask binary")
-    alone = codes.where("bucket < 0").select("block", "bucket", F.col("payload").alias("mask"))
+    found = codes.where("bucket >= 0").groupBy("bucket").applyInArrow(run, "block string, bucket long, levels binary")
+    alone = codes.where("bucket < 0").select("block", "bucket", F.col("payload").alias("levels"))
     return found.unionByName(alone)
 
 
-def mask_of(group: pa.Table, codes: np.ndarray, bits: int) -> np.ndarray:
-    """The bits of a block's rows in the order of its sorted codes."""
-    masks = dict(zip(group.column("bucket").to_pylist(), group.column("mask").to_pylist(), strict=True))
-    parts = [np.unpackbits(np.frombuffer(masks[k], np.uint8), count=b - a) for k, a, b in by_bucket(codes, bits)] if len(codes) else []
-    return np.concatenate(parts).astype(bool) if parts else np.zeros(0, bool)
+def levels_of(group: pa.Table, codes: np.ndarray, bits: int) -> np.ndarray:
+    """The levels of a block's rows in the order of its sorted codes."""
+    rows = dict(zip(group.column("bucket").to_pylist(), group.column("levels").to_pylist(), strict=True))
+    parts = [np.frombuffer(zlib.decompress(rows[k]), np.uint8) for k, _, _ in by_bucket(codes, bits)] if len(codes) else []
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint8)

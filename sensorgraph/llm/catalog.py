@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorgraph.llm.decontamination import find_passages, items_digest
+from sensorgraph.llm.jaccard_join import near_duplicate_classes
 from sensorgraph.llm.language_id import document_rows, identify, page_rows
 from sensorgraph.llm.packing import pack
 from sensorgraph.llm.quality_rules import quality_verdicts
@@ -187,3 +188,28 @@ from rows left join kept using (doc_id) left join (select doc_id, count(*) as n
 @query("op2_substring_dedup", OP2_SQL)
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeated_sentences(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+OP5_SQL = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+') as w from documents),
+shingles as (
+  select distinct doc_id, md5(array_to_string(w[i:i + 4], ' ')) as s
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) as i from words where len(w) > 0)),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+common as (
+  select a.doc_id as x, b.doc_id as y, count(*) as c
+  from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by all),
+links as (
+  select x, y from common join sizes p on p.doc_id = x join sizes q on q.doc_id = y where 100 * c >= 75 * (p.n + q.n - c)),
+both_ways as (select x, y from links union all select y, x from links),
+reach as (select x as doc_id, y as other from both_ways union select r.doc_id, b.y from reach r join both_ways b on r.other = b.x)
+select d.doc_id, coalesce(any_value(n), 0)::bigint as n_shingles, least(d.doc_id, min(other)) as component_id
+from documents d left join sizes using (doc_id) left join reach using (doc_id) group by d.doc_id
+"""
+
+
+@query("op5_jaccard_join", OP5_SQL)
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicate_classes(table(spark, folder, "documents"))

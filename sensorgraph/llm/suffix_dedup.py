@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from sensorgraph.llm.blocks import block_texts, bucket_bits, by_bucket, mask_of, read_block, shared_codes, write_blocks
+from sensorgraph.llm.blocks import block_texts, bucket_bits, by_bucket, code_levels, doubled, levels_of, read_block, write_blocks
 from sensorgraph.llm.text import _BYTE_CODES, PIECE_BYTES, _INVERSE, _MULTIPLIER, mixed, pieces, powers, ranges
 
 LENGTH = 50
@@ -72,26 +72,15 @@ def parse(data: np.ndarray, offsets: np.ndarray) -> Phrases:
 def _trigger_codes(ids: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Triggers of a block, sorted; twice if two of its documents have it."""
     phrases = parse(data, offsets)
-    return _distinct(phrases.trigger, ids[phrases.doc])
-
-
-def _distinct(trigger: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    order = np.lexsort((doc, trigger))
-    trigger, doc = trigger[order], doc[order]
-    new = np.concatenate(([True], trigger[1:] != trigger[:-1])) if len(trigger) else np.zeros(0, bool)
-    group = np.cumsum(new) - 1
-    first = np.flatnonzero(new)
-    several = np.zeros(len(first), bool)
-    several[group[doc != doc[first][group]]] = True
-    return np.repeat(trigger[first], 1 + several)
+    return doubled(phrases.trigger, ids[phrases.doc])
 
 
 def _shared_phrases(path: str, group: pa.Table, bits: int):
     """The phrases of a block whose trigger another document has too: one of each, its smallest id, all occurrences."""
     ids, data, offsets = block_texts(read_block(path))
     phrases = parse(data, offsets)
-    codes = _distinct(phrases.trigger, ids[phrases.doc])
-    wanted = np.unique(codes[mask_of(group, codes, bits)])
+    codes = doubled(phrases.trigger, ids[phrases.doc])
+    wanted = np.unique(codes[levels_of(group, codes, bits) > 1])
     if len(wanted):
         at = np.minimum(np.searchsorted(wanted, phrases.trigger), len(wanted) - 1)
         kept = np.flatnonzero(wanted[at] == phrases.trigger)
@@ -206,7 +195,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Prefix-free parsing: the hash rolling over 24 bytes triggers where it is the least of a string, which every
     string of 50 bytes has exactly once, and a phrase is the text of all strings of one trigger. Phrases without a trigger
-    in two documents are done with after one exchange of 6-byte codes. The others' dictionary (each phrase once per
+    in two documents are done with after one exchange of 5-byte codes. The others' dictionary (each phrase once per
     block) is dealt out by trigger, sorted by suffixes, and the parse (which phrase stands where) takes the order's
     groups back to the texts. Phrases overlap by 49 bytes, so the order to 50 bytes never leaves the phrase and the parse
     itself need not be sorted. Texts are written once in blocks and read from there; a trigger that very many documents
@@ -217,8 +206,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     bits = bucket_bits(docs)
     codes = write_blocks(docs, id_col, text_col, _trigger_codes, bits)
-    masks = shared_codes(codes)
-    rows = masks.groupBy("block").applyInArrow(lambda g: _dictionary_rows(g, bits), "block string, bucket long, payload binary")
+    levels = code_levels(codes)
+    rows = levels.groupBy("block").applyInArrow(lambda g: _dictionary_rows(g, bits), "block string, bucket long, payload binary")
     judged = rows.groupBy("bucket").applyInArrow(_judged, "block string, bucket long, least binary")
-    both = masks.join(judged, ["block", "bucket"], "left").select("block", "bucket", "mask", "least")
+    both = levels.join(judged, ["block", "bucket"], "left").select("block", "bucket", "levels", "least")
     return both.groupBy("block").applyInArrow(lambda g: _removed(g, bits), _OUT)
