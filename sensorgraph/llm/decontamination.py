@@ -16,10 +16,6 @@ SHARD_BYTES = 2 << 20
 SAMPLE_EVERY = 32
 #: Bytes of benchmark text whose phrases are searched in one pass; a larger benchmark takes several.
 BENCHMARK_BLOCK = 16 << 20
-_RESULT = (
-    "doc_id long, text string, n_words long, n_hit long, item_ids array<long>, "
-    "spans array<struct<start:long,end:long>>"
-)
 
 
 class Phrases(NamedTuple):
@@ -216,9 +212,12 @@ def find_passages(
     width: int = 10,
     shard_bytes: int = SHARD_BYTES,
     block_bytes: int = BENCHMARK_BLOCK,
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """Per document row: ``doc_id``, ``text``, ``n_words``, ``n_hit``, ``item_ids``, ``spans`` (merged, in bytes).
 
+    The columns named in ``keep`` pass through after these; null text is given back as null.
+
     Words are runs of ASCII letters and digits and characters outside ASCII, ASCII letters in lower case. A phrase is
     ``width`` consecutive words of an item, or a whole shorter item. Each task indexes its documents in shards of about
     ``shard_bytes`` (a longer text is a shard of its own); no document is shuffled. The benchmark is streamed to the
@@ -232,11 +231,12 @@ def find_passages(
     items = benchmark.select(F.col(item_col).cast("long"), F.col(item_text_col)).where(F.col(item_text_col).isNotNull())
     found = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        F.col(text_col).alias("text"),
         F.lit(0).cast("long").alias("n_words"),
         F.lit(0).cast("long").alias("n_hit"),
         F.array().cast("array<long>").alias("item_ids"),
         F.array().cast("array<struct<start:long,end:long>>").alias("spans"),
+        *[F.col(c).alias(f"keep_{k}") for k, c in enumerate(keep or [])],
     )
 
     def searched(rows: DataFrame, block: list[tuple[int, str]]) -> DataFrame:
@@ -249,7 +249,7 @@ def find_passages(
                     part = batch.slice(a, b - a)
                     yield _with_hits(part, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], shared.value)
 
-        return rows.mapInArrow(run, _RESULT)
+        return rows.mapInArrow(run, rows.schema)
 
     block, size, passes = [], 0, 0
     for item, text in items.toLocalIterator():
@@ -257,7 +257,9 @@ def find_passages(
             found, block, size, passes = searched(found, block), [], 0, passes + 1
         block.append((item, text))
         size += len(text)
-    return searched(found, block) if block or not passes else found
+    if block or not passes:
+        found = searched(found, block)
+    return found.withColumnsRenamed({f"keep_{k}": c for k, c in enumerate(keep or [])})
 
 
 def _with_hits(part: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, wanted: Phrases) -> pa.RecordBatch:
@@ -276,10 +278,11 @@ def _with_hits(part: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, want
         text = data[offsets[t] : offsets[t + 1]]
         starts, _, _ = spans(text, np.array([0, len(text)]), WORD_CHARS)
         hits[t] = int(inside[starts].sum())
-    kinds = [pa.list_(pa.int64()), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))]
+    kind = part.schema.field
+    columns = [pa.array(n_words), pa.array(hits), pa.array(items, kind(4).type), pa.array(places, kind(5).type)]
     return pa.record_batch(
-        [part.column(0), part.column(1), pa.array(n_words), pa.array(hits), pa.array(items, kinds[0]), pa.array(places, kinds[1])],
-        ["doc_id", "text", "n_words", "n_hit", "item_ids", "spans"],
+        [part.column(0), part.column(1), *columns, *part.columns[6:]],
+        schema=part.schema,
     )
 
 
