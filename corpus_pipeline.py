@@ -38,16 +38,21 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _text_changed(sentence_dedup.remove_repeated_sentences(docs), docs.columns)
+    """Cuts sentences in repeated runs out of the texts."""
+    clash = {"n_removed": "__n_removed"} if "n_removed" in docs.columns else {}
+    found = sentence_dedup.remove_repeated_sentences(docs.withColumnsRenamed(clash)).drop("n_removed")
+    return _text_changed(found.withColumnsRenamed({v: k for k, v in clash.items()}), docs.columns)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts benchmark passages out of the texts."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    found = decontamination.find_passages(docs, items, keep=others)
+    others = {f"__other_{k}": c for k, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    renamed = docs.withColumnsRenamed({c: k for k, c in others.items()})  # an extra column may be named as a result
+    found = decontamination.find_passages(renamed, items, keep=list(others))
     cut = F.when(F.size("spans") > 0, decontamination.without_spans()).otherwise(F.col("text"))
-    return _text_changed(found.withColumn("text", cut), docs.columns)
+    found = found.select("doc_id", cut.alias("text"), *[F.col(k).alias(c) for k, c in others.items()])
+    return _text_changed(found, docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -83,7 +83,7 @@ class FmIndex:
         value = symbols.astype(np.int64) + len(ends) - 1
         value[ends] = np.arange(len(ends))
         width = int(value.max()).bit_length() or 1
-        depth = max(1, min(4, 62 // width))
+        depth = max(1, min(4, 62 // width, n))
         key = np.zeros(n, np.int64)
         for k in range(depth):  # the first words of a suffix in one number
             key <<= width
@@ -216,7 +216,8 @@ def find_passages(
 ) -> DataFrame:
     """Per document row: ``doc_id``, ``text``, ``n_words``, ``n_hit``, ``item_ids``, ``spans`` (merged, in bytes).
 
-    The columns named in ``keep`` pass through after these; null text is given back as null.
+    The columns named in ``keep`` pass through after these, with ``_kept`` appended to the name of a result; null text is
+    given back as null.
 
     Words are runs of ASCII letters and digits and characters outside ASCII, ASCII letters in lower case. A phrase is
     ``width`` consecutive words of an item, or a whole shorter item. Each task indexes its documents in shards of about
@@ -259,7 +260,8 @@ def find_passages(
         size += len(text)
     if block or not passes:
         found = searched(found, block)
-    return found.withColumnsRenamed({f"keep_{k}": c for k, c in enumerate(keep or [])})
+    own = set(found.columns)
+    return found.withColumnsRenamed({f"keep_{k}": f"{c}_kept" if c in own else c for k, c in enumerate(keep or [])})
 
 
 def _with_hits(part: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, wanted: Phrases) -> pa.RecordBatch:

@@ -44,3 +44,49 @@ def repeated_bytes(texts, length=50):
         runs = sum(1 for k in range(len(raw)) if gone[k] and not (k and gone[k - 1]))
         out[doc] = (len(raw), sum(gone), runs, bytes(b for k, b in enumerate(raw) if not gone[k]))
     return out
+
+
+def jaccard_classes(rows, width=5, percent=75):
+    """Per row (id, text): set size and smallest id reachable by links, over all pairs."""
+    import re
+
+    sets, parent = [], {}
+    for doc, text in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        grams = {tuple(words[i : i + width]) for i in range(len(words) - width + 1)} or ({tuple(words)} if words else set())
+        sets.append((doc, grams))
+        parent[doc] = doc
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, (a, x) in enumerate(sets):
+        for b, y in sets[i + 1 :]:
+            if x and y and 100 * len(x & y) >= percent * len(x | y):
+                p, q = sorted((root(a), root(b)))
+                parent[q] = p
+    return sorted((doc, len(grams), root(doc)) for doc, grams in sets)
+
+
+def passages(rows, items, width=10):
+    """Per row (id, text): words, hit words and item ids, by comparing every window with every place."""
+    import re
+
+    words_of = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    windows = {}
+    for item, text in items:
+        w = words_of(text)
+        for i in range(max(1, len(w) - width + 1) if w else 0):
+            windows.setdefault(tuple(w[i : i + width]), set()).add(item)
+    out = []
+    for doc, text in rows:
+        w, hit, found = words_of(text), set(), set()
+        for window, ids in windows.items():
+            for i in range(len(w) - len(window) + 1):
+                if tuple(w[i : i + len(window)]) == window:
+                    hit.update(range(i, i + len(window)))
+                    found |= ids
+        out.append((doc, len(w), len(hit), sorted(found)))
+    return out
