@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from sensorgraph.operators.ordered import over_ordered
 
-# The event types of the given tables, and the nations that form the trade matrix.
+# The event types and nations that the SQL side names. The Spark side reads its pivot columns from the
+# tables, so a value that is missing here shows as a difference.
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 NATIONS = tuple(range(25))
 SUPPLIER_OFFSET = 1_000_000_000
@@ -51,7 +52,7 @@ def speed_wide(spark: SparkSession, folder: str) -> DataFrame:
     return (
         table(spark, folder, "events")
         .groupBy(_hour())
-        .pivot("event_type", list(EVENT_TYPES))
+        .pivot("event_type", sorted(r[0] for r in table(spark, folder, "events").select("event_type").distinct().collect()))
         .agg(F.avg("value"))
     )
 
@@ -102,10 +103,11 @@ def trade_edges(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def trade_matrix(spark: SparkSession, folder: str) -> DataFrame:
+    nations = sorted(r[0] for r in table(spark, folder, "nation").select("n_nationkey").distinct().collect())
     return (
         trade_edges(spark, folder)
         .groupBy("source_sensor")
-        .pivot("destination_sensor", list(NATIONS))
+        .pivot("destination_sensor", nations)
         .agg(F.sum("weight"))
         .fillna(0.0)
     )

@@ -350,13 +350,13 @@ def n07_scaled(spark, sf):
 )
 def n08(spark, sf):
     cells, _ = dense(spark, sf)
-    arrays = panel.snapshots(cells, ["speed", "target_speed"], nodes_per_block=512)
+    arrays = panel.snapshots(cells, ["speed", "target_speed"], nodes_per_block=64)
     # Back to rows, with the node read off the position in the arrays.
     return rounded(
         arrays.select(
             "timestamp", "time_index", "block", F.posexplode(F.arrays_zip("speed", "target_speed"))
         ).select(
-            "timestamp", "time_index", (F.col("block") * 512 + F.col("pos")).alias("node_id"),
+            "timestamp", "time_index", (F.col("block") * 64 + F.col("pos")).alias("node_id"),
             "col.speed", "col.target_speed",
         )
     )
@@ -431,19 +431,70 @@ def _forecast(spark, sf, kind):
     train = flat.where(F.col("split") == "train")
     validation = flat.where(F.col("split") == "validation")
     predicted = forecast.fit_forecaster(train, features, kind).transform(validation)
-    last = validation.withColumn("predicted", F.col(f"speed_sequence_{SEQ.length - 1}"))
-    named = [
-        forecast.regression_metrics(df).select(F.lit(name).alias("forecaster"), "*")
-        for name, df in ((kind, predicted), ("persistence", last))
-    ]
-    return named[0].union(named[1])
+    error = lambda guess: F.sqrt(F.avg(F.pow(F.col("actual") - F.col(guess), 2)))
+    facts = predicted.agg(
+        F.count("*").alias("samples"), F.sum("actual").alias("actual_sum"), F.avg("actual").alias("actual_mean"),
+        (error("predicted") < error(f"speed_sequence_{SEQ.length - 1}")).alias("better"),
+    )
+    named = F.array(*[F.struct(F.lit(n).alias("forecaster"), b.alias("beats_persistence")) for n, b in ((kind, F.col("better")), ("persistence", F.lit(False)))])
+    found = facts.select(F.inline(named), "samples", "actual_sum", "actual_mean")
+    return rounded(found, actual_sum=4)
+
+
+def _forecast_query(name, kind):
+    facts = f"count(*) as samples, {r('sum(actual)', 'actual_sum', 4)}, {r('avg(actual)', 'actual_mean')} from forecast"
+    body = f"select '{kind}' as forecaster, true as beats_persistence, {facts} union all "
+    body += f"select 'persistence' as forecaster, false as beats_persistence, {facts}"
+
+    @query(name, fx.with_views(body, **FORECAST_VIEWS))
+    def run(spark, sf):
+        """Samples of the validation times, and whether the model errs less than the last value does."""
+        return _forecast(spark, sf, kind)
+
+
+_forecast_query("m01_forecast", "huber")
+_forecast_query("m01_forecast_trees", "gbt")
+
+
+MASKED_VIEWS = {**PANEL_VIEWS, "masked": PANEL_VIEWS["panel"].replace("coalesce(c.speed, 0)", "c.speed")}
+
+
+@query(
+    "n03_masked_panel",
+    fx.with_views(f"select timestamp, sensor_id, time_index, node_id, {r('speed', 'speed')} from masked", **MASKED_VIEWS),
+)
+def n03_masked(spark, sf):
+    readings = hourly_target(spark, sf)
+    times, ids = panel.time_index(readings), panel.node_ids(fx.sensor_edges(spark, sf))
+    return rounded(panel.dense_panel(readings, ["speed"], mask_missing=True, times=times, ids=ids))
 
 
-@query("m01_forecast")
-def m01(spark, sf):
-    return _forecast(spark, sf, "huber")
+@query(
+    "n06_near_horizon",
+    fx.with_views(
+        f"select node_id, timestamp, {r('target', 'target')} from (select node_id, timestamp, "
+        "lead(target_speed, 3) over w as target, lead(time_index, 3) over w as t3, "
+        f"lead(time_index, {SEQ.length - 1}) over w as last from panel window w as (partition by sensor_id order by time_index)) "
+        "where t3 is not null and last is not null",
+        **PANEL_VIEWS,
+    ),
+)
+def n06_near(spark, sf):
+    """The target three steps after the first instead of twelve."""
+    cells, _ = dense(spark, sf)
+    return rounded(panel.sequences(cells, SEQ.length, 3).select("node_id", "timestamp", "target"))
 
 
-@query("m01_forecast_trees")
-def m01_trees(spark, sf):
-    return _forecast(spark, sf, "gbt")
+@query(
+    "g05_transitions_without_weight",
+    """with e as (select o_custkey as a, l_suppkey + 1000000000 as b,
+            case when o_custkey % 3 = 0 then 0 else l_quantity end as w
+            from lineitem join orders on l_orderkey = o_orderkey),
+        p as (select a, b, sum(w) as w from e group by all)
+    select a as source_sensor, b as destination_sensor,
+        round(coalesce(w / nullif(sum(w) over (partition by a), 0), 0) + 0.000000001::double, 6) as transition from p""",
+)
+def g05_zero(spark, sf):
+    """A third of the sources pass on no weight; all their transitions are 0."""
+    weight = F.when(F.col("source_sensor") % 3 == 0, F.lit(0).cast("double")).otherwise(F.col("weight").cast("double"))
+    return rounded(graph.transitions(fx.supply_edges(spark, sf).withColumn("weight", weight)))

@@ -87,6 +87,33 @@ def w09(spark, sf):
     return rounded(windows, **{c: 4 for c in st.ROLLING if "std" in c})
 
 
+OUTLYING = (
+    "select min(user_id)::bigint as sensor_id, timestamp '1970-01-01 00:00:00' as timestamp, "
+    "1::double as speed, (-1)::bigint as event_id from events"
+)
+
+
+@query(
+    "w09_cut_windows_outlier",
+    fx.with_views(
+        f"select {KEY_SQL}, "
+        + ", ".join(r(c, c, 4 if "std" in c else 6) for c in [*st.LAG, *st.CHANGE, *st.ROLLING, *st.TARGET])
+        + " from win",
+        with_far=f"select * from speed_nullable union all {OUTLYING}",
+        win=st.windowed("with_far"),
+    ),
+)
+def w09_outlier(spark, sf):
+    """The same with one reading of one sensor at the epoch, far before all others."""
+    far = fx.table(spark, sf, "events").selectExpr("min(user_id) as user_id").selectExpr(
+        "cast(user_id as bigint) as sensor_id", "timestamp_ntz'1970-01-01 00:00:00' as timestamp",
+        "cast(1 as double) as speed", "cast(-1 as bigint) as event_id",
+    )
+    cut = SeriesConfig(tiebreak="event_id", rows_per_task=16)
+    windows = series.series_columns(fx.speed_nullable(spark, sf).unionByName(far), cut).drop("speed")
+    return rounded(windows, **{c: 4 for c in st.ROLLING if "std" in c})
+
+
 @query(
     "w07_target",
     fx.with_views(

@@ -37,6 +37,15 @@ def s02(spark, sf):
     return tables.read_edges_csv(spark, path)
 
 
+@query("s02_edges_csv_by_name", fx.with_views("select * from sensor_edges"))
+def s02_by_name(spark, sf):
+    """Written in another order behind a leading column that is no edge column."""
+    path = scratch_path(spark, "edges-csv")
+    edges = fx.sensor_edges(spark, sf)
+    tables.export_csv(edges.select(F.lit(0).alias("row"), "weight", "destination_sensor", "source_sensor"), path)
+    return tables.read_edges_csv(spark, path)
+
+
 @query("s03_features_csv", fx.with_views("select * from speed_nullable"))
 def s03(spark, sf):
     path = scratch_path(spark, "features-csv")
@@ -244,3 +253,11 @@ def p15(spark, sf):
 def p16(spark, sf):
     text = F.when(F.col("event_type") == "error", "no time").otherwise(F.col("ts").cast("string"))
     return fx.table(spark, sf, "events").select("event_id", to_ts(text).alias("timestamp"))
+
+
+@query("p16_other_formats", "select event_id, cast(date_trunc('second', ts) as timestamp) as timestamp from events")
+def p16_formats(spark, sf):
+    """Two formats beside ISO text, by the parity of the hour."""
+    shapes = ("dd.MM.yyyy HH:mm:ss", "MM/dd/yyyy HH-mm-ss")
+    text = F.when(F.hour("ts") % 2 == 0, F.date_format("ts", shapes[0])).otherwise(F.date_format("ts", shapes[1]))
+    return fx.table(spark, sf, "events").select("event_id", to_ts(text, shapes).alias("timestamp"))

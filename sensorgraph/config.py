@@ -6,10 +6,14 @@ from dataclasses import dataclass, field
 
 # Rows of one sensor that a single window task may sort; longer series are cut into pieces.
 ROWS_PER_TASK = 2_000_000
+# Beyond so many tasks of one shuffle a warning is given; no work is left out.
+MOST_TASKS = 50_000
 # A side of a join is broadcast by hand only up to this many (narrow) rows.
 BROADCAST_ROWS = 1_000_000
 # Links of one source sensor kept together when its links are joined by shuffle.
 LINKS_PER_SLOT = 500_000
+# Rows that a link may meet on average in one task when values are propagated.
+ROWS_PER_LINK = 100
 # Time steps of one sensor handled by one window task of the dense panel.
 STEPS_PER_TASK = 100_000
 # Nodes per array of an exported snapshot.

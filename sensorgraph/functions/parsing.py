@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,6 +16,8 @@ def to_number(col: Column | str) -> Column:
     return F.when(text.rlike(NUMBER_TEXT), text.try_cast("double"))
 
 
-def to_ts(col: Column | str) -> Column:
+def to_ts(col: Column | str, formats: Sequence[str] = ()) -> Column:
+    """ISO text, or else the first of ``formats`` (Spark date patterns) that fits."""
     column = F.col(col) if isinstance(col, str) else col
-    return column.try_cast("timestamp_ntz")
+    found = [F.try_to_timestamp(column.cast("string"), F.lit(f)).cast("timestamp_ntz") for f in formats]
+    return F.coalesce(column.try_cast("timestamp_ntz"), *found)

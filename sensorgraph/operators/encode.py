@@ -17,12 +17,21 @@ def label_frequency(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return labels.where(F.col("label").isNotNull()).groupBy("column", "label").count()
 
 
-def label_index(df: DataFrame, cols: Sequence[str], fit_df: DataFrame | None = None) -> DataFrame:
+#: Distinct labels of all columns that a fitted index may hold.
+MOST_LABELS = 100_000
+
+
+def label_index(
+    df: DataFrame, cols: Sequence[str], fit_df: DataFrame | None = None, most_labels: int = MOST_LABELS
+) -> DataFrame:
     """``<col>_index``: 0 is the most frequent label, ties in alphabetical order.
 
-    Missing and unseen labels get one extra last index. All columns are fitted in one job; the fitted
-    label lists are held by the model, so use it for label columns, not for free text.
+    Missing and unseen labels get one extra last index. The fitted label lists are held by the driver, so more than
+    ``most_labels`` distinct labels raise: for ids, number ``label_frequency`` with ``dense_index`` and join.
     """
+    found = label_frequency(df if fit_df is None else fit_df, cols).limit(most_labels + 1).count()
+    if found > most_labels:
+        raise ValueError(f"more than {most_labels} labels in {list(cols)}")
     indexer = StringIndexer(
         inputCols=list(cols),
         outputCols=[f"{c}_index" for c in cols],

@@ -13,10 +13,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorgraph.config import BROADCAST_ROWS, LINKS_PER_SLOT
+from sensorgraph.config import BROADCAST_ROWS, LINKS_PER_SLOT, ROWS_PER_LINK
 from sensorgraph.operators.reshape import fill_defaults
-from sensorgraph.operators.storage import stored, stored_by
+from sensorgraph.operators.storage import fits_broadcast, stored, stored_by
 
+# Output columns and what stands for a missing one.
 END_DEFAULTS = {
     "out_degree": 0,
     "in_degree": 0,
@@ -31,9 +32,9 @@ GRAPH_DEFAULTS = END_DEFAULTS | {"pagerank": 0.0}
 
 
 def vertices(edges: DataFrame, *, sensor: str = "sensor_id") -> DataFrame:
-    """Distinct sensors of both edge ends."""
+    """Distinct sensors of both edge ends; a missing end is no sensor."""
     sources = edges.select(F.col("source_sensor").alias(sensor))
-    return sources.union(edges.select("destination_sensor")).distinct()
+    return sources.union(edges.select("destination_sensor")).where(F.col(sensor).isNotNull()).distinct()
 
 
 def restrict_to_graph(df: DataFrame, edges: DataFrame, *, sensor: str = "sensor_id") -> DataFrame:
@@ -42,8 +43,11 @@ def restrict_to_graph(df: DataFrame, edges: DataFrame, *, sensor: str = "sensor_
 
 
 def collapse_edges(edges: DataFrame) -> DataFrame:
-    """One row per (source, destination): edge rows, summed weight and number of weights."""
-    return edges.groupBy("source_sensor", "destination_sensor").agg(
+    """One row per (source, destination): edge rows, summed weight and number of weights.
+
+    Edges without a source or a destination are no edges and are dropped here, for all features alike.
+    """
+    return edges.where(F.col("source_sensor").isNotNull() & F.col("destination_sensor").isNotNull()).groupBy("source_sensor", "destination_sensor").agg(
         F.count("*").alias("edge_rows"),
         F.sum(F.col("weight").cast("double")).alias("weight"),
         F.count("weight").alias("weighted_rows"),
@@ -111,7 +115,9 @@ def transitions(edges: DataFrame) -> DataFrame:
 
 
 def _transitions(pairs: DataFrame) -> DataFrame:
-    totals = pairs.groupBy("source_sensor").agg(F.sum("weight").alias("total_weight"))
+    # Written, so that size decides on a broadcast and a hub's links can be split where the join is shuffled: an
+    # aggregation right below a join cannot.
+    totals = stored(pairs.groupBy("source_sensor").agg(F.sum("weight").alias("total_weight")), "source-weights")
     share = F.try_divide("weight", "total_weight")
     return pairs.join(totals, "source_sensor").select(
         "source_sensor", "destination_sensor", F.coalesce(share, F.lit(0.0)).alias("transition")
@@ -148,9 +154,8 @@ def _pagerank(pairs, iterations, reset, store_every, sensor, broadcast_rows, lin
     if iterations == 0:
         return vertices(pairs, sensor=sensor).withColumn("pagerank", F.lit(1.0))
     # Every sensor has a link, so few links mean few ranks; only otherwise are the sensors counted.
-    small = (
-        links.count() <= broadcast_rows
-        or links.select("source_sensor").distinct().count() <= broadcast_rows
+    small = fits_broadcast(links, broadcast_rows) or fits_broadcast(
+        links.select("source_sensor", "transition").groupBy("source_sensor").agg(F.max("transition")), broadcast_rows
     )
     spread = None if small else SpreadLinks(links, links_per_slot)
     ranks = None
@@ -216,6 +221,7 @@ def normalized_links(edges: DataFrame) -> DataFrame:
     """
     weight = F.col("weight").cast("double")
     none = F.lit(None).cast("double")
+    edges = edges.where(F.col("source_sensor").isNotNull() & F.col("destination_sensor").isNotNull())
     ends = edges.select(
         F.inline(
             F.array(
@@ -256,18 +262,26 @@ def propagate(
 ) -> DataFrame:
     """``(time, sensor, cols)`` where each column is the normalised sum over in-neighbours at that time.
 
-    ``panel`` has at most one row per sensor and time (see ``dense_panel``). With links that are checked
-    to be few, rows are placed by time once and stay there for all hops; otherwise links are joined by
-    shuffle with hubs spread out.
+    ``panel`` has at most one row per sensor and time (see ``dense_panel``). Sensors outside the network are left out
+    before anything is shuffled. With links that are checked to be few, they are broadcast; over several hops rows are then
+    placed by time once, if there are times enough. Otherwise links are joined by shuffle, with so few links of a hub per
+    slot that links times rows of a sensor stay near ``links_per_slot`` times ``ROWS_PER_LINK``.
     """
     links = stored(normalized_links(edges), "propagation-coefficients")
-    small = links.count() <= broadcast_rows
-    spread = None if small else SpreadLinks(links, links_per_slot)
-    rows = panel.select(time, sensor, *cols)
-    if small:
-        # All rows of a time are in one partition (one row per sensor), so the sums need no shuffle.
-        rows = rows.repartition(time)
+    known = stored(links.select(F.col("source_sensor").alias(sensor)).distinct(), "propagation-sensors")
+    rows = panel.select(time, sensor, *cols).join(known, sensor, "left_semi")
+    small = fits_broadcast(links, broadcast_rows)
+    spread = None
+    if not small:
+        # A slot's links meet every time of its source, so it may hold only so many links as there is room for.
+        most = rows.groupBy(sensor).count().agg(F.max("count")).first()[0] or 1
+        spread = SpreadLinks(links, max(1, min(links_per_slot, links_per_slot * ROWS_PER_LINK // most)))
     totals = [F.sum(F.col(c) * F.col("coefficient")).alias(c) for c in cols]
+    if small and hops > 1:
+        # Rows of a time stay together for all hops, unless there are too few times to fill the tasks.
+        tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        if rows.select(time).distinct().limit(4 * tasks).count() == 4 * tasks:
+            rows = rows.repartition(time)
     for _ in range(hops):
         joined = (
             rows.join(F.broadcast(links), F.col(sensor) == F.col("source_sensor"))

@@ -3,12 +3,16 @@
 Lags, row frames and leads need only a few neighbouring rows. A series that is too long for one task is
 therefore cut along its time axis into pieces of about ``rows_per_task`` rows; the few buckets next to a
 cut are handed to both pieces, and each piece returns only its own rows. The result equals the uncut
-window, and the facts are still shuffled once.
+window.
+
+Buckets follow the rows, not the calendar: each long series is divided within its own range, and every bucket
+that still holds too many rows within the range of its own rows, until it is small or holds one instant. An
+outlying time, a burst or many rows within a second cost a further round and no balance.
 """
 
 from __future__ import annotations
 
-import math
+import warnings
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -16,12 +20,11 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorgraph.config import ROWS_PER_TASK
+from sensorgraph.config import MOST_TASKS, ROWS_PER_TASK
 from sensorgraph.operators.storage import stored
 
-BUCKETS_PER_PIECE = 64
-MOST_PARTITIONS = 50_000
-_BUCKET, _PIECE, _OWN = "__bucket", "__piece", "__own"
+BUCKETS_PER_PIECE = 16
+_BUCKET, _PIECE, _OWN, _AXIS = "__bucket", "__piece", "__own", "__axis"
 
 
 def over_ordered(
@@ -36,49 +39,60 @@ def over_ordered(
     """Adds ``columns(window)`` where the window runs over ``order`` within ``keys``.
 
     The columns may look at most ``before`` rows back and ``after`` rows ahead. ``order[0]`` is a number,
-    date or timestamp. Rows of one key with equal ``order[0]`` stay in one piece. The longest series is
-    counted first; ``rows_per_task=None`` skips that for series whose length is bounded by construction.
+    date or timestamp. Rows of one key with equal ``order[0]`` stay in one piece. Rows and range of every
+    series are read first; ``rows_per_task=None`` skips that for series whose length is bounded by construction.
     """
     plain = Window.partitionBy(*keys).orderBy(*order)
     if rows_per_task is None:
         return df.withColumns(columns(plain))
-    longest, total = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
+    axis = _axis(df, order[0])
+    series = stored(
+        df.groupBy(*keys).agg(F.count("*").alias("rows"), F.min(axis).alias("low"), F.max(axis).alias("high")),
+        "series",
+    )
+    longest, total = series.agg(F.max("rows"), F.sum("rows")).first()
     longest, total = longest or 0, total or 0
     if longest <= rows_per_task:
-        return _placed(df, keys, total).withColumns(columns(plain))
-    pieces = _placed(
-        _cut(df, keys, order[0], before, after, rows_per_task, longest), [*keys, _PIECE], total
-    )
+        return _placed(df, keys, total, rows_per_task).withColumns(columns(plain))
+    cut = _cut(df, keys, order[0], before, after, rows_per_task, series)
+    pieces = _placed(cut, [*keys, _PIECE], total, rows_per_task)
     window = Window.partitionBy(*keys, _PIECE).orderBy(*order)
     return pieces.withColumns(columns(window)).where(_OWN).drop(_BUCKET, _PIECE, _OWN)
 
 
-def _placed(df: DataFrame, keys: Sequence[str], total: int) -> DataFrame:
+def _placed(df: DataFrame, keys: Sequence[str], total: int, rows_per_task: int) -> DataFrame:
     """Places rows by ``keys`` in more partitions than the session's setting where the counted rows need
     them; the window then uses this placement instead of its own."""
-    needed = min(-(-total // ROWS_PER_TASK), MOST_PARTITIONS)
+    needed = -(-total // max(rows_per_task, ROWS_PER_TASK))
+    if needed > MOST_TASKS:
+        warnings.warn(f"{total} rows in {needed} tasks; raise rows_per_task if the driver cannot hold them", stacklevel=3)
     usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(needed, *keys) if needed > usual else df
 
 
-def _cut(df, keys, axis_name, before, after, rows_per_task, longest) -> DataFrame:
-    axis = _axis(df, axis_name)
-    low, high = df.agg(F.min(axis), F.max(axis)).first()
-    low, high = low or 0.0, high or 0.0
-    width = max((high - low) / (math.ceil(longest / rows_per_task) * BUCKETS_PER_PIECE), 1e-9)
-    bucket = F.coalesce(F.floor((axis - F.lit(low)) / F.lit(width)), F.lit(-1)).cast("long")
-
-    # Only the long series are counted per bucket: at most rows / rows_per_task of them exist.
-    long_keys = stored(
-        df.groupBy(*keys).count().where(F.col("count") > rows_per_task).select(*keys), "long-series"
-    )
-    sizes = (
-        _null_safe_join(df.withColumn(_BUCKET, bucket), long_keys, keys, "left_semi")
-        .groupBy(*keys, _BUCKET)
-        .agg(F.count("*").alias("rows"))
-    )
-    placement = stored(_placement(sizes, keys, before, after, rows_per_task), "series-pieces")
-    placed = _null_safe_join(df.withColumn(_BUCKET, bucket), placement, [*keys, _BUCKET], "left")
+def _cut(df, keys, axis_name, before, after, rows_per_task, series) -> DataFrame:
+    axis, most = _axis(df, axis_name), max(1, rows_per_task // BUCKETS_PER_PIECE)
+    root = F.array(F.lit(0).cast("double"))
+    # Only the long series are divided: at most rows / rows_per_task of them exist.
+    long_series = series.where(F.col("rows") > rows_per_task)
+    facts = df.withColumns({_AXIS: axis, _BUCKET: root})
+    rows = _null_safe_join(facts.select(*keys, _AXIS, _BUCKET), long_series.select(*keys), keys, "left_semi")
+    sizes = long_series.select(*keys, root.alias(_BUCKET), "rows", "low", "high")
+    while True:
+        divided = sizes.where((F.col("rows") > most) & (F.col("low") < F.col("high")))
+        parts = F.ceil(F.col("rows") / most) * 2
+        divided = divided.select(*keys, _BUCKET, "low", ((F.col("high") - F.col("low")) / parts).alias("width"))
+        divided = stored(divided, "divided-buckets")
+        if divided.isEmpty():
+            break
+        facts = _divided(facts, divided, keys)
+        rows = stored(_divided(rows, divided, keys), "long-series-rows")
+        sizes = stored(
+            rows.groupBy(*keys, _BUCKET).agg(F.count("*").alias("rows"), F.min(_AXIS).alias("low"), F.max(_AXIS).alias("high")),
+            "bucket-sizes",
+        )
+    placement = stored(_placement(sizes.drop("low", "high"), keys, before, after, rows_per_task), "series-pieces")
+    placed = _null_safe_join(facts.drop(_AXIS), placement, [*keys, _BUCKET], "left")
     return placed.withColumns(
         {
             _PIECE: F.explode(F.coalesce("pieces", F.array(F.lit(0).cast("long")))),
@@ -87,6 +101,14 @@ def _cut(df, keys, axis_name, before, after, rows_per_task, longest) -> DataFram
     ).withColumn(_OWN, F.col(_PIECE) == F.col("own_piece")).drop("pieces", "own_piece")
 
 
+def _divided(rows: DataFrame, divided: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A bucket is the path of its divisions, which sorts as its rows do; missing times come first."""
+    step = F.coalesce(F.floor((F.col(_AXIS) - F.col("low")) / F.col("width")).cast("double"), F.lit(-1.0))
+    path = F.when(F.col("width").isNotNull(), F.concat(_BUCKET, F.array(step))).otherwise(F.col(_BUCKET))
+    joined = _null_safe_join(rows, divided, [*keys, _BUCKET], "left")
+    return joined.withColumn(_BUCKET, path).drop("low", "width")
+
+
 def _placement(sizes, keys, before, after, rows_per_task) -> DataFrame:
     """Per bucket of a long series: the piece it belongs to and all pieces that read it."""
     window = Window.partitionBy(*keys).orderBy(_BUCKET)
@@ -118,12 +140,13 @@ def _axis(df: DataFrame, name: str) -> Column:
     kind = df.schema[name].dataType
     column = F.col(name)
     if isinstance(kind, T.TimestampType):
-        return F.unix_micros(column) / F.lit(1e6)
+        return F.unix_micros(column).cast("double")
     if isinstance(kind, T.TimestampNTZType):
         # Calendar fields, so that no clock change of the session zone can reorder local times.
-        days = F.date_diff(F.to_date(column), F.lit("1970-01-01").cast("date"))
-        seconds = F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column)
-        return (days.cast("double") * 86400 + seconds).cast("double")
+        days = F.date_diff(F.to_date(column), F.lit("1970-01-01").cast("date")).cast("double")
+        minutes = (F.hour(column) * 60 + F.minute(column)).cast("double")
+        seconds = F.extract(F.lit("SECOND"), column).cast("double")  # with its fraction
+        return (days * 1440 + minutes) * 60e6 + F.round(seconds * 1e6)
     if isinstance(kind, T.DateType):
         return F.date_diff(column, F.lit("1970-01-01").cast("date")).cast("double")
     return column.cast("double")

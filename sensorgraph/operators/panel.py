@@ -12,7 +12,7 @@ from sensorgraph.config import BROADCAST_ROWS, NODES_PER_BLOCK, STEPS_PER_TASK
 from sensorgraph.functions.parsing import to_number
 from sensorgraph.operators.graph import vertices
 from sensorgraph.operators.reshape import fill_zero
-from sensorgraph.operators.storage import stored
+from sensorgraph.operators.storage import fits_broadcast, stored
 
 GRID_ROWS_PER_TASK = 4_000_000
 
@@ -102,9 +102,9 @@ def dense_panel(
         F.expr(f"id div {max(n_nodes, 1)}").alias("time_index"),
         (F.col("id") % max(n_nodes, 1)).alias("node_id"),
     )
-    if n_times <= BROADCAST_ROWS:
+    if fits_broadcast(times, BROADCAST_ROWS):
         times = F.broadcast(times)
-    if n_nodes <= BROADCAST_ROWS:
+    if fits_broadcast(ids, BROADCAST_ROWS):
         ids = F.broadcast(ids)
     panel = (
         grid.join(times, "time_index")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorgraph.operators.reshape import EDGE_COLUMNS, flatten_arrays, require_columns, wide_to_long
+from sensorgraph.operators.storage import stored
 
 # Spark's own CSV formats stop at milliseconds.
 CSV_TIMES = {
@@ -27,17 +30,32 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
-def read_edges_csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(EDGE_SCHEMA).option("header", True).csv(path)
+def _read_csv(spark: SparkSession, path: str, schema: T.StructType, mode: str) -> DataFrame:
+    """The schema's columns picked by their names in the header, whatever their order and whatever else is there."""
+    text = spark.read.option("header", True).option("mode", mode)
+    require_columns(names := text.csv(path), schema.fieldNames())
+    kinds = {f.name: f.dataType for f in schema}
+    whole = T.StructType([T.StructField(c, kinds.get(c, T.StringType())) for c in names.columns])
+    return text.options(**CSV_TIMES).schema(whole).csv(path).select(*schema.fieldNames())
+
+
+def read_edges_csv(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> DataFrame:
+    """``source_sensor, destination_sensor, weight`` by header name; further columns are left out.
+
+    ``mode`` says what happens to values that do not parse: NULL, or ``FAILFAST`` to raise.
+    """
+    return _read_csv(spark, path, EDGE_SCHEMA, mode)
 
 
 def read_features_csv(
-    spark: SparkSession, path: str, schema: T.StructType | str | None = None
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, mode: str = "PERMISSIVE"
 ) -> DataFrame:
-    """Give a schema for large files: inferring one reads the text twice."""
-    reader = spark.read.option("header", True)
-    reader = reader.option("inferSchema", True) if schema is None else reader.schema(schema)
-    return reader.csv(path)
+    """Give a schema for large files: inferring one reads the text twice. Its columns are picked by name."""
+    if schema is None:
+        return spark.read.option("header", True).option("inferSchema", True).option("mode", mode).csv(path)
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    return _read_csv(spark, path, schema, mode)
 
 
 def write_gold(
@@ -61,13 +79,25 @@ def write_gold(
     writer.save(path)
 
 
+# Fixed value: what other Parquet writers call lz4 is the raw variant.
+CODECS = {"lz4": "lz4_raw"}
+
+
 def export_parquet(df: DataFrame, path: str, compression: str = "snappy") -> None:
-    df.write.mode("overwrite").option("compression", compression).parquet(path)
+    """Codecs of the session's Parquet; ``lz4`` is the raw variant, brotli needs its codec jar."""
+    codec = CODECS.get(compression, compression)
+    df.write.mode("overwrite").option("compression", codec).parquet(path)
 
 
-def export_csv(df: DataFrame, path: str) -> None:
-    """CSV has no arrays: each becomes one column per element. Times keep their microseconds."""
-    writer = flatten_arrays(df).write.mode("overwrite").option("header", True)
+def export_csv(df: DataFrame, path: str, widths: Mapping[str, int] | None = None) -> None:
+    """CSV has no arrays: each becomes one column per element. Times keep their microseconds.
+
+    ``widths`` names the length of every array column. Without it the input is written once to be measured.
+    """
+    arrays = [f.name for f in df.schema if isinstance(f.dataType, T.ArrayType)]
+    if arrays and widths is None:
+        df = stored(df, "csv-input")
+    writer = flatten_arrays(df, widths).write.mode("overwrite").option("header", True)
     writer.options(**CSV_TIMES).csv(path)
 
 

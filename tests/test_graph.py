@@ -180,10 +180,53 @@ def test_propagation_equals_brute_force(spark, broadcast_rows, links_per_slot, h
 
 
 def test_propagation_needs_no_shuffle_after_placing_rows_by_time(spark):
-    panel = spark.createDataFrame([(at(0), 1, 1.0)], "timestamp timestamp_ntz, sensor_id long, speed double")
+    panel = spark.createDataFrame([(at(t), 1, 1.0) for t in range(40)], "timestamp timestamp_ntz, sensor_id long, speed double")
     text = plan(graph.propagate(panel, edges(spark, GOLDEN), ["speed"], hops=2))
     assert text.count("Exchange hashpartitioning") == 1
-    assert text.count("BroadcastHashJoin") == 2
+    assert text.count("BroadcastHashJoin") == 3  # the sensors of the network, and the links of each hop
+    few = plan(graph.propagate(panel.where(F.col("timestamp") < at(3)), edges(spark, GOLDEN), ["speed"], hops=2))
+    assert "hashpartitioning(timestamp" in few and "destination_sensor" in few  # not by time alone
+
+
+def test_propagation_bounds_a_hub_times_its_rows(spark, monkeypatch):
+    """A slot holds fewer links where the panel has more times."""
+    made = []
+    whole = graph.SpreadLinks
+    monkeypatch.setattr(graph, "SpreadLinks", lambda links, most: made.append(most) or whole(links, most))
+    rows = [(0, i, 1.0) for i in range(1, 300)]
+    panel = spark.createDataFrame(
+        [(at(t), s, 1.0) for t in range(400) for s in (0, 999)], "timestamp timestamp_ntz, sensor_id long, speed double"
+    )
+    graph.propagate(panel, edges(spark, rows), ["speed"], broadcast_rows=0, links_per_slot=40)
+    assert made == [40 * graph.ROWS_PER_LINK // 400]
+
+
+def test_hub_of_transitions_can_be_split(spark):
+    """With low limits the join of a hub's links with the totals is read in split partitions."""
+    rows = spark.range(60_000).select(F.lit(0).alias("source_sensor"), F.col("id").alias("destination_sensor"), F.lit(1.0).alias("weight"))
+    rows = rows.union(spark.range(1, 4000).select("id", F.lit(0), F.lit(1.0)))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.files.openCostInBytes": "1g",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        df = graph.transitions(rows)
+        df.collect()
+        assert "skew=true" in plan(df)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_edges_without_an_end_are_dropped(spark):
+    rows = [*GOLDEN, (None, 1, 5.0), (2, None, 7.0), (None, None, 1.0)]
+    found = build_graph_features(edges(spark, rows), GraphConfig(iterations=2))
+    assert values(found, by=["sensor_id"]) == values(build_graph_features(edges(spark, GOLDEN), GraphConfig(iterations=2)), by=["sensor_id"])
 
 
 def test_graph_features_golden(spark):

@@ -113,19 +113,44 @@ def test_all_series_columns_with_a_hot_sensor(spark):
     assert values(whole, by=["event_id"]) == values(cut, by=["event_id"])
 
 
-def test_pieces_are_bounded(spark):
-    """No (sensor, piece) group may come near the size of the hot sensor."""
+def far(year):
+    return dt.datetime(year, 1, 1)
+
+
+def burst():
+    """Nine tenths of a series within one hour of ten years."""
+    return [(0, at(1440 * i), 1.0, i) for i in range(300)] + [
+        (0, at(200_000) + dt.timedelta(seconds=i), 1.0, 1000 + i) for i in range(2700)
+    ]
+
+
+EVEN = [(0, at(i), float(i), i) for i in range(2000)] + [(1, at(i), 1.0, 2000 + i) for i in range(50)]
+SHAPES = {
+    "even": EVEN,
+    "outliers in the series": [*EVEN, (0, far(1970), 1.0, 9000), (0, far(2200), 1.0, 9001)],
+    "outliers elsewhere": [*EVEN, (2, far(1970), 1.0, 9000), (1, far(2200), 1.0, 9001)],
+    "burst": burst(),
+    "within a second": [(0, at(0) + dt.timedelta(microseconds=37 * i), 1.0, i) for i in range(2000)],
+}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_pieces_are_bounded(spark, shape):
+    """No (sensor, piece) group may come near the size of the hot sensor, whatever its times."""
     from sensorgraph.operators import ordered
 
-    rows = [(0, at(i), float(i), i) for i in range(2000)] + [(1, at(i), 1.0, 2000 + i) for i in range(50)]
+    rows = SHAPES[shape]
     df = speeds(spark, rows, SCHEMA)
-    pieces = ordered._cut(df, ["sensor_id"], "timestamp", 12, 1, 200, 2000)
+    axis = ordered._axis(df, "timestamp")
+    series = df.groupBy("sensor_id").agg(F.count("*").alias("rows"), F.min(axis).alias("low"), F.max(axis).alias("high"))
+    pieces = ordered._cut(df, ["sensor_id"], "timestamp", 12, 1, 200, series)
     sizes = [r["count"] for r in pieces.groupBy("sensor_id", ordered._PIECE).count().collect()]
     assert max(sizes) < 2 * 200
     assert pieces.where(ordered._OWN).count() == len(rows)
+    assert run(df, 12, 1, 200) == expected(rows, 12, 1)
 
 
-@pytest.mark.parametrize("rows_per_task", [30, 10_000])
+@pytest.mark.parametrize("rows_per_task", [30])
 def test_many_rows_get_more_partitions_in_the_same_shuffle(spark, monkeypatch, rows_per_task):
     from sensorgraph.operators import ordered
 

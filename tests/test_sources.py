@@ -19,6 +19,29 @@ def test_edges_csv_has_fixed_types(spark, tmp_path):
     assert values(df, by=["source_sensor"]) == [(1, 2, None), (773869, 767541, 0.25)]
 
 
+def test_csv_columns_are_picked_by_name(spark, tmp_path):
+    file = tmp_path / "edges.csv"
+    file.write_text(",weight,destination_sensor,source_sensor\n0,0.5,1,2\n1,x,4,3\n")
+    df = tables.read_edges_csv(spark, str(file))
+    assert df.columns == ["source_sensor", "destination_sensor", "weight"]
+    assert values(df, by=["source_sensor"]) == [(2, 1, 0.5), (3, 4, None)]
+    with pytest.raises(Exception, match="(?i)failfast|malformed"):
+        tables.read_edges_csv(spark, str(file), mode="FAILFAST").collect()
+    given = tables.read_features_csv(spark, str(file), "source_sensor string, weight double")
+    assert values(given, by=["source_sensor"]) == [("2", 0.5), ("3", None)]
+    (tmp_path / "other.csv").write_text("source_sensor,weight\n1,2\n")
+    with pytest.raises(ValueError, match="destination_sensor"):
+        tables.read_edges_csv(spark, str(tmp_path / "other.csv"))
+
+
+def test_csv_export_computes_its_input_once(spark, path, monkeypatch):
+    df = spark.createDataFrame([(1, [1.0, 2.0])], "sensor_id long, v array<double>")
+    with_widths = f"{path}-given"
+    monkeypatch.setattr(tables, "stored", lambda *_: pytest.fail("widths are given"))
+    tables.export_csv(df, with_widths, widths={"v": 2})
+    assert spark.read.option("header", True).csv(with_widths).columns == ["sensor_id", "v_0", "v_1"]
+
+
 def test_features_csv_infers_or_takes_a_schema(spark, tmp_path):
     file = tmp_path / "features.csv"
     file.write_text("sensor_id,speed\n1,2.5\n")
