@@ -14,8 +14,6 @@ from sensorgraph.operators.graph import vertices
 from sensorgraph.operators.reshape import fill_zero
 from sensorgraph.operators.storage import fits_broadcast, stored
 
-GRID_ROWS_PER_TASK = 4_000_000
-
 
 def dense_index(values: DataFrame, by: Sequence[str], out: str) -> DataFrame:
     """Numbers the (distinct) rows of ``values`` 0, 1, 2, ... in the order of ``by``.
@@ -77,9 +75,13 @@ def dense_panel(
     ids: DataFrame | None = None,
     sensor: str = "sensor_id",
     time: str = "timestamp",
+    steps_per_task: int = STEPS_PER_TASK,
 ) -> DataFrame:
     """One row per time of ``times`` and node of ``ids``; cells without a reading are 0.
 
+    Only the readings are shuffled, by node and span of steps: the missing steps are filled in behind the shuffle, each
+    reading being repeated up to the next one.
+
     ``times`` and ``ids`` (see ``time_index`` and ``node_ids``) default to the times and sensors of ``df``. Of
     several rows for a cell, the one with the highest ``tiebreak`` wins (the highest values without
     one). ``mask_missing`` leaves empty cells NULL instead.
@@ -93,25 +95,26 @@ def dense_panel(
         cells = highest.select(time, sensor, "cell.*")
     else:
         cells = df.groupBy(time, sensor).agg(*[F.max_by(c, tiebreak).alias(c) for c in cols])
-    n_times, n_nodes = times.count(), ids.count()
-    size = n_times * n_nodes
-    spark = df.sparkSession
-    tasks = max(spark.sparkContext.defaultParallelism, -(-size // GRID_ROWS_PER_TASK))
-    # Cell k of the tensor is time k div nodes and node k mod nodes, so the grid is a plain range.
-    grid = spark.range(0, size, 1, tasks).select(
-        F.expr(f"id div {max(n_nodes, 1)}").alias("time_index"),
-        (F.col("id") % max(n_nodes, 1)).alias("node_id"),
-    )
-    if fits_broadcast(times, BROADCAST_ROWS):
-        times = F.broadcast(times)
-    if fits_broadcast(ids, BROADCAST_ROWS):
-        ids = F.broadcast(ids)
-    panel = (
-        grid.join(times, "time_index")
-        .join(ids, "node_id")
-        .join(cells, [time, sensor], "left")
-        .select(time, sensor, "time_index", "node_id", *cols)
+    n_times = times.count()
+    by_time = F.broadcast(times) if fits_broadcast(times, BROADCAST_ROWS) else times
+    by_sensor = F.broadcast(ids) if fits_broadcast(ids, BROADCAST_ROWS) else ids
+    span, width = F.expr(f"time_index div {steps_per_task}"), F.lit(steps_per_task)
+    known = cells.join(by_time, time).join(by_sensor, sensor).select(sensor, "node_id", "time_index", *cols)
+    # A row of its own opens every span of every node; each row then reaches to the next one of its span.
+    spans = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(0, (n_times - 1) // steps_per_task)).cast("long")))
+    opening = ids.select(sensor, "node_id", spans.alias("__span")).where(F.lit(n_times > 0))
+    rows = known.withColumn("__span", span).unionByName(opening, allowMissingColumns=True)
+    window = Window.partitionBy("node_id", "__span").orderBy(F.col("time_index").asc_nulls_first())
+    end = F.least((F.col("__span") + 1) * width, F.lit(n_times)).cast("long")
+    first = F.coalesce("time_index", F.col("__span") * width)
+    rows = rows.withColumns({"__first": first, "__last": F.coalesce(F.lead("time_index").over(window), end) - 1})
+    steps = F.when(F.col("__first") <= F.col("__last"), F.sequence("__first", "__last"))
+    filled = rows.withColumn("__step", F.explode(steps))
+    read = F.col("__step").eqNullSafe(F.col("time_index"))
+    filled = filled.select(
+        sensor, "node_id", F.col("__step").alias("time_index"), *[F.when(read, F.col(c)).alias(c) for c in cols]
     )
+    panel = filled.join(by_time, "time_index").select(time, sensor, "time_index", "node_id", *cols)
     return panel if mask_missing else fill_zero(panel, cols)
 
 

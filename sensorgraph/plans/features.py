@@ -28,6 +28,7 @@ from sensorgraph.operators.reshape import (
 from sensorgraph.operators.series import TARGET, series_columns, window_column_names
 from sensorgraph.operators.storage import stored
 
+# The large columns that gold leaves out.
 LARGE_COLUMNS = ("features", "scaled_features", "numeric_features")
 
 
@@ -61,6 +62,8 @@ def build_series_features(
     them the pass that fits the ranges.
     """
     frame = series_frame(df, cfg)
+    if vectors and fit_df is None:
+        frame = stored(frame, "series-frame")  # the ranges need a pass over all columns before the output pass
     numbers = scaled_inputs(frame, cfg.tiebreak)
     filled = fill_zero(frame, numbers)
     fit_on = filled if fit_df is None else fill_zero(fit_df, numbers)

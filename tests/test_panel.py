@@ -82,7 +82,26 @@ def test_dense_panel_can_mask_missing_cells(grid):
 
 def test_dense_panel_uses_no_cross_join(grid):
     text = plan(panel_of(grid, ["speed"]))
-    assert "Cartesian" not in text and "NestedLoop" not in text and "Range" in text
+    assert "Cartesian" not in text and "NestedLoop" not in text
+
+
+def test_only_readings_are_shuffled_for_the_panel(spark):
+    """One exchange to pick a reading per cell, one by node and span; the steps between are filled behind them."""
+    readings = speeds(spark, [(s, at(5 * t), 1.0) for s in range(3) for t in range(0, 40, 3)])
+    df = panel.dense_panel(readings, ["speed"])
+    text = plan(df)
+    assert text.count("Exchange hashpartitioning") == 2
+    assert "Exchange hashpartitioning(node_id" in text
+    assert df.count() == 3 * 14
+
+
+@pytest.mark.parametrize("steps_per_task", [1, 4, 100])
+def test_dense_panel_in_spans(spark, steps_per_task):
+    rows = [(s, at(t), float(s * 100 + t)) for s in range(3) for t in range(20) if (s + t) % 3 or t == 11]
+    df = panel.dense_panel(speeds(spark, rows), ["speed"], steps_per_task=steps_per_task)
+    known = {(s, t): v for s, t, v in rows}
+    wanted = [(at(t), s, known.get((s, at(t)), 0.0)) for t in range(20) for s in range(3)]
+    assert values(df, "timestamp", "sensor_id", "speed", by=["timestamp", "sensor_id"]) == wanted
 
 
 def test_dense_panel_of_its_own_times_and_sensors(spark):
