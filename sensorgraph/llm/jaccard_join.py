@@ -29,7 +29,7 @@ def _more(n: np.ndarray) -> np.ndarray:
     return 1 + n // 16
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each text in ascending order, text after text, and their number per text."""
     out, sizes = [], []
     for a, b in pieces(offsets):
@@ -43,9 +43,6 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int, wanted: np.n
             owner.append(np.array([t]))
             value.append(window_hashes(hashes[first[t] : first[t + 1]], int(words[t])))
         owner, value = np.concatenate(owner), np.concatenate(value)
-        if wanted is not None:
-            some = wanted[a:b][owner]
-            owner, value = owner[some], value[some]
         order = np.lexsort((value, owner))
         owner, value = owner[order], value[order]
         new = np.concatenate(([True], (owner[1:] != owner[:-1]) | (value[1:] != value[:-1]))) if len(owner) else np.zeros(0, bool)
@@ -80,12 +77,32 @@ def _survivors(group: pa.Table, width: int, percent: int, bits: int) -> pa.Table
     return pa.table([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], ["block", "id", "place", "n", "signature", "linked"])
 
 
-def _nodes(places: np.ndarray, path: str, width: int):
+def _nodes(places: np.ndarray, path: str, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, tokens and set sizes of some texts of a block."""
     ids, data, offsets = block_texts(read_block(path))
-    wanted = np.zeros(len(ids), bool)
-    wanted[places] = True
-    tokens, sizes = shingle_sets(data, offsets, width, wanted)
-    return ids, tokens, sizes
+    lengths = np.diff(offsets)[places]
+    data = data[ranges(offsets[:-1][places], lengths)]
+    tokens, sizes = shingle_sets(data, np.concatenate(([0], np.cumsum(lengths))), width)
+    return ids[places], tokens, sizes
+
+
+def _tokens_of(places: DataFrame, width: int) -> DataFrame:
+    """``id, n, tokens`` of the texts at ``block, places``, read from their blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, at in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                ids, tokens, sizes = _nodes(np.array(at, np.int64), path, width)
+                ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+                lists = pa.ListArray.from_arrays(ends, tokens.view(np.int64))
+                yield pa.record_batch([pa.array(ids), pa.array(sizes.astype(np.int64)), lists], ["id", "n", "tokens"])
+
+    return places.repartition(F.col("block")).mapInArrow(run, "id long, n long, tokens array<long>")
+
+
+def _by_block(rows: DataFrame) -> DataFrame:
+    """``block, places`` of rows ``block, place``: at most the texts of a block each."""
+    return rows.groupBy("block").agg(F.sort_array(F.collect_set("place")).alias("places"))
 
 
 def _in_order(tokens: np.ndarray, levels: np.ndarray, seed: int) -> np.ndarray:
@@ -93,28 +110,35 @@ def _in_order(tokens: np.ndarray, levels: np.ndarray, seed: int) -> np.ndarray:
 
 
 def _pairs(group: pa.Table, percent: int) -> pa.Table:
-    """Pairs of one token's documents that pass sizes and positions and are not yet in one component."""
-    n, at, label, ids = (group.column(c).to_numpy() for c in ("n", "at", "label", "id"))
-    order = np.lexsort((ids, n))
-    n, at, label, ids = n[order], at[order], label[order], ids[order]
-    left, right = [], []
-    for k in range(len(n) - 1):
-        stop = np.searchsorted(n, n[k] * 100 // percent, "right")
+    """Pairs of documents with a common token that pass sizes and positions and are not yet in one component."""
+    token, n, at, label, ids = (group.column(c).to_numpy() for c in ("token", "n", "at", "label", "id"))
+    order = np.lexsort((ids, n, token))
+    token, n, at, label, ids = (x[order] for x in (token, n, at, label, ids))
+    ends = np.searchsorted(token, token, "right")
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for k in np.flatnonzero(ends - np.arange(len(token)) > 1).tolist():
+        stop = k + 1 + int(np.searchsorted(n[k + 1 : ends[k]], n[k] * 100 // percent, "right"))
         other = slice(k + 1, stop)
         most = 1 + np.minimum(n[k] - at[k] - 1, n[other] - at[other] - 1)
         fits = (label[other] != label[k]) & ((100 + percent) * most >= percent * (n[k] + n[other])) & (ids[other] != ids[k])
         mates = ids[other][fits]
-        left.append(np.minimum(mates, ids[k]))
-        right.append(np.maximum(mates, ids[k]))
-    none = [np.zeros(0, np.int64)]
-    return pa.table([np.concatenate(left or none), np.concatenate(right or none)], ["a", "b"])
+        if len(mates):
+            left.append(np.minimum(mates, ids[k]))
+            right.append(np.maximum(mates, ids[k]))
+    pairs = np.unique(np.column_stack((np.concatenate(left), np.concatenate(right))), axis=0)
+    return pa.table([pairs[:, 0], pairs[:, 1]], ["a", "b"])
 
 
-def _links(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs that do link, by the size of the intersection of their sets."""
-    sets = nodes.select("id", "n", "tokens")
-    left = pairs.join(sets.toDF("a", "n_a", "tokens_a"), "a")
-    both = left.join(sets.toDF("b", "n_b", "tokens_b"), "b")
+def _links(pairs: DataFrame, places: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs that do link, by the size of the intersection of their sets.
+
+    Only the sets of documents in a pair move: they are read from their blocks anew.
+    """
+    ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    sets = _tokens_of(stored(_by_block(places.join(ends, "id")), "ends-by-block"), width)
+    # Spark takes what a Python function returns to be as small as its input; such a side must never be broadcast.
+    left = pairs.join(sets.toDF("a", "n_a", "tokens_a").hint("merge"), "a")
+    both = left.join(sets.toDF("b", "n_b", "tokens_b").hint("merge"), "b")
     common = F.size(F.array_intersect("tokens_a", "tokens_b"))
     return both.where((100 + percent) * common >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b")
 
@@ -149,8 +173,8 @@ def near_duplicate_classes(
     linked = sets.where("linked")
     first = stored(linked.groupBy("signature", "n").agg(F.min(F.struct("id", "block", "place")).alias("first"), F.count("*").alias("copies")), "equal-sets")
     copies = linked.join(first.where("copies > 1"), ["signature", "n"]).select(F.col("id").alias("a"), F.col("first.id").alias("b"))
-    chosen = first.select("first.block", "first.place").groupBy("block").agg(F.sort_array(F.collect_list("place")).alias("places"))
-    chosen = stored(chosen, "nodes-by-block")
+    places = first.select("first.*")
+    chosen = stored(_by_block(places), "nodes-by-block")
 
     def node_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -168,7 +192,8 @@ def near_duplicate_classes(
         level = np.empty(len(tokens), np.uint8)
         level[order] = levels_of(group, tokens[order], bits)
         stop = np.cumsum(sizes)
-        rows = [(int(ids[t]), int(sizes[t]), tokens[stop[t] - sizes[t] : stop[t]].view(np.int64), level[stop[t] - sizes[t] : stop[t]]) for t in places]
+        parts = [slice(b - n, b) for b, n in zip(stop.tolist(), sizes.tolist(), strict=True)]
+        rows = [(int(i), p.stop - p.start, tokens[p].view(np.int64), level[p]) for i, p in zip(ids, parts, strict=True)]
         return pa.table(
             {
                 "id": pa.array([r[0] for r in rows], pa.int64()),
@@ -180,7 +205,7 @@ def near_duplicate_classes(
         )
 
     kinds = "id long, n long, central double, tokens array<long>, levels binary"
-    nodes = stored(classes.join(chosen, "block").groupBy("block").applyInArrow(node_rows, kinds), "nodes")
+    nodes = stored(classes.hint("merge").join(chosen, "block").groupBy("block").applyInArrow(node_rows, kinds), "nodes")
 
     def prefixes(rows: DataFrame, seed: int) -> DataFrame:
         """Tokens of the nodes' prefixes that another node has, with their place in the order."""
@@ -208,7 +233,7 @@ def near_duplicate_classes(
     votes = postings.select("token", "id").join(centre, "token").where("id <> centre").groupBy("id", "centre").count()
     best = votes.groupBy("id").agg(F.max(F.struct("count", "centre")).alias("best"))
     tried = stored(best.select(F.least("id", "best.centre").alias("a"), F.greatest("id", "best.centre").alias("b")).distinct(), "tried")
-    links = stored(_links(tried, nodes, percent), "links")
+    links = stored(_links(tried, places, width, percent), "links")
     labels = components(links)
 
     own = postings.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
@@ -217,10 +242,11 @@ def near_duplicate_classes(
     open_rows = stored(own.join(open_tokens, "token"), "open-rows")
     if not open_rows.isEmpty():
         some = stored(nodes.join(open_rows.select("id").distinct(), "id"), "open-nodes")
+        cell = F.pmod("token", F.lit(1 << bits))  # several tokens a group; all rows of a token are in one
         of_order = [open_rows, *[prefixes(some, seed).join(labels, "id", "left").withColumn("label", F.coalesce("label", "id")) for seed in ORDERS[1:]]]
-        found = [rows.groupBy("token").applyInArrow(lambda g: _pairs(g, percent), "a long, b long").distinct() for rows in of_order]
+        found = [rows.groupBy(cell).applyInArrow(lambda g: _pairs(g, percent), "a long, b long").distinct() for rows in of_order]
         pairs = stored(reduce(lambda x, y: x.join(y, ["a", "b"]), found), "pairs")
-        links = links.union(stored(_links(pairs, nodes, percent), "more-links"))
+        links = links.union(stored(_links(pairs, places, width, percent), "more-links"))
     labels = components(links.union(copies.where("a <> b")))
     smallest = -(1 << 63)
     real = lambda c: F.when(F.col(c) != smallest, F.col(c))
