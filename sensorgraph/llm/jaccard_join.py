@@ -230,7 +230,9 @@ def near_duplicate_classes(
     postings = stored(prefixes(nodes, ORDERS[0]), "prefix-tokens")
     centre = postings.groupBy("token").agg(F.max(F.struct("central", (-F.col("id")).alias("minus"))).alias("top"), F.count("*").alias("m"))
     centre = stored(centre.where("m > 1").select("token", (-F.col("top.minus")).alias("centre")), "centres")
-    votes = postings.select("token", "id").join(centre, "token").where("id <> centre").groupBy("id", "centre").count()
+    # Only a pair that shares a fair part of a prefix is worth moving two sets; the rest is left to the filters below.
+    votes = postings.select("token", "id", "n").join(centre, "token").where("id <> centre").groupBy("id", "n", "centre").count()
+    votes = votes.where(F.col("count") * 32 >= F.col("n"))
     best = votes.groupBy("id").agg(F.max(F.struct("count", "centre")).alias("best"))
     tried = stored(best.select(F.least("id", "best.centre").alias("a"), F.greatest("id", "best.centre").alias("b")).distinct(), "tried")
     links = stored(_links(tried, places, width, percent), "links")
