@@ -17,10 +17,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sensorgraph.llm.rows import small_batches
 from sensorgraph.llm.text import byte_column
 from sensorgraph.operators.storage import scratch_path, stored
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 3 << 20
 BUCKET_BYTES = 2 << 20
 CODE_BYTES = 5  # of a code's 8; the highest are its bucket
 
@@ -95,6 +96,7 @@ def write_blocks(docs: DataFrame, id_col: str, text_col: str, codes_of: Callable
     names carry the task attempt, and the rows that count are those of the attempt that was committed.
     """
     folder = scratch_path(docs.sparkSession, "blocks")
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()

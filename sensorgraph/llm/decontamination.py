@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sensorgraph.llm.rows import small_batches
 from sensorgraph.llm.text import WORD_CHARS, byte_column, pieces, ranges, span_hashes, spans
 
 SHARD_BYTES = 2 << 20
@@ -229,6 +230,7 @@ def find_passages(
     may be empty; other columns are ignored.
     """
     context = docs.sparkSession.sparkContext
+    small_batches(docs.sparkSession)
     items = benchmark.select(F.col(item_col).cast("long"), F.col(item_text_col)).where(F.col(item_text_col).isNotNull())
     found = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),

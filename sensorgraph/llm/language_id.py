@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sensorgraph.llm.rows import small_batches
 from sensorgraph.llm.text import LOWER, byte_column, pieces
 from sensorgraph.operators.storage import stored
 
@@ -139,6 +140,7 @@ def identify(
     rows each give a row; without labelled texts the language is null; an empty table gives no row. Only narrow rows
     are shuffled; the grouped tables are written, so that a hot host's join is broadcast or split.
     """
+    small_batches(rows.sparkSession)
     rows = rows.withColumn("text", F.coalesce("text", F.lit("")))
     labels = rows.where(F.col("lang").isNotNull() & (F.col("text") != "")).groupBy("lang").count()
     totals = {r["lang"]: r["count"] for r in labels.orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES + 1).collect()}

@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ID, TEXT, HASH = "__llm_id", "__llm_text", "__llm_hash"
 
 
+#: Rows of an Arrow batch that holds texts. Spark's usual 10,000 would be hundreds of megabytes of long documents.
+TEXT_ROWS_PER_BATCH = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's rows per Arrow batch to what suits texts; it is read when the plan runs, so it stays so."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= TEXT_ROWS_PER_BATCH:
+        spark.conf.set(name, str(TEXT_ROWS_PER_BATCH))
+
+
 def keyed(df: DataFrame, id_col: str, text_col: str, **more: Column) -> DataFrame:
     """Id, text (null becomes empty) and a hash of the text, under names no caller uses, and further columns.
 

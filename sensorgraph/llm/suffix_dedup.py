@@ -209,5 +209,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     levels = code_levels(codes)
     rows = levels.groupBy("block").applyInArrow(lambda g: _dictionary_rows(g, bits), "block string, bucket long, payload binary")
     judged = rows.groupBy("bucket").applyInArrow(_judged, "block string, bucket long, least binary")
-    both = levels.join(judged, ["block", "bucket"], "left").select("block", "bucket", "levels", "least")
+    # Neither side's size is known before it runs, so neither may be broadcast.
+    both = levels.hint("merge").join(judged, ["block", "bucket"], "left").select("block", "bucket", "levels", "least")
     return both.groupBy("block").applyInArrow(lambda g: _removed(g, bits), _OUT)

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sensorgraph.llm.rows import small_batches
 from sensorgraph.llm.text import NOT_WHITE, byte_column, pieces, span_hashes, spans
 from sensorgraph.operators.storage import stored
 
@@ -201,6 +202,7 @@ def _with_spelled(scorer, data, starts, ends, sentence, score):
 
 def _featured(docs: DataFrame, id_col: str, text_col: str, table: np.ndarray, bias: float, document: np.ndarray | None):
     model = docs.sparkSession.sparkContext.broadcast((table, bias, document))
+    small_batches(docs.sparkSession)
     names = ["doc_id", "features"] if document is None else ["doc_id", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

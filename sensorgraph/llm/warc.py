@@ -13,6 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sensorgraph.llm.rows import small_batches
 from sensorgraph.operators.storage import stored
 
 #: Bytes of records per archive before compression; a task holds one archive at a time.
@@ -116,6 +117,7 @@ def write_archives(
     and payload are all responses if the id is the smallest; an empty table gives an empty manifest. File names carry
     the task attempt and only the manifest tells which count, so a repeated task leaves no double records.
     """
+    small_batches(pages.sparkSession)
     rows = deduplicated(pages, id_col, payload_col, url_col, least_revisit_bytes)
     rows = rows.select("page_id", "url", "payload", "digest", "refers_to")
 
