@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -11,17 +12,46 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorgraph.llm.text import NOT_WHITE, byte_column, pieces, ranges, span_hashes, spans
+from sensorgraph.llm.rows import small_batches
+from sensorgraph.llm.text import WHITE, byte_column, pieces, ranges, span_hashes
 from sensorgraph.operators.storage import stored
 
 #: Distinct words whose token ids a task keeps; beyond it the store starts anew (about 30 bytes a word).
 KEPT_WORDS = 2_000_000
 
 
+#: Kinds of bytes: white space, ASCII letters and digits, ASCII marks, anything else (also what special tokens hold).
+_KIND = np.full(256, 3, np.uint8)
+_KIND[WHITE] = 0
+_KIND[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+_KIND[[ord(c) for c in '.,;:!?#$%&*()"-+=/']] = 2
+
+
+def chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of stretches that are tokenized by themselves, and per text its range of them.
+
+    Tokens never cross white space, nor the place where ASCII letters or digits meet one of the marks above: the
+    tokenizer splits runs of letters, digits and other characters, and an apostrophe, which it may join, is no such mark.
+    """
+    if not len(data):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
+    kind = _KIND[data]
+    cut = np.zeros(len(data) + 1, bool)
+    cut[1:-1] = (kind[1:] * kind[:-1] == 2) | (kind[1:] * kind[:-1] == 0)
+    cut[offsets] = True
+    edges = np.flatnonzero(cut)
+    if edges[0]:
+        edges = np.concatenate(([0], edges))
+    starts = edges[:-1][kind[edges[:-1]] > 0]
+    ends = edges[1:][kind[edges[:-1]] > 0]
+    return starts, ends, np.searchsorted(starts, offsets)
+
+
 class WordTokens:
-    """Token ids by word hash. The tokenizer never joins across white space, so ids of a text are those of its words."""
+    """Token ids by the hash of a stretch of text in lower case, as the tokenizer reads it."""
 
     def __init__(self, path: str, end_id: int):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer, self.end_id = Tokenizer.from_file(path), end_id
@@ -47,8 +77,10 @@ class WordTokens:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by the end id, and the number of ids per text."""
-        starts, ends, first = spans(data, offsets, NOT_WHITE)
-        hashes, where = np.unique(span_hashes(data, starts, ends, lower=False), return_inverse=True)
+        starts, ends, first = chunks(data, offsets)
+        # Special tokens are read before the case is dropped.
+        lower = b"<|" not in data.tobytes()
+        hashes, where = np.unique(span_hashes(data, starts, ends, lower), return_inverse=True)
         one = np.zeros(len(hashes), np.int64)
         one[where] = np.arange(len(starts))  # some occurrence of each distinct word
         at = np.searchsorted(self.hashes, hashes)
@@ -68,6 +100,16 @@ class WordTokens:
         return out, counts
 
 
+_KEPT: dict[tuple[str, int], WordTokens] = {}
+
+
+def _coder(path: str, end_id: int) -> WordTokens:
+    """One per Python worker: what a task has learnt serves the next."""
+    if (path, end_id) not in _KEPT:
+        _KEPT[path, end_id] = WordTokens(path, end_id)
+    return _KEPT[path, end_id]
+
+
 def pieces_of(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, capacity: int, end_id: int) -> DataFrame:
     """Token pieces of at most ``capacity``, with the task that made them and their number among its equal lengths.
 
@@ -75,7 +117,7 @@ def pieces_of(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, capac
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, task = WordTokens(tokenizer, end_id), TaskContext.get().partitionId()
+        coder, task = _coder(tokenizer, end_id), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             data, offsets = byte_column(batch.column(1))
@@ -98,6 +140,7 @@ def pieces_of(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, capac
                 columns += [np.full(len(doc), task, np.int64), nth]
                 yield pa.record_batch([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], _PIECES)
 
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kinds = "doc_id long, piece int, start long, length long, ids_crc32 long, task long, nth long"
     return rows.mapInArrow(run, kinds)
