@@ -9,6 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sensorgraph.llm.rows import small_batches
+from sensorgraph.operators.storage import stored
+
 #: Lengths are summed in blocks of this width first, so that no task orders all lengths.
 BLOCK = 1024
 
@@ -38,8 +41,10 @@ def length_histogram(docs: DataFrame, text_col: str = "text", vocabulary: str |
                 found[length] = found.get(length, 0) + 1
         yield pa.record_batch([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())], ["length", "n_docs"])
 
+    small_batches(docs.sparkSession)
     counted = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "length long, n_docs long")
-    return counted.groupBy("length").agg(F.sum("n_docs").alias("n_docs"))
+    # Written, because every use of the sums reads it twice and the texts should be encoded once.
+    return stored(counted.groupBy("length").agg(F.sum("n_docs").alias("n_docs")), "length-histogram")
 
 
 def length_sums(histogram: DataFrame) -> DataFrame:
