@@ -85,9 +85,8 @@ def test_repeated_sentences(spark, odd, none):
     shared = "The old mill stands by the river bank. Nobody goes there after dark now."
     rows = [(5, f"Alone here. {shared} After it all."), (2, f"Before. {shared}"), (9, f"{shared}\nLast words."), (6, "Before. After.")]
     found = tuples(sentence_dedup.remove_repeated_sentences(frame(spark, rows)), "doc_id", "text", "n_removed")
-    assert found == [(2, f"Before. {shared}", 0), (5, "Alone here. After it all.".replace(" A", " A"), 2), (6, "Before. After.", 0), (9, "\nLast words."[1:], 2)] or [
-        (d, n) for d, _, n in found
-    ] == [(2, 0), (5, 2), (6, 0), (9, 2)]
+    assert [(d, n) for d, _, n in found] == [(2, 0), (5, 2), (6, 0), (9, 2)]
+    assert {d: t for d, t, _ in found}[2] == f"Before. {shared}"
     assert {d: t for d, t, _ in found}[5].split() == "Alone here. After it all.".split()
     kept = {(d, t): n for d, t, n in tuples(sentence_dedup.remove_repeated_sentences(odd), "doc_id", "text", "n_removed")}
     assert kept[7, None] == 0 and kept[8, ""] == 0 and kept[None, None] == 0 and kept[32, "a. a. a. a. a. a."] == 0
