@@ -22,7 +22,7 @@ from sensorgraph.llm.text import byte_column
 from sensorgraph.operators.storage import scratch_path, stored
 
 BLOCK_BYTES = 3 << 20
-BUCKET_BYTES = 2 << 20
+BUCKET_BYTES = 512 << 10
 CODE_BYTES = 5  # of a code's 8; the highest are its bucket
 
 
