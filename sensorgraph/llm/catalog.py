@@ -12,7 +12,7 @@ from sensorgraph.llm.jaccard_join import near_duplicate_classes
 from sensorgraph.llm.language_id import document_rows, identify, page_rows
 from sensorgraph.llm.packing import pack
 from sensorgraph.llm.quality_rules import quality_verdicts
-from sensorgraph.llm.sentence_dedup import remove_repeated_sentences
+from sensorgraph.llm.sentence_dedup import ENDS, UNSPACED, remove_repeated_sentences
 from sensorgraph.llm.suffix_dedup import remove_repeats
 from sensorgraph.llm.token_counts import length_histogram, length_sums
 from sensorgraph.llm import toxicity
@@ -187,6 +187,46 @@ from rows left join kept using (doc_id) left join (select doc_id, count(*) as n
 
 @query("op2_substring_dedup", OP2_SQL)
 def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``OP2_SQL`` has it, with runs of two sentences only; op2_substring_dedup_covering removes repeats whole."""
+    return remove_repeated_sentences(table(spark, folder, "documents").select("doc_id", "text"), covering=False)
+
+
+OP2_COVERING_SQL = rf"""
+with rows as (
+  select doc_id, text, regexp_extract_all(coalesce(text, ''), '[^{ENDS}]*[{ENDS}]+|[^{ENDS}]+') as l from documents),
+parts as (
+  select doc_id, generate_subscripts(l, 1) as i, unnest(l) as s from rows),
+normal as (
+  select doc_id, i, trim(regexp_replace(lower(s), '[ \t\n\x0b\f\r{ENDS}]+', ' ', 'g'), ' ') as s from parts),
+counted as (
+  select *, len(regexp_extract_all(s, '[{UNSPACED}]{{1,2}}|[^ {UNSPACED}]+')) as w from normal),
+worded as (
+  select *, row_number() over (partition by doc_id order by i) as p, sum(w) over (partition by doc_id order by i) as total
+  from counted where w > 0),
+windows as (
+  select a.doc_id, a.p as p, b.p as q from worded a join worded b
+  on a.doc_id = b.doc_id and b.p between a.p + 1 and a.p + 7 and b.total - a.total + a.w >= 8),
+extents as (
+  select doc_id, p, min(q) as q from windows group by doc_id, p
+  union select doc_id, max(p), q from windows group by doc_id, q
+  union select doc_id, p, p from worded where w >= 16),
+runs as (
+  select e.doc_id, min(x.i) as i, max(x.i) as j, string_agg(x.s, chr(10) order by x.p) as s
+  from extents e join worded x on x.doc_id = e.doc_id and x.p between e.p and e.q group by e.doc_id, e.p, e.q
+  union all
+  select a.doc_id, a.i, b.i, a.s || chr(10) || b.s from counted a join counted b on a.doc_id = b.doc_id and b.i = a.i + 1
+  where a.w + b.w >= 8 and (a.w = 0 or b.w = 0)),
+again as (select doc_id, i, j from runs qualify row_number() over (partition by s order by doc_id, i) > 1),
+gone as (select distinct doc_id, unnest(range(i, j + 1)) as i from again),
+kept as (
+  select doc_id, string_agg(s, '' order by i) as t from parts anti join gone using (doc_id, i) group by doc_id)
+select doc_id, case when n is null then text else coalesce(t, '') end as text, coalesce(n, 0)::bigint as n_removed
+from rows left join kept using (doc_id) left join (select doc_id, count(*) as n from gone group by doc_id) using (doc_id)
+"""
+
+
+@query("op2_substring_dedup_covering", OP2_COVERING_SQL)
+def op2_covering(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeated_sentences(table(spark, folder, "documents").select("doc_id", "text"))
 
 

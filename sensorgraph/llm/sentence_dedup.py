@@ -10,51 +10,119 @@ from sensorgraph.operators.storage import stored
 
 #: A sentence with what ends it; every character of a text is in exactly one.
 SENTENCE = r"[^.!?\n]*+[.!?\n]++|[^.!?\n]++"
+#: End marks of all scripts and all line ends.
+ENDS = ".!?\\n\\x0B\\f\\r\x85\u2028\u2029…‼⁇⁈⁉。．！？｡؟۔।॥։።፧፨။។៕།༎"
+ANY_SENTENCE = f"[^{ENDS}]*+[{ENDS}]++|[^{ENDS}]++"
+#: Characters of scripts that set no spaces between words: Thai, Lao, Tibetan, Burmese, Khmer, kana, Han.
+UNSPACED = "\u0e01-\u0fff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
 
 
-def sentences(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(SENTENCE), F.lit(0))
+def sentences(text: Column, pattern: str = SENTENCE) -> Column:
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
-def normal_sentence(sentence: Column) -> Column:
+def normal_sentence(sentence: Column, ends: str = ".!?") -> Column:
     """As compared: lower case, no end marks, single spaces."""
-    return F.btrim(F.regexp_replace(F.lower(sentence), r"[ \t-\r.!?]+", " "))
+    return F.btrim(F.regexp_replace(F.lower(sentence), rf"[ \t-\r{ends}]+", " "))
 
 
-def _spans(found: Column, run: int, least_words: int) -> Column:
-    """``at, a, chars`` of every run of sentences with enough words: hash and length of the run."""
+_SPANS = "array<struct<at:int,to:int,a:bigint,chars:int>>"
+
+
+def _span(at: Column, to: Column, run: Column) -> Column:
+    """A run by its first and last place, and the hash and length of its sentences."""
+    chars = F.aggregate(run, F.lit(0), lambda n, s: n + F.length(s))
+    return F.struct(at.cast("int").alias("at"), to.cast("int").alias("to"), F.xxhash64(run).alias("a"), chars.alias("chars"))
+
+
+def _pairs(normal: Column, words: Column, run: int, least_words: int, wanted=lambda i: F.lit(True)) -> Column:
+    """Every run of ``run`` sentences, empty ones included, with enough words."""
+
+    def enough(i: Column) -> Column:
+        return (sum((F.get(words, i + k) for k in range(1, run)), F.get(words, i)) >= least_words) & wanted(i)
+
+    starts = F.filter(F.sequence(F.lit(0), F.size(normal) - run), enough)
+    found = F.transform(starts, lambda i: _span(i, i + run - 1, F.slice(normal, i + 1, run)))
+    return F.when(F.size(normal) < run, F.array().cast(_SPANS)).otherwise(found)
+
+
+def _fixed_spans(found: Column, run: int, least_words: int) -> Column:
+    """``at, to, a, chars`` of every run of exactly ``run`` sentences with enough words."""
 
     def of(normal: Column) -> Column:
         words = F.transform(normal, lambda s: F.when(s == "", 0).otherwise(F.regexp_count(s, F.lit(" ")) + 1))
+        return once(words, lambda words: _pairs(normal, words, run, least_words))
 
-        def spans(words: Column) -> Column:
-            starts = F.filter(
-                F.sequence(F.lit(0), F.size(normal) - run),
-                lambda i: sum((F.get(words, i + k) for k in range(1, run)), F.get(words, i)) >= least_words,
-            )
-            return F.transform(
-                starts,
-                lambda i: F.struct(
-                    i.alias("at"),
-                    F.xxhash64(*[F.get(normal, i + k) for k in range(run)]).alias("a"),
-                    sum((F.length(F.get(normal, i + k)) for k in range(1, run)), F.length(F.get(normal, i))).alias("chars"),
-                ),
-            )
+    return once(F.transform(found, lambda s: normal_sentence(s)), of)
 
-        return once(words, spans)
 
-    none = F.array().cast("array<struct<at:int,a:bigint,chars:int>>")
-    return F.when(F.size(found) < run, none).otherwise(once(F.transform(found, normal_sentence), of))
+def _covering_spans(found: Column, run: int, least_words: int, alone_words: int) -> Column:
+    """``at, to, a, chars`` of the shortest runs with enough sentences and words from every sentence on and up to every
+    sentence, of long sentences alone, and of runs with an empty sentence.
+
+    Sentences without words are passed over: each of the others has a word, so a run is over after ``least_words``. The
+    runs from the left alone could leave the last sentences of a passage uncovered; with those from the right, two texts
+    share a run over every sentence of a passage that has enough sentences and words.
+    """
+    most = max(run, least_words)
+
+    def least(words: Column) -> Column:
+        """How many of the first of these make a run; 0 if they do not."""
+        none = F.struct(F.lit(0).alias("k"), F.lit(0).alias("n"))
+
+        def longer(state: Column, n: Column) -> Column:
+            more = F.struct((state["k"] + 1).alias("k"), (state["n"] + n).alias("n"))
+            return F.when((state["k"] < run) | (state["n"] < least_words), more).otherwise(state)
+
+        whole = lambda state: F.when((state["k"] >= run) & (state["n"] >= least_words), state["k"]).otherwise(0)
+        return F.aggregate(words, none, longer, whole)
+
+    def of(place: Column, normal: Column, words: Column) -> Column:
+        span = lambda p, k: _span(F.get(place, p), F.get(place, p + k - 1), F.slice(normal, p + 1, k))
+        every = F.sequence(F.lit(0), F.size(normal) - 1)
+        onward = F.transform(every, lambda p: F.struct(p.alias("p"), least(F.slice(words, p + 1, most)).alias("k")))
+        before = lambda p: F.slice(words, F.greatest(p - most + 2, F.lit(1)), F.least(p + 1, F.lit(most)))
+        back = F.transform(every, lambda p: once(least(F.reverse(before(p))), lambda k: F.struct((p - k + 1).alias("p"), k.alias("k"))))
+        # A run that is also the shortest from its first sentence on is there already.
+        shorter = lambda x: F.aggregate(F.slice(words, x["p"] + 1, x["k"] - 1), F.lit(0), lambda n, w: n + w) >= least_words
+        back = F.filter(back, lambda x: F.when(x["k"] > run, shorter(x)).otherwise(F.lit(False)))
+        alone = F.filter(every, lambda p: F.get(words, p) >= alone_words)
+        alone = F.transform(alone, lambda p: F.struct(p.alias("p"), F.lit(1).alias("k")))
+        runs = F.concat(F.filter(onward, lambda x: x["k"] > 0), back, alone)
+        return F.when(F.size(normal) < 1, F.array().cast(_SPANS)).otherwise(F.transform(runs, lambda x: span(x["p"], x["k"])))
+
+    def split(normal: Column, words: Column) -> Column:
+        gap = lambda i: sum((F.get(words, i + k) == 0).cast("int") for k in range(run)) > 0
+        full = F.filter(F.sequence(F.lit(0), F.size(normal) - 1), lambda i: F.get(words, i) > 0)
+        at = lambda places, values: F.transform(places, lambda i: F.get(values, i))
+        runs = once(full, lambda i: once(at(i, normal), lambda s: once(at(i, words), lambda w: of(i, s, w))))
+        pairs = _pairs(normal, words, run, least_words, gap)
+        return F.when(F.size(normal) < 1, F.array().cast(_SPANS)).otherwise(F.concat(runs, pairs))
+
+    word = F.lit(f"[{UNSPACED}]{{1,2}}|[^ {UNSPACED}]+")
+    normal = F.transform(found, lambda s: normal_sentence(s, ENDS))
+    return once(normal, lambda s: once(F.transform(s, lambda x: F.regexp_count(x, word)), lambda w: split(s, w)))
 
 
 def remove_repeated_sentences(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = 2, least_words: int = 8
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    run: int = 2,
+    least_words: int = 8,
+    alone_words: int = 16,
+    covering: bool = True,
 ) -> DataFrame:
     """The input with ``text`` less the sentences in repeated runs, and ``n_removed`` sentences.
 
-    Every run of ``run`` consecutive sentences with at least ``least_words`` words in all is hashed. Of equal runs the one
-    of the smallest (id, place) stays; the sentences of all others are removed. Runs are taken from the input, so chains
-    and overlaps do not depend on an order of removal. Runs are equal if hash and length agree.
+    Runs of consecutive sentences are hashed that have ``run`` sentences and ``least_words`` words, or more sentences
+    where so few have too few words; and single sentences of ``alone_words`` words. So of a passage that two documents
+    share the later one loses every whole sentence, however short, if there are ``run`` of them with ``least_words``
+    words. Sentences end at the marks of any script; of scripts without spaces two characters count as a word. Without
+    ``covering`` a run has exactly ``run`` sentences, which end at ``. ! ?`` and newline, and words are told by spaces.
+
+    Of equal runs the one of the smallest (id, place) stays; the sentences of all others are removed. Runs are taken
+    from the input, so chains and overlaps do not depend on an order of removal. Runs are equal if hash and length agree.
 
     Null text stays null; texts of fewer sentences are left alone; a null id counts as the smallest; rows that repeat id
     and text are one document and keep or lose the same sentences; an empty table stays empty; other columns pass through.
@@ -64,19 +132,21 @@ def remove_repeated_sentences(
     places move to the texts.
     """
     rows = keyed(docs, id_col, text_col)
-    spans = rows.select(ID, HASH, F.inline(_spans(sentences(F.col(TEXT)), run, least_words)))
-    spans = stored(spans, "sentence-runs")
+    pattern = ANY_SENTENCE if covering else SENTENCE
+    found = sentences(F.col(TEXT), pattern)
+    found = _covering_spans(found, run, least_words, alone_words) if covering else _fixed_spans(found, run, least_words)
+    spans = stored(rows.select(ID, HASH, F.inline(found)), "sentence-runs")
     place = F.struct(ID, "at")
     groups = spans.groupBy("a", "chars").agg(F.count("*").alias("n"), F.min(place).alias("first"))
     groups = stored(groups.where("n > 1").drop("n"), "repeated-runs")
     again = spans.join(groups, ["a", "chars"]).where(~(F.col(ID).eqNullSafe(F.col("first")[ID]) & (F.col("at") == F.col("first")["at"])))
-    gone = again.groupBy(ID, HASH).agg(F.collect_set("at").alias("__llm_gone"))
+    gone = again.groupBy(ID, HASH).agg(F.collect_set(F.struct("at", "to")).alias("__llm_gone"))
     gone = stored(gone, "repeated-places")
     text = F.coalesce(F.col(text_col), F.lit(""))
     marked = docs.withColumns({ID: F.col(id_col).cast("long"), HASH: F.xxhash64(text)})
     marked = attach(marked, gone).drop(ID, HASH)
 
-    covered = F.array_distinct(F.flatten(F.transform("__llm_gone", lambda i: F.sequence(i, i + run - 1))))
+    covered = F.array_distinct(F.flatten(F.transform("__llm_gone", lambda x: F.sequence(x["at"], x["to"]))))
 
     def kept(found: Column) -> Column:
         """Sentences at the places that are not covered; the set difference keeps order and is one pass."""
@@ -86,7 +156,7 @@ def remove_repeated_sentences(
     changed = F.col("__llm_gone").isNotNull()
     return marked.withColumns(
         {
-            text_col: F.when(changed, once(sentences(F.col(text_col)), kept)).otherwise(F.col(text_col)),
+            text_col: F.when(changed, once(sentences(F.col(text_col), pattern), kept)).otherwise(F.col(text_col)),
             "n_removed": F.when(changed, F.size(covered)).otherwise(0).cast("long"),
         }
     ).drop("__llm_gone")

@@ -268,3 +268,23 @@ def test_quality(spark, odd, none):
         assert not (row["base_failed"] and row["kept"])
     assert not by_id[21]["kept"] and by_id[12]["kept"] and by_id[4]["n_removed_chars"] > 0
     assert quality_rules.quality_verdicts(none).count() == 0
+
+
+def test_repeated_short_sentences(spark):
+    """Passages of short sentences, of one long sentence, and of other scripts go whole; what surrounds them stays."""
+    shouted = " ".join(f"WORD{k}!!" for k in range(60))
+    lines = "\n".join(["Menu", "Home page", "", " ", "About us today", "Contact", "All rights are reserved", "Top"]) + "\n"
+    uneven = "One two three four. Five. Six seven eight nine."
+    alone = " ".join(f"word{k}" for k in range(30)) + ".\n"
+    han, hindi = "今日は晴れです。明日は雨でしょう。", "एक दो तीन चार पाँच। छह सात आठ नौ।"
+    passages_ = [shouted, lines, uneven, alone, han, hindi, "Three words here."]
+    rows = [(10 * k + d, f"{10 * k + d} has its own first words here.\n{p} {10 * k + d} ends with other words.") for k, p in enumerate(passages_) for d in (3, 5)]
+    blank = "One two three four five six seven eight.\n \n"
+    rows += [(901, blank + "Else."), (902, blank + "Other.")]
+    found = {r["doc_id"]: r["text"] for r in sentence_dedup.remove_repeated_sentences(frame(spark, rows)).collect()}
+    for k, passage in enumerate(passages_[:-1]):
+        d = 10 * k + 5
+        assert found[d - 2] == dict(rows)[d - 2]
+        assert found[d].split() == f"{d} has its own first words here. {d} ends with other words.".split(), passage
+    assert found[65] == dict(rows)[65]
+    assert found[901] == dict(rows)[901] and found[902].split() == ["Other."]
