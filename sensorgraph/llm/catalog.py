@@ -11,7 +11,7 @@ from sensorgraph.llm.decontamination import find_passages, items_digest
 from sensorgraph.llm.jaccard_join import near_duplicate_classes
 from sensorgraph.llm.language_id import document_rows, identify, page_rows
 from sensorgraph.llm.packing import pack
-from sensorgraph.llm.quality_rules import quality_verdicts
+from sensorgraph.llm.quality_rules import quality_verdicts, without_frequent_lines
 from sensorgraph.llm.sentence_dedup import ENDS, UNSPACED, remove_repeated_sentences
 from sensorgraph.llm.suffix_dedup import remove_repeats
 from sensorgraph.llm.token_counts import length_histogram, length_sums
@@ -76,6 +76,28 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return quality_verdicts(table(spark, folder, "documents"))
 
 
+OP10_TEXTS_SQL = rf"""
+with verdicts as ({OP10_SQL}),
+parts as (
+  select doc_id, coalesce(source, '') as host, generate_subscripts(string_split(text, chr(10)), 1) as i,
+         unnest(string_split(text, chr(10))) as part from documents),
+normal as (
+  select *, regexp_matches(part, '[^\x20\x09-\x0D]') as filled,
+         trim(regexp_replace(lower(part), '[ \t\n\x0b\f\r]+', ' ', 'g'), ' ') as x from parts),
+frequent as (select host, x from normal where filled group by all having count(distinct doc_id) > 20),
+gone as (select doc_id, i from normal join frequent using (host, x) where filled),
+left_over as (select doc_id, string_agg(part, chr(10) order by i) as t from normal anti join gone using (doc_id, i) group by doc_id)
+select doc_id, case when n is null then text else coalesce(t, '') end as text, coalesce(n, 0)::bigint as n_removed_lines, kept
+from documents join verdicts using (doc_id) left join left_over using (doc_id)
+left join (select doc_id, count(*) as n from gone group by doc_id) using (doc_id)
+"""
+
+
+@query("op10_quality_rules_texts", OP10_TEXTS_SQL)
+def op10_texts(spark: SparkSession, folder: str) -> DataFrame:
+    return without_frequent_lines(table(spark, folder, "documents").select("doc_id", "text", "source")).drop("source")
+
+
 OP3_SQL = r"""
 with items as (
   select item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

@@ -96,6 +96,13 @@ def quality_verdicts(
     shuffle and keyed by host, line and id, so neither a hot host nor a hot line meets in one task; the frequent lines
     are written before they are joined, which lets adaptive execution broadcast them or split a hot one.
     """
+    return _judged(docs, id_col, text_col, host_col, most_docs, most_removed)[0].drop(HASH, "host").withColumnRenamed(ID, id_col)
+
+
+def _judged(
+    docs: DataFrame, id_col: str, text_col: str, host_col: str, most_docs: int, most_removed: float
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The verdicts with row key and host, the lines' hashes per row, and the frequent lines."""
     base = stored(base_rules(docs, id_col, text_col, host_col), "line-hashes")
     lines = base.select(ID, HASH, "host", F.inline("lines"))
     documents = F.count_distinct(F.coalesce(F.col(ID), F.lit(-(2**63))))
@@ -107,8 +114,10 @@ def quality_verdicts(
     removed = attach(removed, copies, "inner").select(ID, HASH, (F.col("chars") / F.col("copies")).cast("long").alias("gone"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     gone = F.coalesce(F.col("gone"), F.lit(0).cast("long"))
-    return attach(base, removed).select(
-        F.col(ID).alias(id_col),
+    verdicts = attach(base, removed).select(
+        ID,
+        HASH,
+        "host",
         "n_words",
         "word_chars",
         "n_symbols",
@@ -118,3 +127,49 @@ def quality_verdicts(
         gone.alias("n_removed_chars"),
         (~failed & (gone <= most_removed * F.col("word_chars"))).alias("kept"),
     )
+    return verdicts, base, frequent
+
+
+def without_frequent_lines(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    host_col: str = "source",
+    most_docs: int = 20,
+    most_removed: float = 0.5,
+) -> DataFrame:
+    """The input with ``text`` less its frequent lines, ``n_removed_lines`` and ``kept`` as ``quality_verdicts`` has it.
+
+    Rejected rows are marked, not dropped. Other lines stay as they are, blank ones included; null text stays null, and a
+    text of frequent lines only becomes empty. Only the places of removed lines move to the texts.
+    """
+    verdicts, base, frequent = _judged(docs, id_col, text_col, host_col, most_docs, most_removed)
+    key = [ID, HASH, "host"]
+    # Places count lines that are not blank, as base_rules keeps them.
+    lines = base.select(*key, F.posexplode("lines").alias("at", "of")).select(*key, "at", F.col("of.line").alias("line"))
+    gone = lines.join(frequent, ["host", "line"], "left_semi").groupBy(*key).agg(F.collect_set("at").alias("__llm_gone"))
+    gone = stored(gone, "removed-lines")
+    kept = stored(verdicts.groupBy(*key).agg(F.bool_and("kept").alias("__llm_kept")), "kept")
+    names = {ID: "__llm_id_r", HASH: "__llm_hash_r", "host": "__llm_host_r"}
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    host = F.coalesce(F.col(host_col).cast("string"), F.lit(""))
+    marked = docs.withColumns({ID: F.col(id_col).cast("long"), HASH: F.xxhash64(text), "__llm_host": host})
+    for right in (gone, kept):
+        right = right.withColumnsRenamed(names)
+        same = F.col(ID).eqNullSafe(F.col(names[ID])) & (F.col(HASH) == F.col(names[HASH])) & (F.col("__llm_host") == F.col(names["host"]))
+        marked = marked.join(right, same, "left").drop(*names.values())
+
+    def left(parts: Column) -> Column:
+        every = F.sequence(F.lit(0), F.size(parts) - 1)
+        full = F.filter(every, lambda i: F.get(parts, i).rlike(r"[^ \t-\r]"))
+        places = once(full, lambda full: F.transform("__llm_gone", lambda k: F.get(full, k)))
+        return F.array_join(F.transform(F.array_except(every, places), lambda i: F.get(parts, i)), "\n")
+
+    changed = F.col("__llm_gone").isNotNull()
+    return marked.withColumns(
+        {
+            text_col: F.when(changed, once(F.split(F.col(text_col), "\n"), left)).otherwise(F.col(text_col)),
+            "n_removed_lines": F.when(changed, F.size("__llm_gone")).otherwise(0).cast("long"),
+            "kept": F.col("__llm_kept"),
+        }
+    ).drop(ID, HASH, "__llm_host", "__llm_gone", "__llm_kept")

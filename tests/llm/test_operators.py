@@ -288,3 +288,19 @@ def test_repeated_short_sentences(spark):
         assert found[d].split() == f"{d} has its own first words here. {d} ends with other words.".split(), passage
     assert found[65] == dict(rows)[65]
     assert found[901] == dict(rows)[901] and found[902].split() == ["Other."]
+
+
+def test_frequent_lines_removed(spark, none):
+    menu = "Home  | About"
+    rows = [(k, f"{menu.upper() if k % 2 else menu}\n\n{prose(k, 60)}\n {menu} \nEnd {k}") for k in range(4)]
+    rows += [(10, menu), (11, None), (12, "Home\n"), (0, rows[0][1])]
+    found = quality_rules.without_frequent_lines(frame(spark, rows), most_docs=3).collect()
+    assert len(found) == len(rows)
+    for row in found:
+        text = dict(rows)[row["doc_id"]]
+        if row["doc_id"] < 5:
+            assert row["text"] == f"\n{prose(row['doc_id'], 60)}\nEnd {row['doc_id']}"
+            assert row["n_removed_lines"] == 2 and row["kept"]
+        else:
+            assert (row["text"], row["kept"]) == ("" if row["doc_id"] == 10 else text, False)
+    assert quality_rules.without_frequent_lines(none).count() == 0
