@@ -80,8 +80,13 @@ def release(since: int = 0) -> None:
         spark, path, table = _made.pop()
         if table:
             spark.sql(f"drop table if exists {table}")
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a folder by Spark's own file systems; nothing happens if there is none."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 @contextmanager
