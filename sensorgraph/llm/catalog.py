@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorgraph.llm.decontamination import find_passages, items_digest
+from sensorgraph.llm.hard_negatives import hard_negatives
 from sensorgraph.llm.jaccard_join import near_duplicate_classes
 from sensorgraph.llm.language_id import document_rows, identify, page_rows
 from sensorgraph.llm.packing import pack
@@ -16,6 +17,7 @@ from sensorgraph.llm.sentence_dedup import ENDS, UNSPACED, remove_repeated_sente
 from sensorgraph.llm.suffix_dedup import remove_repeats
 from sensorgraph.llm.token_counts import length_histogram, length_sums
 from sensorgraph.llm import toxicity
+from sensorgraph.llm.vector_codes import books_digest, compress, hex_code, label_errors
 from sensorgraph.llm.warc import read_archives, write_archives
 from sensorgraph.operators.storage import scratch_path
 
@@ -275,3 +277,65 @@ from documents d left join sizes using (doc_id) left join reach using (doc_id) g
 @query("op5_jaccard_join", OP5_SQL)
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicate_classes(table(spark, folder, "documents"))
+
+
+def _codes_sql(rounds: int = 4, parts: int = 4, entries: int = 256) -> str:
+    views = {
+        "kept": """select row_number() over (order by vec_id) as r, vec_id, label,
+            list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as v from embeddings
+            where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0""",
+        "points": f"""select r, vec_id, label, p, v[p * (len(v) // {parts}) + 1 : (p + 1) * (len(v) // {parts})] as x
+            from kept, (select unnest(range({parts})) as p)""",
+        "book_0": f"select p, r - 1 as e, x as c from points where r <= {entries}",
+    }
+    for k in range(rounds + 1):
+        views[f"far_{k}"] = f"""select r, p, e, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) as d
+            from points join book_{k} using (p)"""
+        views[f"own_{k}"] = f"select * from far_{k} qualify row_number() over (partition by r, p order by d, e) = 1"
+        if k < rounds:
+            views[f"mean_{k}"] = f"""select p, e, list(floor(s::double / n)::bigint order by i) as c from (
+                select p, e, i, sum(x[i]) as s, count(*) as n
+                from own_{k} join points using (r, p), (select unnest(range(1, len(v) // {parts} + 1)) as i from (select v from kept limit 1))
+                group by p, e, i) group by p, e"""
+            views[f"book_{k + 1}"] = f"select p, e, coalesce(m.c, b.c) as c from book_{k} b left join mean_{k} m using (p, e)"
+    views["coded"] = f"select r, string_agg(printf('%02x', e), '' order by p) as code, sum(d)::bigint as error from own_{rounds} group by r"
+    views["digest"] = f"select sha256(string_agg(array_to_string(c, ','), ',' order by p, e)) as codebooks_sha256 from book_{rounds}"
+    return "with " + ", ".join(f"{n} as ({v})" for n, v in views.items()) + """
+        select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256
+        from kept join coded using (r), digest"""
+
+
+@query("op11_vector_codes", _codes_sql())
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    codes = compress(table(spark, folder, "embeddings"))
+    return label_errors(codes.rows).select(
+        F.col("id").alias("vec_id"), hex_code().alias("code"), "error", "label_error", F.lit(books_digest(codes.books)).alias("codebooks_sha256")
+    )
+
+
+OP13_SQL = """
+with usable as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as same,
+         list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2]))::bigint as score
+  from usable a join usable b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+positives as (
+  select anchor_id, id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, id) <= 5),
+ranked as (
+  select anchor_id, positive_id, id as negative_id, positive_score, score as negative_score,
+         (row_number() over (partition by anchor_id, positive_id order by score desc, id))::int as rank
+  from positives join scored using (anchor_id)
+  where not same and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from ranked where rank <= 5
+"""
+
+
+@query("op13_hard_negatives", OP13_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, folder, "embeddings").withColumn("label", moved)
+    return hard_negatives(vectors, F.col("vec_id") % 100 == 0)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,3 +45,13 @@ def attach(left: DataFrame, right: DataFrame, how: str = "left") -> DataFrame:
 def once(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row, however often the body mentions it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def fixed_lists(column: pa.Array, width: int) -> np.ndarray:
+    """A list column whose lists all have ``width`` numbers, as a table."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)
+
+
+def arrow_rows(schema: pa.Schema, columns: dict[str, pa.Array], n: int) -> pa.RecordBatch:
+    """``n`` rows of exactly ``schema``, which all batches of a task must share; columns that are not given are null."""
+    return pa.record_batch([columns[f.name].cast(f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)

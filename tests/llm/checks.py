@@ -90,3 +90,46 @@ def passages(rows, items, width=10):
                     found |= ids
         out.append((doc, len(w), len(hit), sorted(found)))
     return out
+
+
+def vector_codes(rows, parts=4, entries=256, rounds=4, scale=1024):
+    """Rows (id, label, vector) to {id: (code, error)}, the sum of errors per label, and the codebooks; ids are unique."""
+    import math
+
+    kept = [(i, label, [math.floor(x * scale) for x in v]) for i, label, v in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    kept.sort(key=lambda row: (row[0] is None, row[0] or 0))
+    width = len(kept[0][2]) // parts if kept else 0
+    cut = lambda v, p: v[p * width : (p + 1) * width]
+    books = [[cut(v, p) for _, _, v in kept[:entries]] for p in range(parts)]
+    far = lambda x, y: sum((a - b) ** 2 for a, b in zip(x, y))
+    nearest = lambda v, p: min((far(cut(v, p), c), e) for e, c in enumerate(books[p]))
+    for _ in range(rounds):
+        groups = defaultdict(list)
+        for _, _, v in kept:
+            for p in range(parts):
+                groups[p, nearest(v, p)[1]].append(cut(v, p))
+        for (p, e), members in groups.items():
+            books[p][e] = [sum(x) // len(members) for x in zip(*members)]
+    codes, errors = {}, defaultdict(int)
+    for i, label, v in kept:
+        found = [nearest(v, p) for p in range(parts)]
+        codes[i] = ([e for _, e in found], sum(d for d, _ in found))
+        errors[label] += codes[i][1]
+    return codes, dict(errors), books
+
+
+def negatives_of(rows, step, positives=5, negatives=5, percent=80, scale=256):
+    """Rows (id, label, vector) to (anchor, positive, rank, negative, positive score, negative score), by all pairs."""
+    import math
+
+    usable = [
+        (i, label, [math.floor(x * scale) for x in v]) for i, label, v in rows
+        if i is not None and label is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    out = []
+    for i, label, a in (row for row in usable if row[0] % step == 0):
+        scored = [(-sum(x * y for x, y in zip(a, v)), j, other) for j, other, v in usable]
+        for score, j, _ in sorted(s for s in scored if s[2] == label and s[1] != i)[:positives]:
+            fit = sorted(s for s in scored if s[2] != label and percent * -score <= 100 * -s[0] <= 100 * -score)[:negatives]
+            out += [(i, j, rank, n, -score, -s) for rank, (s, n, _) in enumerate(fit, 1)]
+    return sorted(out)
