@@ -13,6 +13,7 @@ from sensorgraph.llm.jaccard_join import near_duplicate_classes
 from sensorgraph.llm.language_id import document_rows, identify, page_rows
 from sensorgraph.llm.packing import pack
 from sensorgraph.llm.quality_rules import quality_verdicts, without_frequent_lines
+from sensorgraph.llm.secret_scans import find_secrets, kind_count, spans_text
 from sensorgraph.llm.sentence_dedup import ENDS, UNSPACED, remove_repeated_sentences
 from sensorgraph.llm.suffix_dedup import remove_repeats
 from sensorgraph.llm.token_counts import length_histogram, length_sums
@@ -313,6 +314,14 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+
+@query("op12_secret_scans")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_secrets(table(spark, folder, "documents"))
+    counts = [kind_count(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")]
+    return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(spans_text("base"), 256).alias("base_sha256"), spans_text("spans").alias("spans"))
+
+
 OP13_SQL = """
 with usable as (
   select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,

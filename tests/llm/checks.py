@@ -133,3 +133,64 @@ def negatives_of(rows, step, positives=5, negatives=5, percent=80, scale=256):
             fit = sorted(s for s in scored if s[2] != label and percent * -score <= 100 * -s[0] <= 100 * -score)[:negatives]
             out += [(i, j, rank, n, -score, -s) for rank, (s, n, _) in enumerate(fit, 1)]
     return sorted(out)
+
+
+def secret_spans(rows, share=0.05, decoys=32):
+    """Per row (id, text): base spans and all spans as text, with every test written out for one string at a time."""
+    import math
+    import re
+
+    lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    alphabets = [
+        sorted(a) for a in (digits + "abcdef", digits + "ABCDEF", "234567" + upper, digits + upper + lower, digits + upper + lower + "+/", digits + upper + lower + "-_")
+    ]
+    bars = (1e-4, 1e-3, 0.01, 0.05, 0.1, 0.2, 0.5)
+
+    def p_value(word, alphabet):
+        n, m = len(word), len(alphabet)
+        x = [alphabet.index(c) for c in word]
+        chi = sum((x.count(s) - n / m) ** 2 for s in range(m)) * m / n
+        z = ((chi / (m - 1)) ** (1 / 3) - 1 + 2 / (9 * (m - 1))) / math.sqrt(2 / (9 * (m - 1)))
+        changes = sum((a >= m // 2) != (b >= m // 2) for a, b in zip(x, x[1:]))
+        mid, spread = (m - 1) / 2, (m * m - 1) / 12
+        serial = sum((a - mid) * (b - mid) for a, b in zip(x, x[1:])) / spread / math.sqrt(n - 1)
+        p = [math.erfc(z / math.sqrt(2)) / 2, math.erfc(abs(2 * changes - n + 1) / math.sqrt(2 * (n - 1))), math.erfc(abs(serial) / math.sqrt(2))]
+        half = -sum(math.log(max(v, 1e-300)) for v in p)
+        return math.exp(-half) * (1 + half + half * half / 2)
+
+    cleared = lambda word, k: sum(p_value(word, alphabets[k]) >= bar for bar in bars)
+    found = {}
+    for at, (_, text) in enumerate(rows):
+        text = text or ""
+        assign = r"""(?ai:(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+))"""
+        base = [(m.start(), 0, m.end()) for m in re.finditer(assign, text) if len(m[2]) >= 12]
+        base += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+        base += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+        runs = [(m.start(), m.end()) for signs in ("", "+/", "_-") for m in re.finditer(f"[A-Za-z0-9{signs}]+", text) if len(m[0]) >= 16 and (not signs or set(m[0]) & set(signs))]
+        runs = [(s, e, next(k for k, a in enumerate(alphabets) if set(text[s:e]) <= set(a))) for s, e in runs if not text[s:e].isdigit()]
+        held = {p for s, e, _ in runs for p in range(s, e)}
+        other = [c for p, c in enumerate(text) if p not in held]
+        tests = []
+        for s, e, k in runs:
+            mine = [c for c in other if c in alphabets[k]]
+            room = len(mine) - (e - s)
+            places = sorted({int(room * j / (decoys - 1)) for j in range(decoys)}) if room >= 0 else []
+            tests.append((s, e, (k, int(2 * math.log2(e - s))), cleared(text[s:e], k), [cleared(mine[p : p + e - s], k) for p in places]))
+        found[at] = (sorted(base), tests)
+    every = [t for _, tests in found.values() for t in tests]
+    least = {}
+    for group in {t[2] for t in every}:
+        own, others = [t[3] for t in every if t[2] == group], [d for t in every if t[2] == group for d in t[4]]
+        for bar in range(len(bars), 0, -1):
+            n = sum(x >= bar for x in own)
+            if n and others and (1 + sum(x >= bar for x in others)) * len(own) / (len(others) * n) <= share:
+                least[group] = bar
+    out = []
+    for at, (doc, _) in enumerate(rows):
+        base, tests = found[at]
+        good = [(s, e) for s, e, group, bar, _ in tests if bar >= least.get(group, 99)]
+        good = [(s, e) for s, e in good if not any((a, b) != (s, e) and a <= s and e <= b for a, b in good)]
+        added = [(s, 3, e) for s, e in good if not any(a <= s and e <= b for a, _, b in base)]
+        text = lambda spans: ",".join(f"{('assign', 'access', 'hex', 'random')[k]}:{s}:{e}" for s, k, e in sorted(spans))
+        out.append((doc, text(base), text(base + added)))
+    return out
