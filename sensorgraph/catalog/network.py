@@ -195,20 +195,26 @@ def stamped(spark, sf):
     return fx.speed_long(spark, sf).withColumn("timestamp", hour)
 
 
-@query(
-    "n03_dense_panel",
-    fx.with_views(
-        """select t.timestamp, i.sensor_id, t.time_index, i.node_id, coalesce(c.speed, 0) as speed
-        from times t cross join ids i left join cells c
-        on c.timestamp = t.timestamp and c.sensor_id = i.sensor_id""",
-        cells=f"select sensor_id, timestamp, arg_max(speed, event_id) as speed from ({STAMPED}) group by all",
-        **{k: v for k, v in st.panel_views("cells").items() if k != "panel"},
-    ),
+N03_SQL = fx.with_views(
+    """select t.timestamp, i.sensor_id, t.time_index, i.node_id, coalesce(c.speed, 0) as speed
+    from times t cross join ids i left join cells c
+    on c.timestamp = t.timestamp and c.sensor_id = i.sensor_id""",
+    cells=f"select sensor_id, timestamp, arg_max(speed, event_id) as speed from ({STAMPED}) group by all",
+    **{k: v for k, v in st.panel_views("cells").items() if k != "panel"},
 )
-def n03(spark, sf):
-    readings = stamped(spark, sf)
-    times, ids = panel.time_index(readings), panel.node_ids(fx.sensor_edges(spark, sf))
-    return panel.dense_panel(readings, ["speed"], tiebreak="event_id", times=times, ids=ids)
+
+
+def _panel_query(name, **options):
+    @query(name, N03_SQL)
+    def run(spark, sf):
+        readings = stamped(spark, sf)
+        times, ids = panel.time_index(readings), panel.node_ids(fx.sensor_edges(spark, sf))
+        return panel.dense_panel(readings, ["speed"], tiebreak="event_id", times=times, ids=ids, **options)
+
+
+_panel_query("n03_dense_panel")
+# The way with more times and sensors than are broadcast, in spans of 50 steps.
+_panel_query("n03_dense_panel_spread", broadcast_rows=0, steps_per_task=50)
 
 
 PANEL_VIEWS = {"hourly_target": st.HOURLY_TARGET, **st.panel_views("hourly_target")}

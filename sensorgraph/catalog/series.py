@@ -193,6 +193,42 @@ def e01(spark, sf):
     return indexed.select("event_id", *[f"{c}_index" for c in LABELLED])
 
 
+# Every user and every minute is a label: far more of them than the driver is allowed to hold.
+MANY = ["who", "minute", "kind"]
+MANY_VIEWS = {
+    "many": """select event_id, 'user ' || user_id as who, strftime(ts, '%Y-%m-%d %H:%M') as minute,
+        case when event_type <> 'error' then event_type end as kind from events""",
+    **st.label_views("many", MANY),
+}
+
+
+def _many_labels_query(name, **options):
+    @query(
+        name,
+        fx.with_views(
+            "select event_id, "
+            + ", ".join(f"coalesce(idx_{c}.i, (select count(*) from idx_{c})::double) as {c}_index" for c in MANY)
+            + f" from many {st.label_joins(MANY, 'many')}",
+            **MANY_VIEWS,
+        ),
+    )
+    def run(spark, sf):
+        texts = fx.table(spark, sf, "events").select(
+            "event_id", F.concat(F.lit("user "), F.col("user_id")).alias("who"), F.date_format("ts", "yyyy-MM-dd HH:mm").alias("minute"),
+            F.when(F.col("event_type") != "error", F.col("event_type")).alias("kind"),
+        )
+        if options:
+            indexed = encode.index_labels(texts, encode.label_dictionary(texts, MANY), MANY, **options)
+        else:
+            indexed = encode.label_index(texts, MANY, most_labels=100)
+        return indexed.select("event_id", *[f"{c}_index" for c in MANY])
+
+
+_many_labels_query("e01_many_labels")
+# The way beyond the broadcast limit: the three most frequent labels are broadcast, the rest is shuffled.
+_many_labels_query("e01_many_labels_shuffled", broadcast_rows=0, hot_labels=3)
+
+
 @query(
     "e02_one_hot_flags",
     fx.with_views(

@@ -7,7 +7,8 @@ window.
 
 Buckets follow the rows, not the calendar: each long series is divided within its own range, and every bucket
 that still holds too many rows within the range of its own rows, until it is small or holds one instant. An
-outlying time, a burst or many rows within a second cost a further round and no balance.
+outlying time, a burst or many rows within a second cost a further round and no balance. Infinite and undefined values of
+a number axis stand in end buckets of their own.
 """
 
 from __future__ import annotations
@@ -72,25 +73,25 @@ def _placed(df: DataFrame, keys: Sequence[str], total: int, rows_per_task: int)
 
 def _cut(df, keys, axis_name, before, after, rows_per_task, series) -> DataFrame:
     axis, most = _axis(df, axis_name), max(1, rows_per_task // BUCKETS_PER_PIECE)
-    root = F.array(F.lit(0).cast("double"))
     # Only the long series are divided: at most rows / rows_per_task of them exist.
     long_series = series.where(F.col("rows") > rows_per_task)
+    endless = ~(F.abs("low") < float("inf")) | ~(F.abs("high") < float("inf"))
+    odd = not long_series.where(endless).isEmpty()
+    root = _root(axis) if odd else F.array(F.lit(0).cast("double"))
     facts = df.withColumns({_AXIS: axis, _BUCKET: root})
     rows = _null_safe_join(facts.select(*keys, _AXIS, _BUCKET), long_series.select(*keys), keys, "left_semi")
-    sizes = long_series.select(*keys, root.alias(_BUCKET), "rows", "low", "high")
+    sizes = _bucket_sizes(rows, keys) if odd else long_series.select(*keys, root.alias(_BUCKET), "rows", "low", "high")
     while True:
         divided = sizes.where((F.col("rows") > most) & (F.col("low") < F.col("high")))
         parts = F.ceil(F.col("rows") / most) * 2
-        divided = divided.select(*keys, _BUCKET, "low", ((F.col("high") - F.col("low")) / parts).alias("width"))
+        width = F.col("high") / parts - F.col("low") / parts  # the difference itself may be too large for a double
+        divided = divided.select(*keys, _BUCKET, "low", width.alias("width")).where((F.col("width") > 0) & (F.col("low").isNotNull()))
         divided = stored(divided, "divided-buckets")
         if divided.isEmpty():
             break
         facts = _divided(facts, divided, keys)
         rows = stored(_divided(rows, divided, keys), "long-series-rows")
-        sizes = stored(
-            rows.groupBy(*keys, _BUCKET).agg(F.count("*").alias("rows"), F.min(_AXIS).alias("low"), F.max(_AXIS).alias("high")),
-            "bucket-sizes",
-        )
+        sizes = _bucket_sizes(rows, keys)
     placement = stored(_placement(sizes.drop("low", "high"), keys, before, after, rows_per_task), "series-pieces")
     placed = _null_safe_join(facts.drop(_AXIS), placement, [*keys, _BUCKET], "left")
     return placed.withColumns(
@@ -101,6 +102,18 @@ def _cut(df, keys, axis_name, before, after, rows_per_task, series) -> DataFrame
     ).withColumn(_OWN, F.col(_PIECE) == F.col("own_piece")).drop("pieces", "own_piece")
 
 
+def _root(axis: Column) -> Column:
+    """The first bucket of a series; values that no range can hold stand in buckets of their own, which are not divided."""
+    infinite = F.abs(axis) == float("inf")
+    end = F.when(axis.isNull(), -2.0).when(F.isnan(axis), 2.0).when(infinite, F.signum(axis)).otherwise(0.0)
+    return F.array(end)
+
+
+def _bucket_sizes(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    ends = F.count("*").alias("rows"), F.min(_AXIS).alias("low"), F.max(_AXIS).alias("high")
+    return stored(rows.groupBy(*keys, _BUCKET).agg(*ends), "bucket-sizes")
+
+
 def _divided(rows: DataFrame, divided: DataFrame, keys: Sequence[str]) -> DataFrame:
     """A bucket is the path of its divisions, which sorts as its rows do; missing times come first."""
     step = F.coalesce(F.floor((F.col(_AXIS) - F.col("low")) / F.col("width")).cast("double"), F.lit(-1.0))

@@ -76,11 +76,13 @@ def dense_panel(
     sensor: str = "sensor_id",
     time: str = "timestamp",
     steps_per_task: int = STEPS_PER_TASK,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """One row per time of ``times`` and node of ``ids``; cells without a reading are 0.
 
     Only the readings are shuffled, by node and span of steps: the missing steps are filled in behind the shuffle, each
-    reading being repeated up to the next one.
+    reading being repeated up to the next one, with the times that its span's slice of the time dictionary has for them.
+    With times too many to broadcast, readings are placed by span and slot of nodes, and every slot gets the slice.
 
     ``times`` and ``ids`` (see ``time_index`` and ``node_ids``) default to the times and sensors of ``df``. Of
     several rows for a cell, the one with the highest ``tiebreak`` wins (the highest values without
@@ -96,28 +98,49 @@ def dense_panel(
     else:
         cells = df.groupBy(time, sensor).agg(*[F.max_by(c, tiebreak).alias(c) for c in cols])
     n_times = times.count()
-    by_time = F.broadcast(times) if fits_broadcast(times, BROADCAST_ROWS) else times
-    by_sensor = F.broadcast(ids) if fits_broadcast(ids, BROADCAST_ROWS) else ids
+    small = fits_broadcast(times, broadcast_rows)
+    by_time = F.broadcast(times) if small else times
+    by_sensor = F.broadcast(ids) if fits_broadcast(ids, broadcast_rows) else ids
     span, width = F.expr(f"time_index div {steps_per_task}"), F.lit(steps_per_task)
     known = cells.join(by_time, time).join(by_sensor, sensor).select(sensor, "node_id", "time_index", *cols)
     # A row of its own opens every span of every node; each row then reaches to the next one of its span.
     spans = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(0, (n_times - 1) // steps_per_task)).cast("long")))
     opening = ids.select(sensor, "node_id", spans.alias("__span")).where(F.lit(n_times > 0))
     rows = known.withColumn("__span", span).unionByName(opening, allowMissingColumns=True)
-    window = Window.partitionBy("node_id", "__span").orderBy(F.col("time_index").asc_nulls_first())
+    slices, keys = _time_slices(times, time, steps_per_task), ["__span"]
+    if small:
+        slices = F.broadcast(slices)
+    else:
+        # Rows are placed by span and slot of nodes, so that they meet the times of their span without another shuffle.
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        slots = max(1, -(-tasks * steps_per_task // max(n_times, 1)))
+        rows = rows.withColumn("__slot", F.pmod(F.xxhash64("node_id"), F.lit(slots)).cast("int"))
+        slices = slices.withColumn("__slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
+        keys = ["__span", "__slot"]
+        rows = rows.repartition(*keys)
+    window = Window.partitionBy(*keys, "node_id").orderBy(F.col("time_index").asc_nulls_first())
     end = F.least((F.col("__span") + 1) * width, F.lit(n_times)).cast("long")
     first = F.coalesce("time_index", F.col("__span") * width)
     rows = rows.withColumns({"__first": first, "__last": F.coalesce(F.lead("time_index").over(window), end) - 1})
-    steps = F.when(F.col("__first") <= F.col("__last"), F.sequence("__first", "__last"))
-    filled = rows.withColumn("__step", F.explode(steps))
-    read = F.col("__step").eqNullSafe(F.col("time_index"))
-    filled = filled.select(
-        sensor, "node_id", F.col("__step").alias("time_index"), *[F.when(read, F.col(c)).alias(c) for c in cols]
-    )
-    panel = filled.join(by_time, "time_index").select(time, sensor, "time_index", "node_id", *cols)
+    place = (F.col("__first") - F.col("__span") * width + 1).cast("int")
+    steps = F.slice("__times", place, (F.col("__last") - F.col("__first") + 1).cast("int"))
+    rows = rows.where(F.col("__first") <= F.col("__last")).join(slices, keys)
+    filled = rows.select("*", F.posexplode(steps).alias("__ahead", "__time"))
+    read = F.col("time_index").isNotNull() & (F.col("__ahead") == 0)
+    panel = filled.select(
+        F.col("__time").alias(time), sensor, (F.col("__first") + F.col("__ahead")).alias("time_index"), "node_id",
+        *[F.when(read, F.col(c)).alias(c) for c in cols],
+    )
     return panel if mask_missing else fill_zero(panel, cols)
 
 
+def _time_slices(times: DataFrame, time: str, steps: int) -> DataFrame:
+    """Per span of ``steps`` steps its times in order."""
+    ordered = F.sort_array(F.collect_list(F.struct("time_index", F.col(time).alias("t"))))
+    spans = times.groupBy(F.expr(f"time_index div {steps}").alias("__span")).agg(ordered.alias("__ordered"))
+    return stored(spans.select("__span", F.col("__ordered")["t"].alias("__times")), "time-slices")
+
+
 def chrono_split(
     panel: DataFrame,
     fraction: float = 0.8,

@@ -165,3 +165,14 @@ def test_many_rows_get_more_partitions_in_the_same_shuffle(spark, monkeypatch, r
     assert len(windows) == 1 and ", 10), REPARTITION_BY_NUM" in windows[0]
     found = {r["event_id"]: r["back"] for r in df.collect()}
     assert found == {k: v[0] for k, v in expected(rows, 2, 1).items()}
+
+
+@pytest.mark.parametrize("odd", [(float("inf"),), (float("-inf"), float("nan"), None), (1e308, -1e308, float("inf")), (5e-324, 0.0)])
+def test_axis_values_without_a_range(spark, odd):
+    """Infinite, undefined, missing, huge and tiny axis values end the division and keep the order."""
+    rows = [(1, float(k % 150), k) for k in range(200)] + [(1, x, 1000 + 3 * j + i) for j, x in enumerate(odd) for i in range(3)]
+    df = spark.createDataFrame(rows, "s int, x double, k long").repartition(3)
+    columns = lambda w: {"before": F.lag("k", 2).over(w), "after": F.lead("k").over(w)}
+    cut = over_ordered(df, ["s"], ["x", "k"], columns, before=2, after=1, rows_per_task=20)
+    whole = over_ordered(df, ["s"], ["x", "k"], columns, rows_per_task=None)
+    assert sorted(map(tuple, cut.drop("x").collect())) == sorted(map(tuple, whole.drop("x").collect()), key=lambda t: t)

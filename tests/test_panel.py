@@ -224,3 +224,24 @@ def test_forecasters_learn_a_line(spark, kind):
 def test_unknown_forecaster(spark):
     with pytest.raises(ValueError, match="huber"):
         forecast.fit_forecaster(spark.range(1), ["id"], "magic")
+
+
+@pytest.mark.parametrize("steps", [1, 2, 7, 1000])
+def test_panel_beyond_the_broadcast_limit_is_the_same(spark, steps):
+    r = random.Random(steps)
+    rows = [(r.randrange(6), at(r.randrange(40)), float(k), k) for k in range(120)]
+    readings = speeds(spark, rows, "sensor_id long, timestamp timestamp_ntz, speed double, event_id long")
+    by = ["time_index", "node_id"]
+    small = panel.dense_panel(readings, ["speed"], True, "event_id")
+    spread = panel.dense_panel(readings, ["speed"], True, "event_id", broadcast_rows=0, steps_per_task=steps)
+    assert spread.columns == small.columns and values(spread, by=by) == values(small, by=by)
+    times = len({row[1] for row in rows})
+    assert spread.count() == times * len({row[0] for row in rows})
+
+
+def test_filled_cells_are_not_shuffled(spark):
+    readings = speeds(spark, [(k % 3, at(k), 1.0) for k in range(30)])
+    times, ids = panel.time_index(readings), panel.dense_index(readings.select("sensor_id").distinct(), ["sensor_id"], "node_id")
+    text = plan(panel.dense_panel(readings, ["speed"], times=times, ids=ids, broadcast_rows=0, steps_per_task=5))
+    assert text.index("Generate posexplode") < text.index("Exchange")
+    assert panel.dense_panel(readings.limit(0), ["speed"], broadcast_rows=0).count() == 0
