@@ -107,30 +107,33 @@ def dense_panel(
     spans = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(0, (n_times - 1) // steps_per_task)).cast("long")))
     opening = ids.select(sensor, "node_id", spans.alias("__span")).where(F.lit(n_times > 0))
     rows = known.withColumn("__span", span).unionByName(opening, allowMissingColumns=True)
-    slices, keys = _time_slices(times, time, steps_per_task), ["__span"]
-    if small:
-        slices = F.broadcast(slices)
-    else:
+    keys = ["__span"]
+    if not small:
         # Rows are placed by span and slot of nodes, so that they meet the times of their span without another shuffle.
         tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         slots = max(1, -(-tasks * steps_per_task // max(n_times, 1)))
         rows = rows.withColumn("__slot", F.pmod(F.xxhash64("node_id"), F.lit(slots)).cast("int"))
+        slices = _time_slices(times, time, steps_per_task)
         slices = slices.withColumn("__slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
         keys = ["__span", "__slot"]
         rows = rows.repartition(*keys)
-    window = Window.partitionBy(*keys, "node_id").orderBy(F.col("time_index").asc_nulls_first())
+    window = Window.partitionBy("node_id", *keys).orderBy(F.col("time_index").asc_nulls_first())
     end = F.least((F.col("__span") + 1) * width, F.lit(n_times)).cast("long")
     first = F.coalesce("time_index", F.col("__span") * width)
     rows = rows.withColumns({"__first": first, "__last": F.coalesce(F.lead("time_index").over(window), end) - 1})
-    place = (F.col("__first") - F.col("__span") * width + 1).cast("int")
-    steps = F.slice("__times", place, (F.col("__last") - F.col("__first") + 1).cast("int"))
-    rows = rows.where(F.col("__first") <= F.col("__last")).join(slices, keys)
-    filled = rows.select("*", F.posexplode(steps).alias("__ahead", "__time"))
-    read = F.col("time_index").isNotNull() & (F.col("__ahead") == 0)
+    if small:
+        steps = F.when(F.col("__first") <= F.col("__last"), F.sequence("__first", "__last"))
+        filled = rows.withColumn("__step", F.explode(steps)).join(by_time.select(F.col("time_index").alias("__step"), F.col(time).alias("__time")), "__step")
+    else:
+        place = (F.col("__first") - F.col("__span") * width + 1).cast("int")
+        part = F.slice("__times", place, (F.col("__last") - F.col("__first") + 1).cast("int"))
+        rows = rows.where(F.col("__first") <= F.col("__last")).join(slices, keys)
+        filled = rows.select("*", F.posexplode(part).alias("__ahead", "__time"))
+        filled = filled.withColumn("__step", F.col("__first") + F.col("__ahead"))
+    read = F.col("__step").eqNullSafe(F.col("time_index"))
     panel = filled.select(
-        F.col("__time").alias(time), sensor, (F.col("__first") + F.col("__ahead")).alias("time_index"), "node_id",
-        *[F.when(read, F.col(c)).alias(c) for c in cols],
-    )
+        F.col("__time").alias(time), sensor, F.col("__step").alias("time_index"), "node_id", *[F.when(read, F.col(c)).alias(c) for c in cols]
+    )
     return panel if mask_missing else fill_zero(panel, cols)
 
 
