@@ -9,6 +9,8 @@ from sensorgraph.operators.encode import (
     assemble,
     column_moments,
     column_ranges,
+    index_labels,
+    label_dictionary,
     label_frequency,
     label_index,
     minmax_scale,
@@ -66,9 +68,11 @@ from sensorgraph.sources.tables import (
     export_csv,
     export_parquet,
     ingest_edges,
+    ingest_new_speeds,
     ingest_speeds,
     read_edges_csv,
     read_features_csv,
     read_table,
     write_gold,
 )
+from sensorgraph.sources.versions import merge_readings, replace_table

@@ -148,6 +148,28 @@ def s09(spark, sf):
     return rounded(tables.read_table(spark, silver))
 
 
+# Two deliveries that overlap by five days; a later event of a sensor and hour replaces an earlier one.
+DELIVERIES = (("2024-01-01", "2024-01-20"), ("2024-01-15", "2025-01-01"))
+
+
+@query(
+    "s09_incremental_ingest",
+    """select user_id as sensor_id, cast(date_trunc('hour', ts) as timestamp) as timestamp,
+        arg_max(value, event_id) as speed, max(event_id) as event_id from events group by all""",
+)
+def s09_incremental(spark, sf):
+    """Both deliveries merged into one silver table by sensor and hour."""
+    silver = scratch_path(spark, "silver")
+    hour = F.date_trunc("hour", "timestamp").cast("timestamp_ntz")
+    for since, until in DELIVERIES:
+        raw = scratch_path(spark, "bronze")
+        within = F.col("timestamp").between(F.lit(since).cast("timestamp_ntz"), F.lit(until).cast("timestamp_ntz"))
+        delivery = fx.speed_long(spark, sf).where(within).withColumn("timestamp", hour)
+        tables.export_parquet(delivery.withColumnRenamed("timestamp", "index"), raw)
+        tables.ingest_new_speeds(spark, raw, silver, "index", order="event_id")
+    return tables.read_table(spark, silver).select("sensor_id", "timestamp", "speed", "event_id")
+
+
 @query("s09_ingest_edges_round_trip", fx.with_views("select * from sensor_edges"))
 def s09_edges(spark, sf):
     raw, silver = scratch_path(spark, "bronze"), scratch_path(spark, "silver")

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from sensorgraph.operators.reshape import EDGE_COLUMNS, flatten_arrays, require_columns, wide_to_long
 from sensorgraph.operators.storage import stored
+from sensorgraph.sources.versions import merge_readings, read_manifest, read_versioned, replace_table
 
 # Spark's own CSV formats stop at milliseconds.
 CSV_TIMES = {
@@ -27,6 +28,10 @@ EDGE_SCHEMA = T.StructType(
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """A folder of files, or what its manifest names if it has versions (see ``replace_table``)."""
+    manifest = None if fmt == "delta" else read_manifest(spark, path)
+    if manifest is not None:
+        return read_versioned(spark, path, manifest)
     return spark.read.format(fmt).load(path)
 
 
@@ -65,18 +70,20 @@ def write_gold(
     fmt: str = "parquet",
     rows_per_file: int = 0,
 ) -> None:
-    """Replaces the table and its schema.
+    """Replaces the table and its schema; readers use ``read_table``.
 
-    By default the partitions are written as they come: after the windows they are already sized by
+    The rows are written as a new version first (``replace_table``), so a failed job leaves the old table; Delta keeps its
+    own versions. By default the partitions are written as they come: after the windows they are already sized by
     adaptive execution, and wide rows are not shuffled again. ``partitions`` forces a fixed number of output
     tasks (the reference uses 50); ``rows_per_file`` splits large output files.
     """
     if partitions is not None:
         df = df.repartition(partitions)
-    writer = df.write.format(fmt).mode("overwrite").option("maxRecordsPerFile", rows_per_file)
     if fmt == "delta":
-        writer = writer.option("overwriteSchema", "true")
-    writer.save(path)
+        writer = df.write.format(fmt).mode("overwrite").option("maxRecordsPerFile", rows_per_file)
+        writer.option("overwriteSchema", "true").save(path)
+    else:
+        replace_table(df, path, fmt, maxRecordsPerFile=str(rows_per_file))
 
 
 # Fixed value: what other Parquet writers call lz4 is the raw variant.
@@ -101,6 +108,14 @@ def export_csv(df: DataFrame, path: str, widths: Mapping[str, int] | None = None
     writer.options(**CSV_TIMES).csv(path)
 
 
+def _speeds(spark: SparkSession, src: str, time_col: str, fmt: str, id_type: str) -> DataFrame:
+    raw = read_table(spark, src, fmt)
+    require_columns(raw, [time_col])
+    speeds = wide_to_long(raw.withColumnRenamed(time_col, "timestamp"))
+    require_columns(speeds, ["sensor_id", "speed"])
+    return speeds.withColumns({"sensor_id": F.col("sensor_id").cast(id_type), "speed": F.col("speed").cast("double")})
+
+
 def ingest_speeds(
     spark: SparkSession,
     src: str,
@@ -109,14 +124,22 @@ def ingest_speeds(
     fmt: str = "parquet",
     id_type: str = "long",
 ) -> None:
-    """Raw wide or long speeds to silver: ``sensor_id``, ``timestamp``, ``speed`` double."""
-    raw = read_table(spark, src, fmt)
-    require_columns(raw, [time_col])
-    speeds = wide_to_long(raw.withColumnRenamed(time_col, "timestamp"))
-    require_columns(speeds, ["sensor_id", "speed"])
-    speeds.withColumns(
-        {"sensor_id": F.col("sensor_id").cast(id_type), "speed": F.col("speed").cast("double")}
-    ).write.format(fmt).mode("overwrite").save(dst)
+    """Raw wide or long speeds to silver: ``sensor_id``, ``timestamp``, ``speed`` double. Replaces the whole table."""
+    _speeds(spark, src, time_col, fmt, id_type).write.format(fmt).mode("overwrite").save(dst)
+
+
+def ingest_new_speeds(
+    spark: SparkSession,
+    src: str,
+    dst: str,
+    time_col: str,
+    fmt: str = "parquet",
+    id_type: str = "long",
+    order: str | None = None,
+) -> list[str]:
+    """Like ``ingest_speeds``, but merges a further delivery by sensor and time into the silver table at ``dst``; only the
+    dates it has readings for are written anew, and they are returned (see ``merge_readings``)."""
+    return merge_readings(_speeds(spark, src, time_col, fmt, id_type), dst, order=order, fmt=fmt)
 
 
 def ingest_edges(spark: SparkSession, src: str, dst: str, fmt: str = "parquet") -> None:
