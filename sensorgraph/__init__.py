@@ -5,6 +5,7 @@ from sensorgraph.config import GoldConfig, GraphConfig, SequenceConfig, SeriesCo
 from sensorgraph.functions.calendar import calendar_columns, cyclic_columns
 from sensorgraph.functions.labels import condition_columns
 from sensorgraph.functions.parsing import to_number, to_ts
+from sensorgraph.operators.carry import continue_series
 from sensorgraph.operators.encode import (
     assemble,
     column_moments,
@@ -17,6 +18,7 @@ from sensorgraph.operators.encode import (
     one_hot,
     standard_scale,
 )
+from sensorgraph.operators.fitted import fit_state, index_labels_by, merge_states, minmax_scale_by, standard_scale_by
 from sensorgraph.operators.forecast import (
     actual_vs_predicted,
     fit_forecaster,
@@ -62,7 +64,7 @@ from sensorgraph.operators.series import (
     sensor_statistics,
     series_columns,
 )
-from sensorgraph.plans.features import build_graph_features, build_series_features, gold_features
+from sensorgraph.plans.features import build_graph_features, build_series_features, continue_frame, gold_features
 from sensorgraph.sources.inspect import profile, sample_rows
 from sensorgraph.sources.tables import (
     export_csv,

@@ -11,8 +11,9 @@ from sensorgraph.catalog.registry import query, r, rounded
 from sensorgraph.config import SeriesConfig
 from sensorgraph.functions.calendar import calendar_columns, cyclic_columns
 from sensorgraph.functions.labels import LABEL_COLUMNS, condition_columns
-from sensorgraph.operators import encode, reshape, series
-from sensorgraph.plans.features import build_series_features, series_frame
+from sensorgraph.operators import encode, fitted, reshape, series
+from sensorgraph.operators.storage import stored
+from sensorgraph.plans.features import build_series_features, continue_frame, series_frame
 
 KEYS = ["sensor_id", "timestamp", "event_id"]
 KEY_SQL = ", ".join(KEYS)
@@ -114,6 +115,33 @@ def w09_outlier(spark, sf):
     return rounded(windows, **{c: 4 for c in st.ROLLING if "std" in c})
 
 
+# Ends of deliveries; the readings up to each are handed over together.
+DELIVERIES = ("2024-01-03", "2024-01-04", "2024-01-12", "2025-01-01")
+
+
+@query(
+    "w10_continued_windows",
+    fx.with_views(
+        f"select {KEY_SQL}, "
+        + ", ".join(r(c, c, 4 if "std" in c else 6) for c in [*st.LAG, *st.CHANGE, *st.ROLLING, *st.TARGET])
+        + f", {st.columns(st.LABELS)}, {', '.join(st.CALENDAR[c] + ' as ' + c for c in ('hour', 'time_of_day'))} from win where target_speed is not null",
+        win=st.windowed("speed_nullable"),
+    ),
+)
+def w10(spark, sf):
+    """All series columns, delivery by delivery, each from the stored carry of the one before."""
+    readings, state, since, found = fx.speed_nullable(spark, sf), None, None, None
+    for until in DELIVERIES:
+        end = F.lit(until).cast("timestamp_ntz")
+        new = readings.where(F.col("timestamp") < end)
+        new = new if since is None else new.where(F.col("timestamp") >= since)
+        rows, state = continue_frame(new, state, BY_EVENT)
+        rows, state, since = stored(rows, "continued-rows"), stored(state, "carry"), end
+        found = rows if found is None else found.unionByName(rows)
+    picked = found.select(*KEYS, *st.LAG, *st.CHANGE, *st.ROLLING, *st.TARGET, *st.LABELS, "hour", "time_of_day")
+    return rounded(picked, **{c: 4 for c in st.ROLLING if "std" in c})
+
+
 @query(
     "w07_target",
     fx.with_views(
@@ -349,6 +377,51 @@ def a08(spark, sf):
     return rounded(encode.column_ranges(numbers(spark, sf), SAMPLE))
 
 
+@query(
+    "e08_scale_by_merged_state",
+    fx.with_views(
+        f"select {KEY_SQL}, "
+        + ", ".join(r(f"({c} - avg({c}) over ()) / stddev_pop({c}) over ()", f"{c}_standard") for c in SAMPLE)
+        + ", "
+        + ", ".join(r(f"({c} - min({c}) over ()) / (max({c}) over () - min({c}) over ())::double", f"{c}_range") for c in SAMPLE)
+        + ", time_of_day_index from (select numbers.*, idx_time_of_day.i as time_of_day_index from numbers "
+        + f"join (select event_id, {st.CALENDAR['time_of_day']} as time_of_day from speed_long) d using (event_id) {st.label_joins(['time_of_day'], 'd')})",
+        **SAMPLE_VIEWS,
+        days=f"select {st.CALENDAR['time_of_day']} as time_of_day from speed_long",
+        **st.label_views("days", ["time_of_day"]),
+    ),
+)
+def e08(spark, sf):
+    """Scaled and indexed by the stored state of three parts, fitted one by one and merged."""
+    frame = stored(calendar_columns(_lags(fx.speed_long(spark, sf))).select(*KEYS, *SAMPLE, "time_of_day"), "frame")
+    parts = [stored(fitted.fit_state(frame.where(F.col("event_id") % 3 == k), SAMPLE, ["time_of_day"]), "state") for k in range(3)]
+    state = stored(fitted.merge_states(fitted.merge_states(*parts[:2]), parts[2]), "state")
+    frame = frame.withColumns({f"{c}_{way}": F.col(c) for c in SAMPLE for way in ("standard", "range")})
+    for way, scale in (("standard", fitted.standard_scale_by), ("range", fitted.minmax_scale_by)):
+        renamed = state.withColumn("column", F.when(F.col("kind") == fitted.NUMBER, F.concat("column", F.lit(f"_{way}"))).otherwise(F.col("column")))
+        frame = scale(frame, renamed, [f"{c}_{way}" for c in SAMPLE])
+    indexed = fitted.index_labels_by(frame, state, ["time_of_day"])
+    return rounded(indexed.select(*KEYS, *[f"{c}_{way}" for way in ("standard", "range") for c in SAMPLE], "time_of_day_index"))
+
+
+@query(
+    "a07_merged_state",
+    fx.with_views(
+        " union all ".join(
+            f"select '{c}' as \"column\", count({c}) as count, {r(f'avg({c})', 'mean')}, {r(f'stddev_pop({c})', 'std', 4)}, {r(f'min({c})::double', 'low')}, {r(f'max({c})::double', 'high')} from numbers"
+            for c in SAMPLE
+        ),
+        **SAMPLE_VIEWS,
+    ),
+)
+def a07_merged(spark, sf):
+    """Moments and ranges of all readings, merged from the states of the single weekdays."""
+    frame = stored(numbers(spark, sf), "numbers")
+    parts = [fitted.fit_state(frame.where(F.col("day_of_week") == day), SAMPLE) for day in range(1, 8)]
+    merged = fitted.merge_states(*parts)
+    return rounded(merged.select("column", "count", "mean", F.sqrt(F.col("deviations") / F.col("count")).alias("std"), "low", "high"), std=4)
+
+
 def _range(c):
     low, high = f"min({c}) over ()", f"max({c}) over ()"
     return f"case when {low} = {high} then 0.5 else ({c} - {low})::double / ({high} - {low}) end"

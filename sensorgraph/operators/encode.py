@@ -31,10 +31,11 @@ def label_dictionary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
     A stored table of any size: it can be kept, and ``index_labels`` applies it to other frames.
     """
-    return _numbered(stored(label_frequency(df, cols), "label-frequency"))
+    return dictionary_of(stored(label_frequency(df, cols), "label-frequency"))
 
 
-def _numbered(frequency: DataFrame) -> DataFrame:
+def dictionary_of(frequency: DataFrame) -> DataFrame:
+    """The dictionary of counted labels."""
     ranked = dense_index(frequency.withColumn("__rare", -F.col("count")), ["column", "__rare", "label"], "__place")
     ranked = stored(ranked.drop("__rare"), "label-places")
     # One row per column.
@@ -87,7 +88,7 @@ def label_index(
     frequency = stored(label_frequency(df if fit_df is None else fit_df, cols), "label-frequency")
     held = frequency.limit(most_labels + 1).collect()
     if len(held) > most_labels:
-        return index_labels(df, _numbered(frequency), cols)
+        return index_labels(df, dictionary_of(frequency), cols)
     for c in cols:
         labels = sorted((-row["count"], row["label"]) for row in held if row["column"] == c)
         if labels:
@@ -148,16 +149,20 @@ def standard_scale(df: DataFrame, cols: Sequence[str], fit_df: DataFrame | None
         *[F.stddev_pop(c).alias(f"{c}_std") for c in cols],
         *[(F.min(c) == F.max(c)).alias(f"{c}_constant") for c in cols],
     ).first()
+    return df.withColumns(standard_parts({c: (fitted[f"{c}_mean"], fitted[f"{c}_std"], fitted[f"{c}_constant"]) for c in cols}))
+
+
+def standard_parts(fitted: Mapping[str, tuple[float | None, float | None, bool | None]]) -> dict[str, Column]:
+    """Expressions by (mean, standard deviation, whether constant); constants become 0."""
     parts = {}
-    for c in cols:
-        mean, std = fitted[f"{c}_mean"], fitted[f"{c}_std"]
+    for c, (mean, std, constant) in fitted.items():
         if mean is None:
             parts[c] = F.lit(None).cast("double")
-        elif fitted[f"{c}_constant"]:
+        elif constant:
             parts[c] = F.when(F.col(c).isNotNull(), F.col(c) * 0.0)
         else:
             parts[c] = (F.col(c) - F.lit(mean)) / F.lit(std)
-    return df.withColumns(parts)
+    return parts
 
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str) -> DataFrame:

@@ -37,7 +37,8 @@ def window_column_names(cfg: SeriesConfig) -> list[str]:
     return [*lags, "speed_change", *[f"rolling_{s}_{n}" for n in cfg.frames for s in ROLLING]]
 
 
-def _order(time: str, tiebreak: str | None) -> list[str]:
+def order_columns(time: str, tiebreak: str | None) -> list[str]:
+    """What the rows of a sensor are ordered by."""
     return [time] if tiebreak is None else [time, tiebreak]
 
 
@@ -53,7 +54,7 @@ def lag_columns(
 ) -> DataFrame:
     """Lags count rows, not minutes. Adds ``speed_change`` next to the lags."""
     return over_ordered(
-        df, [sensor], _order(time, tiebreak), lambda w: lag_parts(w, value, lags),
+        df, [sensor], order_columns(time, tiebreak), lambda w: lag_parts(w, value, lags),
         before=max(lags), rows_per_task=rows_per_task,
     )
 
@@ -69,7 +70,7 @@ def rolling_columns(
     rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     return over_ordered(
-        df, [sensor], _order(time, tiebreak), lambda w: rolling_parts(w, value, sizes),
+        df, [sensor], order_columns(time, tiebreak), lambda w: rolling_parts(w, value, sizes),
         before=max(sizes) - 1, rows_per_task=rows_per_task,
     )
 
@@ -86,7 +87,7 @@ def next_target(
 ) -> DataFrame:
     """The value ``steps`` rows ahead; rows without one are dropped."""
     with_target = over_ordered(
-        df, [sensor], _order(time, tiebreak), lambda w: target_part(w, value, steps),
+        df, [sensor], order_columns(time, tiebreak), lambda w: target_part(w, value, steps),
         after=steps, rows_per_task=rows_per_task,
     )
     return drop_missing(with_target, [TARGET])
@@ -107,7 +108,7 @@ def series_columns(
     return over_ordered(
         df,
         [sensor],
-        _order(time, cfg.tiebreak),
+        order_columns(time, cfg.tiebreak),
         lambda w: lag_parts(w, value, cfg.lags)
         | rolling_parts(w, value, cfg.frames)
         | target_part(w, value),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from sensorgraph.config import GoldConfig, GraphConfig, SeriesConfig
 from sensorgraph.functions.calendar import calendar_parts, cyclic_parts
 from sensorgraph.functions.labels import LABEL_COLUMNS, condition_parts
+from sensorgraph.operators.carry import continue_series
 from sensorgraph.operators.encode import minmax_parts, one_hot
 from sensorgraph.operators.graph import GRAPH_DEFAULTS, _end_features, _pagerank, collapse_edges
 from sensorgraph.operators.reshape import (
@@ -41,12 +42,21 @@ def scaled_inputs(df: DataFrame, tiebreak: str | None = None) -> list[str]:
 def series_frame(df: DataFrame, cfg: SeriesConfig = SeriesConfig()) -> DataFrame:
     """Calendar, lag, rolling, label and cyclic columns of all rows that have a target."""
     require_columns(df, SERIES_COLUMNS)
-    kept = drop_missing(series_columns(df, cfg), [TARGET])
+    return frame_columns(drop_missing(series_columns(df, cfg), [TARGET]), df.columns, cfg)
+
+
+def frame_columns(rows: DataFrame, given: list[str], cfg: SeriesConfig = SeriesConfig()) -> DataFrame:
+    """Calendar, label and cyclic columns beside the window columns that ``rows`` has; ``given`` are its own columns."""
     calendar, cyclic = calendar_parts("timestamp"), cyclic_parts("timestamp")
     labels = condition_parts(free_flow=cfg.free_flow, moderate=cfg.moderate)
     made = [*calendar, *window_column_names(cfg), *labels, *cyclic, TARGET]
-    given = [c for c in df.columns if c not in made]
-    return kept.withColumns(calendar | labels | cyclic).select(*given, *made)
+    return rows.withColumns(calendar | labels | cyclic).select(*[c for c in given if c not in made], *made)
+
+
+def continue_frame(new: DataFrame, carry: DataFrame | None = None, cfg: SeriesConfig = SeriesConfig()) -> tuple[DataFrame, DataFrame]:
+    """``series_frame`` of a further delivery and the carry for the next one; see ``continue_series``."""
+    rows, carry = continue_series(new, carry, cfg)
+    return frame_columns(drop_missing(rows, [TARGET]), new.columns, cfg), carry
 
 
 def build_series_features(
