@@ -12,8 +12,6 @@ MOST_TASKS = 50_000
 BROADCAST_ROWS = 1_000_000
 # Links of one source sensor kept together when its links are joined by shuffle.
 LINKS_PER_SLOT = 500_000
-# Rows that a link may meet on average in one task when values are propagated.
-ROWS_PER_LINK = 100
 # Time steps of one sensor handled by one window task of the dense panel.
 STEPS_PER_TASK = 100_000
 # Nodes per array of an exported snapshot.

@@ -13,7 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorgraph.config import BROADCAST_ROWS, LINKS_PER_SLOT, ROWS_PER_LINK
+from sensorgraph.config import BROADCAST_ROWS, LINKS_PER_SLOT
+from sensorgraph.operators import tiles
 from sensorgraph.operators.reshape import fill_defaults
 from sensorgraph.operators.storage import fits_broadcast, stored, stored_by
 
@@ -264,29 +265,33 @@ def propagate(
 
     ``panel`` has at most one row per sensor and time (see ``dense_panel``). Sensors outside the network are left out
     before anything is shuffled. With links that are checked to be few, they are broadcast; over several hops rows are then
-    placed by time once, if there are times enough. Otherwise links are joined by shuffle, with so few links of a hub per
-    slot that links times rows of a sensor stay near ``links_per_slot`` times ``ROWS_PER_LINK``.
+    placed by time once, if there are times enough. Otherwise readings and links are multiplied in blocks (see ``tiles``):
+    readings are shuffled once into tiles and no row per link and time is made; links of a hub fill several strips.
     """
     links = stored(normalized_links(edges), "propagation-coefficients")
     known = stored(links.select(F.col("source_sensor").alias(sensor)).distinct(), "propagation-sensors")
     rows = panel.select(time, sensor, *cols).join(known, sensor, "left_semi")
-    small = fits_broadcast(links, broadcast_rows)
-    spread = None
-    if not small:
-        # A slot's links meet every time of its source, so it may hold only so many links as there is room for.
-        most = rows.groupBy(sensor).count().agg(F.max("count")).first()[0] or 1
-        spread = SpreadLinks(links, max(1, min(links_per_slot, links_per_slot * ROWS_PER_LINK // most)))
+    if not fits_broadcast(links, broadcast_rows):
+        return _propagate_tiles(rows, links, known, cols, hops, sensor, time, links_per_slot)
     totals = [F.sum(F.col(c) * F.col("coefficient")).alias(c) for c in cols]
-    if small and hops > 1:
+    if hops > 1:
         # Rows of a time stay together for all hops, unless there are too few times to fill the tasks.
         tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         if rows.select(time).distinct().limit(4 * tasks).count() == 4 * tasks:
             rows = rows.repartition(time)
     for _ in range(hops):
-        joined = (
-            rows.join(F.broadcast(links), F.col(sensor) == F.col("source_sensor"))
-            if small
-            else spread.join(rows, sensor)
-        )
+        joined = rows.join(F.broadcast(links), F.col(sensor) == F.col("source_sensor"))
         rows = joined.groupBy(time, F.col("destination_sensor").alias(sensor)).agg(*totals)
     return rows
+
+
+def _propagate_tiles(rows, links, known, cols, hops, sensor, time, links_per_slot):
+    n_sensors, n_times = known.count(), rows.agg(F.approx_count_distinct(time)).first()[0]
+    blocks, time_blocks = 1 + n_sensors // tiles.SENSORS_PER_BLOCK, 1 + n_times // tiles.TIMES_PER_BLOCK
+    types = dict(rows.dtypes)
+    spread = SpreadLinks(tiles.strips(links, blocks), max(1, links_per_slot // tiles.LINKS_PER_STRIP))
+    for _ in range(hops):
+        own = tiles.tiles(rows, cols, sensor, time, blocks, time_blocks)
+        joined = spread.join(stored(own, "propagation-tiles"), "__block")
+        rows = tiles.multiply(joined, cols, sensor, time, types)
+    return rows

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorgraph.config import GraphConfig
-from sensorgraph.operators import graph
+from sensorgraph.operators import graph, tiles
 from sensorgraph.plans.features import build_graph_features
 from tests.helpers import at, edges, plan, values
 
@@ -188,17 +188,33 @@ def test_propagation_needs_no_shuffle_after_placing_rows_by_time(spark):
     assert "hashpartitioning(timestamp" in few and "destination_sensor" in few  # not by time alone
 
 
-def test_propagation_bounds_a_hub_times_its_rows(spark, monkeypatch):
-    """A slot holds fewer links where the panel has more times."""
-    made = []
-    whole = graph.SpreadLinks
-    monkeypatch.setattr(graph, "SpreadLinks", lambda links, most: made.append(most) or whole(links, most))
-    rows = [(0, i, 1.0) for i in range(1, 300)]
-    panel = spark.createDataFrame(
-        [(at(t), s, 1.0) for t in range(400) for s in (0, 999)], "timestamp timestamp_ntz, sensor_id long, speed double"
-    )
-    graph.propagate(panel, edges(spark, rows), ["speed"], broadcast_rows=0, links_per_slot=40)
-    assert made == [40 * graph.ROWS_PER_LINK // 400]
+def test_propagation_joins_blocks_instead_of_rows(spark, monkeypatch):
+    """A hub of 300 links over 400 times: the join has a row per strip and tile, not one per link and time."""
+    monkeypatch.setattr(tiles, "LINKS_PER_STRIP", 100)
+    joined = []
+    multiply = tiles.multiply
+    monkeypatch.setattr(tiles, "multiply", lambda rows, *rest: joined.append(rows.count()) or multiply(rows, *rest))
+    rows = [(0, i, 1.0 + i % 3) for i in range(1, 300)]
+    panel = {(at(t), s): float(t % 7) for t in range(400) for s in (0, 5)}
+    df = spark.createDataFrame([(t, s, v) for (t, s), v in panel.items()] + [(at(1), 999, 1.0)], "timestamp timestamp_ntz, sensor_id long, speed double")
+    found = graph.propagate(df, edges(spark, rows), ["speed"], broadcast_rows=0, links_per_slot=100)
+    close({(r["timestamp"], r["sensor_id"]): r["speed"] for r in found.collect()}, brute_propagate(rows, panel, 1))
+    assert joined[0] <= 2 * 8 * 6 < 300 * 400  # blocks of sensors with values, strips of each, blocks of times
+
+
+def test_blocks_treat_missing_and_undefined_values_as_rows_do(spark):
+    rows = [("a", "b", 1.0), ("b", "c", 2.0), ("c", "a", 0.5), ("c", "b", -3.0), ("d", "a", 1.0)]
+    links = spark.createDataFrame(rows, "source_sensor string, destination_sensor string, weight double")
+    cells = [("a", 1, 1.0, None), ("b", 1, None, None), ("c", 1, 4.0, 2.0), ("d", 2, None, 3.0), ("b", 3, float("nan"), 1.0), ("a", 4, float("inf"), None), ("x", 1, 1.0, 1.0)]
+    df = spark.createDataFrame(cells, "sensor_id string, timestamp int, speed double, flow float")
+    by_rows, by_blocks = [graph.propagate(df, links, ["speed", "flow"], hops, broadcast_rows=n).collect() for hops, n in ((1, 100), (1, 0))]
+    key = lambda r: (r["timestamp"], r["sensor_id"])
+    assert len(by_rows) == len(by_blocks)
+    for a, b in zip(sorted(by_rows, key=key), sorted(by_blocks, key=key)):
+        assert key(a) == key(b) and [a["speed"], a["flow"]] == pytest.approx([b["speed"], b["flow"]], nan_ok=True) if None not in a else tuple(a) == tuple(b)
+    none = df.limit(0)
+    assert graph.propagate(none, links, ["speed"], 2, broadcast_rows=0).count() == 0
+    assert graph.propagate(df, links.limit(0), ["speed"], broadcast_rows=0).count() == 0
 
 
 def test_hub_of_transitions_can_be_split(spark):
