@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 from sensorgraph.catalog import fixtures as fx
 from sensorgraph.catalog import sqltext as st
 from sensorgraph.catalog.registry import query, r, rounded
-from sensorgraph.catalog.series import shown, series_sql
+from sensorgraph.catalog.series import series_range, series_sql, shown
 from sensorgraph.config import GoldConfig, SequenceConfig, SeriesConfig
 from sensorgraph.functions.labels import LABEL_COLUMNS
 from sensorgraph.operators import forecast, graph, panel, reshape, series
 from sensorgraph.operators.encode import standard_scale
-from sensorgraph.operators.storage import stored
+from sensorgraph.operators.storage import scratch_path, stored
 from sensorgraph.plans.features import build_graph_features, gold_features
+from sensorgraph.sources.tables import export_csv, read_features_csv
 
 SEQ = SequenceConfig()
 END_ROUNDED = ("out_weight_degree", "in_weight_degree", "weighted_degree", "avg_neighbor_weight")
@@ -504,3 +505,103 @@ def g05_zero(spark, sf):
     """A third of the sources pass on no weight; all their transitions are 0."""
     weight = F.when(F.col("source_sensor") % 3 == 0, F.lit(0).cast("double")).otherwise(F.col("weight").cast("double"))
     return rounded(graph.transitions(fx.supply_edges(spark, sf).withColumn("weight", weight)))
+
+
+@query(
+    "j07_gold_scaled",
+    fx.with_views(
+        "select filled.sensor_id, filled.timestamp, "
+        + ", ".join(r(series_range(c), f"scaled_features_{i}", 5) for i, c in enumerate(st.SCALED))
+        + ", "
+        + ", ".join(
+            r(e, f"features_{i}", 5)
+            for i, e in enumerate(
+                [series_range(c) for c in st.SCALED]
+                + [f"(idx_{c}.i = {k})::int::double" for c, width in st.LABEL_WIDTHS.items() for k in range(width)]
+            )
+        )
+        + f", {GOLD_SQL} from filled {st.label_joins(LABEL_COLUMNS, 'filled')} left join ends g on g.sensor_id = filled.sensor_id "
+        + f"left join rank_{st.ITERATIONS} on rank_{st.ITERATIONS}.s = filled.sensor_id",
+        **st.frame_views(),
+        **st.label_views("frame", LABEL_COLUMNS),
+        ends=st.end_view("sensor_edges"),
+        **st.rank_views("sensor_edges"),
+    ),
+)
+def j07_scaled(spark, sf):
+    """Gold with the scaled and assembled vectors, as arrays."""
+    cfg = GoldConfig(series=SeriesConfig(tiebreak="event_id", keep_scaled=True))
+    built = gold_features(fx.speed_long(spark, sf), fx.sensor_edges(spark, sf), cfg)
+    widths = {"scaled_features": len(st.SCALED), "features": len(st.SCALED) + sum(st.LABEL_WIDTHS.values())}
+    arrays = built.select("sensor_id", "timestamp", *widths, *graph.GRAPH_DEFAULTS)
+    made = [f"{c}_{i}" for c, width in widths.items() for i in range(width)]
+    return rounded(reshape.flatten_arrays(arrays, widths), **dict.fromkeys(made, 5))
+
+
+# Speeds of six hours, as many of them as a model reads: one row per sensor and step.
+SIX_HOURLY = """select user_id as sensor_id, 0::bigint as event_id,
+    cast(date_trunc('day', ts) + (hour(ts) // 6 * 6) * interval 1 hour as timestamp) as timestamp, avg(value) as speed from events group by all"""
+GOLD_LABELS = [f"{c}_index" for c in LABEL_COLUMNS]
+GOLD_FLAGS = [f"{c}_vector_{k}" for c, width in st.LABEL_WIDTHS.items() for k in range(width)]
+GOLD_NUMBERS = ["speed", "target_speed", *st.SCALED, *GOLD_LABELS, *GOLD_FLAGS, *graph.END_DEFAULTS, "pagerank"]
+# What is no number in the file: text that cleaning makes 0.
+GOLD_TEXTS = ["date", *LABEL_COLUMNS]
+MODEL_INPUTS = [*GOLD_NUMBERS, *GOLD_TEXTS]
+
+
+def _gold_sequence_sql() -> str:
+    order = "partition by p.sensor_id order by time_index"
+    scaled = [f"case when min({c}) over () = max({c}) over () then 0 else ({c} - avg({c}) over ()) / stddev_pop({c}) over () end as {c}" for c in GOLD_NUMBERS]
+    weighed = lambda c: " + ".join(f"{k + 1} * lead({c}, {k}) over w" for k in range(SEQ.length))
+    views = {
+        "six_hourly": SIX_HOURLY,
+        **st.frame_views("six_hourly"),
+        **st.label_views("frame", LABEL_COLUMNS),
+        "ends": st.end_view("sensor_edges"),
+        **st.rank_views("sensor_edges"),
+        "gold": "select filled.sensor_id, filled.timestamp, speed, target_speed, "
+        + ", ".join(f"filled.{c}" for c in st.SCALED) + ", "
+        + ", ".join(f"idx_{c}.i as {c}_index" for c in LABEL_COLUMNS) + ", "
+        + ", ".join(f for c, width in st.LABEL_WIDTHS.items() for f in st.label_flags(c, width)) + ", "
+        + ", ".join(f"coalesce(g.{c}, 0) as {c}" for c in graph.END_DEFAULTS)
+        + f", coalesce(rank_{st.ITERATIONS}.r, 0) as pagerank from filled {st.label_joins(LABEL_COLUMNS, 'filled')} "
+        + f"left join ends g on g.sensor_id = filled.sensor_id left join rank_{st.ITERATIONS} on rank_{st.ITERATIONS}.s = filled.sensor_id",
+        "scaled": f"select sensor_id, timestamp, {', '.join(scaled)} from gold",
+        "times": "select timestamp, row_number() over (order by timestamp) - 1 as time_index from (select distinct timestamp from scaled)",
+        "ids": st.panel_views("scaled")["ids"],
+        "grid": "select t.timestamp, i.sensor_id, t.time_index, i.node_id, "
+        + ", ".join(f"coalesce(c.{c}, 0) as {c}" for c in GOLD_NUMBERS)
+        + " from times t cross join ids i left join scaled c on c.timestamp = t.timestamp and c.sensor_id = i.sensor_id",
+        "moving": "select node_id, p.sensor_id, timestamp, time_index, "
+        + ", ".join(f"{weighed(c)} as {c}" for c in GOLD_NUMBERS)
+        + f", lead(target_speed, {SEQ.horizon}) over w as target, lead(time_index, {SEQ.horizon}) over w as target_index from grid p window w as ({order})",
+    }
+    # The nested calls turn a rounded -0.0 into 0.0.
+    tidy = lambda c, name, digits: f"coalesce(nullif(round({c} + 1e-9::double, {digits}), 0), 0) as {name}"
+    picked = ", ".join(tidy(c, f"{c}_sequence", 2 if "std" in c else 4) for c in GOLD_NUMBERS)
+    none = ", ".join(f"0.0::double as {c}_sequence" for c in GOLD_TEXTS)
+    return fx.with_views(f"select node_id, sensor_id, timestamp, time_index, {picked}, {none}, {tidy('target', 'target', 4)} from moving where target_index is not null", **views)
+
+
+@query("n09_gold_to_sequences", _gold_sequence_sql())
+def n09(spark, sf):
+    """From gold to model input: a CSV file, cleaned, scaled, dense, in sequences of all columns.
+
+    A sequence is shown as the sum of its steps, each times its place, which tells any value and any order apart.
+    """
+    step = (F.date_trunc("day", "ts") + F.make_dt_interval(F.lit(0), (F.hour("ts") / 6).cast("int") * 6)).cast("timestamp_ntz")
+    events = fx.table(spark, sf, "events")
+    speeds = events.groupBy(F.col("user_id").alias("sensor_id"), step.alias("timestamp")).agg(F.avg("value").alias("speed"), F.lit(0).cast("long").alias("event_id"))
+    edges = stored(fx.sensor_edges(spark, sf), "edges")
+    built = gold_features(stored(speeds, "six-hourly"), edges, GoldConfig(series=SeriesConfig(tiebreak="event_id")))
+    path = scratch_path(spark, "gold-csv")
+    export_csv(built, path, {f"{c}_vector": width for c, width in st.LABEL_WIDTHS.items()})
+    kinds = ["sensor_id long", "timestamp timestamp_ntz", *[f"{c} double" for c in GOLD_NUMBERS], *[f"{c} string" for c in GOLD_TEXTS]]
+    cleaned = panel.clean_features(read_features_csv(spark, path, ", ".join(kinds)))
+    scaled = stored(standard_scale(stored(cleaned, "cleaned"), MODEL_INPUTS), "model-input")
+    times, ids = panel.time_index(scaled), panel.node_ids(edges)
+    cells = panel.dense_panel(scaled, MODEL_INPUTS, times=times, ids=ids)
+    found = panel.sequences(cells, SEQ.length, SEQ.horizon, cols=MODEL_INPUTS)
+    total = lambda c: F.aggregate(F.transform(f"{c}_sequence", lambda x, i: x * (i + 1)), F.lit(0.0), lambda a, x: a + x)
+    shown_ = found.select("node_id", "sensor_id", "timestamp", "time_index", *[total(c).alias(f"{c}_sequence") for c in MODEL_INPUTS], "target")
+    return rounded(shown_, 4, **{f"{c}_sequence": 2 for c in MODEL_INPUTS if "std" in c})

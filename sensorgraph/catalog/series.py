@@ -422,7 +422,8 @@ def a07_merged(spark, sf):
     return rounded(merged.select("column", "count", "mean", F.sqrt(F.col("deviations") / F.col("count")).alias("std"), "low", "high"), std=4)
 
 
-def _range(c):
+def series_range(c: str) -> str:
+    """A column mapped to its range."""
     low, high = f"min({c}) over ()", f"max({c}) over ()"
     return f"case when {low} = {high} then 0.5 else ({c} - {low})::double / ({high} - {low}) end"
 
@@ -434,7 +435,7 @@ def _range(c):
         + ", ".join(
             r(e, f"features_{i}", 5)
             for i, e in enumerate(
-                [_range(c) for c in st.SCALED]
+                [series_range(c) for c in st.SCALED]
                 + [
                     f"(idx_{c}.i = {k})::int::double"
                     for c, width in st.LABEL_WIDTHS.items()
