@@ -64,8 +64,11 @@ from sensorgraph.operators.series import (
     sensor_statistics,
     series_columns,
 )
+from sensorgraph.operators.sketches import distinct_sketches, merged_distinct, merged_statistics, reading_sketches
 from sensorgraph.plans.features import build_graph_features, build_series_features, continue_frame, gold_features
 from sensorgraph.sources.inspect import profile, sample_rows
+from sensorgraph.sources.rejects import read_csv_checked
+from sensorgraph.sources.shards import read_shards, shard_manifest, shard_sequences, write_shards
 from sensorgraph.sources.tables import (
     export_csv,
     export_parquet,

@@ -14,6 +14,7 @@ from sensorgraph.operators import forecast, graph, panel, reshape, series
 from sensorgraph.operators.encode import standard_scale
 from sensorgraph.operators.storage import scratch_path, stored
 from sensorgraph.plans.features import build_graph_features, gold_features
+from sensorgraph.sources import shards
 from sensorgraph.sources.tables import export_csv, read_features_csv
 
 SEQ = SequenceConfig()
@@ -348,13 +349,33 @@ def n07_scaled(spark, sf):
     return rounded(standard_scale(cleaned, reshape.numeric_columns(cleaned, ["sensor_id"])))
 
 
-@query(
-    "n08_snapshots",
-    fx.with_views(
-        f"select timestamp, time_index, node_id, {r('speed', 'speed')}, {r('target_speed', 'target_speed')} from panel",
-        **PANEL_VIEWS,
-    ),
+N08_SQL = fx.with_views(
+    f"select timestamp, time_index, node_id, {r('speed', 'speed')}, {r('target_speed', 'target_speed')} from panel",
+    **PANEL_VIEWS,
 )
+
+
+def _written_shards(spark, sf):
+    """The dense hourly panel in shards of 100 steps by 64 nodes, speeds scaled."""
+    path = scratch_path(spark, "shards")
+    cells = stored(dense(spark, sf)[0], "panel")
+    shards.write_shards(cells, path, ["speed", "target_speed"], {"speed": (40.0, 25.0)}, times_per_shard=100, nodes_per_shard=64)
+    return path
+
+
+@query("n08_shards", N08_SQL)
+def n08_shards(spark, sf):
+    cells = shards.read_shards(spark, _written_shards(spark, sf))
+    return rounded(cells.select("timestamp", "time_index", "node_id", "speed", "target_speed"))
+
+
+@query("w08_sequences_from_shards", SEQUENCE_SQL)
+def w08_shards(spark, sf):
+    found = shards.shard_sequences(spark, _written_shards(spark, sf), SEQ.length, SEQ.horizon)
+    return rounded(reshape.flatten_arrays(found, STEP_WIDTHS))
+
+
+@query("n08_snapshots", N08_SQL)
 def n08(spark, sf):
     cells, _ = dense(spark, sf)
     arrays = panel.snapshots(cells, ["speed", "target_speed"], nodes_per_block=64)

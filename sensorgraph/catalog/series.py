@@ -11,7 +11,7 @@ from sensorgraph.catalog.registry import query, r, rounded
 from sensorgraph.config import SeriesConfig
 from sensorgraph.functions.calendar import calendar_columns, cyclic_columns
 from sensorgraph.functions.labels import LABEL_COLUMNS, condition_columns
-from sensorgraph.operators import encode, fitted, reshape, series
+from sensorgraph.operators import encode, fitted, reshape, series, sketches
 from sensorgraph.operators.storage import stored
 from sensorgraph.plans.features import build_series_features, continue_frame, series_frame
 
@@ -184,6 +184,42 @@ def a01(spark, sf):
     return rounded(statistics, standard_deviation=4, variance=4)
 
 
+@query(
+    "a01_sketched_statistics",
+    fx.with_views(
+        f"""select sensor_id, count(speed) as readings, {r("avg(speed)", "average_speed")}, max(speed) as maximum_speed,
+        min(speed) as minimum_speed, true as median_within, true as upper_within from speed_nullable group by sensor_id having count(speed) > 0
+        union all select -1, count(speed), {r("avg(speed)", "average_speed")}, max(speed), min(speed), true, true from speed_nullable"""
+    ),
+)
+def a01_sketched(spark, sf):
+    """From daily sketches: exact statistics, and whether the quantiles' ranks lie within the stated error (-1: all sensors)."""
+    readings = fx.speed_nullable(spark, sf)
+    daily = stored(sketches.reading_sketches(readings), "daily-sketches")
+    every = daily.withColumn("sensor_id", F.lit(-1).cast("long"))
+    found = stored(sketches.merged_statistics(daily.unionByName(every), quantiles=(0.5, 0.9)), "sketched")
+    known = readings.where(F.col("speed").isNotNull()).select("sensor_id", "speed")
+    known = known.unionByName(known.withColumn("sensor_id", F.lit(-1).cast("long")))
+    share = lambda rows: F.avg(rows.cast("int"))
+    within = lambda q, p: (share(F.col("speed") < F.col(q)) <= p + sketches.RANK_ERROR) & (share(F.col("speed") <= F.col(q)) >= p - sketches.RANK_ERROR)
+    held = known.join(found, "sensor_id").groupBy("sensor_id").agg(within("quantile_50", 0.5).alias("median_within"), within("quantile_90", 0.9).alias("upper_within"))
+    return rounded(found.drop("quantile_50", "quantile_90").join(held, "sensor_id"))
+
+
+@query(
+    "a04_sketched_neighbours",
+    fx.with_views("select source_sensor, count(distinct destination_sensor) as neighbours, true as within from supply_edges group by source_sensor"),
+)
+def a04_sketched(spark, sf):
+    """Distinct neighbours from sketches of four parts of the edges, against the exact count and the stated error."""
+    edges = fx.supply_edges(spark, sf).withColumn("part", F.pmod(F.xxhash64("destination_sensor", "weight"), F.lit(4)))
+    parts = stored(sketches.distinct_sketches(edges, ["source_sensor", "part"], "destination_sensor"), "neighbour-sketches")
+    merged = sketches.merged_distinct(parts, ["source_sensor"])
+    exact = edges.groupBy("source_sensor").agg(F.countDistinct("destination_sensor").alias("neighbours"))
+    error = F.abs(F.col("distinct_count") - F.col("neighbours")) <= F.greatest(F.lit(1.0), F.col("neighbours") * sketches.DISTINCT_ERROR)
+    return exact.join(merged, "source_sensor").select("source_sensor", "neighbours", error.alias("within"))
+
+
 # Labels of rows with missing speeds, and one label column that is itself missing in places.
 LABELLED = [*LABEL_COLUMNS, "kind"]
 LABELLED_VIEWS = {

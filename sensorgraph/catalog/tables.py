@@ -15,7 +15,7 @@ from sensorgraph.operators import reshape
 from sensorgraph.operators.encode import label_index, one_hot
 from sensorgraph.operators.graph import restrict_to_graph
 from sensorgraph.operators.storage import scratch_path
-from sensorgraph.sources import inspect, tables
+from sensorgraph.sources import inspect, rejects, tables
 
 CODECS = ("snappy", "gzip", "lz4", "zstd", "none")
 WIDE_IDS = {t: str(i) for i, t in enumerate(fx.EVENT_TYPES)}
@@ -54,6 +54,35 @@ def s03(spark, sf):
     return tables.read_features_csv(spark, path, schema)
 
 
+@query(
+    "s10_checked_csv",
+    """with broken as (
+      select event_id::varchar as event_id, case when event_id % 5 = 1 then null else user_id::varchar end as sensor_id,
+        case when event_id % 10 = 3 then 'n/a' when event_type <> 'error' then value::varchar end as speed, value,
+        concat_ws(';', case when event_id % 5 = 1 then 'sensor_id missing' end, case when event_id % 10 = 3 then 'speed n/a not a double' end,
+          case when event_id % 7 = 2 then 'day yesterday not a date' end) as faults from events)
+    select case when faults = '' then 'good' else 'rejected' end as kind, event_id, sensor_id,
+      case when speed <> 'n/a' then round(value + 0.000000001::double, 6) end as speed, faults from broken""",
+)
+def s10(spark, sf):
+    """A file with broken numbers, broken dates and missing sensors: every row is in one of the two tables."""
+    at = lambda n, k: F.col("event_id") % n == k
+    known = F.when(F.col("event_type") != "error", F.col("value").cast("string"))
+    broken = fx.table(spark, sf, "events").select(
+        "event_id", F.when(~at(5, 1), F.col("user_id")).alias("sensor_id"), F.when(at(10, 3), "n/a").otherwise(known).alias("speed"),
+        F.when(at(7, 2), "yesterday").alias("day"),
+    )
+    path = scratch_path(spark, "broken-csv")
+    tables.export_csv(broken, path)
+    good, rejected = rejects.read_csv_checked(spark, path, "event_id long, sensor_id long, speed double, day date", ["sensor_id"])
+    text = F.transform(rejects.REJECTS, lambda x: F.concat_ws(" ", x["column"], x["text"], x["reason"]))
+    texts = lambda df, kind, faults: df.select(
+        F.lit(kind).alias("kind"), F.col("event_id").cast("string").alias("event_id"), F.col("sensor_id").cast("string").alias("sensor_id"),
+        to_number("speed").alias("speed"), faults.alias("faults"),
+    )
+    return rounded(texts(good, "good", F.lit("")).union(texts(rejected, "rejected", F.array_join(text, ";"))))
+
+
 @query("s04_gold_round_trip", fx.with_views(f"select *, {columns(CALENDAR)} from speed_long"))
 def s04(spark, sf):
     path = scratch_path(spark, "gold")
