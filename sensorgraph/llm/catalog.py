@@ -191,32 +191,7 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-OP2_SQL = r"""
-with rows as (
-  select doc_id, text, regexp_extract_all(coalesce(text, ''), '[^.!?\n]*[.!?\n]+|[^.!?\n]+') as l from documents),
-parts as (
-  select doc_id, generate_subscripts(l, 1) as i, unnest(l) as s from rows),
-normal as (
-  select doc_id, i, trim(regexp_replace(lower(s), '[ \t\n\x0b\f\r.!?]+', ' ', 'g'), ' ') as s from parts),
-runs as (
-  select a.doc_id, a.i, a.s || chr(10) || b.s as s from normal a join normal b on a.doc_id = b.doc_id and b.i = a.i + 1
-  where len(regexp_extract_all(a.s, '[^ ]+')) + len(regexp_extract_all(b.s, '[^ ]+')) >= 8),
-again as (select doc_id, i from runs qualify row_number() over (partition by s order by doc_id, i) > 1),
-gone as (select distinct doc_id, i + k as i from again, (select unnest([0, 1]) as k)),
-kept as (
-  select doc_id, string_agg(s, '' order by i) as t from parts anti join gone using (doc_id, i) group by doc_id)
-select doc_id, case when n is null then text else coalesce(t, '') end as text, coalesce(n, 0)::bigint as n_removed
-from rows left join kept using (doc_id) left join (select doc_id, count(*) as n from gone group by doc_id) using (doc_id)
-"""
-
-
-@query("op2_substring_dedup", OP2_SQL)
-def op2(spark: SparkSession, folder: str) -> DataFrame:
-    """As ``OP2_SQL`` has it, with runs of two sentences only; op2_substring_dedup_covering removes repeats whole."""
-    return remove_repeated_sentences(table(spark, folder, "documents").select("doc_id", "text"), covering=False)
-
-
-OP2_COVERING_SQL = rf"""
+OP2_SQL = rf"""
 with rows as (
   select doc_id, text, regexp_extract_all(coalesce(text, ''), '[^{ENDS}]*[{ENDS}]+|[^{ENDS}]+') as l from documents),
 parts as (
@@ -250,11 +225,14 @@ from rows left join kept using (doc_id) left join (select doc_id, count(*) as n
 """
 
 
-@query("op2_substring_dedup_covering", OP2_COVERING_SQL)
-def op2_covering(spark: SparkSession, folder: str) -> DataFrame:
+@query("op2_substring_dedup", OP2_SQL)
+def op2(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeated_sentences(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+query("op2_substring_dedup_covering", OP2_SQL)(op2)  # its earlier name
+
+
 OP5_SQL = r"""
 with recursive words as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

@@ -8,22 +8,21 @@ from pyspark.sql import functions as F
 from sensorgraph.llm.rows import HASH, ID, TEXT, attach, keyed, once
 from sensorgraph.operators.storage import stored
 
-#: A sentence with what ends it; every character of a text is in exactly one.
-SENTENCE = r"[^.!?\n]*+[.!?\n]++|[^.!?\n]++"
 #: End marks of all scripts and all line ends.
 ENDS = ".!?\\n\\x0B\\f\\r\x85\u2028\u2029…‼⁇⁈⁉。．！？｡؟۔।॥։።፧፨။។៕།༎"
-ANY_SENTENCE = f"[^{ENDS}]*+[{ENDS}]++|[^{ENDS}]++"
+#: A sentence with what ends it; every character of a text is in exactly one.
+SENTENCE = f"[^{ENDS}]*+[{ENDS}]++|[^{ENDS}]++"
 #: Characters of scripts that set no spaces between words: Thai, Lao, Tibetan, Burmese, Khmer, kana, Han.
 UNSPACED = "\u0e01-\u0fff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
 
 
-def sentences(text: Column, pattern: str = SENTENCE) -> Column:
-    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+def sentences(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(SENTENCE), F.lit(0))
 
 
-def normal_sentence(sentence: Column, ends: str = ".!?") -> Column:
+def normal_sentence(sentence: Column) -> Column:
     """As compared: lower case, no end marks, single spaces."""
-    return F.btrim(F.regexp_replace(F.lower(sentence), rf"[ \t-\r{ends}]+", " "))
+    return F.btrim(F.regexp_replace(F.lower(sentence), rf"[ \t-\r{ENDS}]+", " "))
 
 
 _SPANS = "array<struct<at:int,to:int,a:bigint,chars:int>>"
@@ -35,8 +34,8 @@ def _span(at: Column, to: Column, run: Column) -> Column:
     return F.struct(at.cast("int").alias("at"), to.cast("int").alias("to"), F.xxhash64(run).alias("a"), chars.alias("chars"))
 
 
-def _pairs(normal: Column, words: Column, run: int, least_words: int, wanted=lambda i: F.lit(True)) -> Column:
-    """Every run of ``run`` sentences, empty ones included, with enough words."""
+def _pairs(normal: Column, words: Column, run: int, least_words: int, wanted) -> Column:
+    """Every wanted run of ``run`` sentences, empty ones included, with enough words."""
 
     def enough(i: Column) -> Column:
         return (sum((F.get(words, i + k) for k in range(1, run)), F.get(words, i)) >= least_words) & wanted(i)
@@ -46,16 +45,6 @@ def _pairs(normal: Column, words: Column, run: int, least_words: int, wanted=lam
     return F.when(F.size(normal) < run, F.array().cast(_SPANS)).otherwise(found)
 
 
-def _fixed_spans(found: Column, run: int, least_words: int) -> Column:
-    """``at, to, a, chars`` of every run of exactly ``run`` sentences with enough words."""
-
-    def of(normal: Column) -> Column:
-        words = F.transform(normal, lambda s: F.when(s == "", 0).otherwise(F.regexp_count(s, F.lit(" ")) + 1))
-        return once(words, lambda words: _pairs(normal, words, run, least_words))
-
-    return once(F.transform(found, lambda s: normal_sentence(s)), of)
-
-
 def _covering_spans(found: Column, run: int, least_words: int, alone_words: int) -> Column:
     """``at, to, a, chars`` of the shortest runs with enough sentences and words from every sentence on and up to every
     sentence, of long sentences alone, and of runs with an empty sentence.
@@ -100,7 +89,7 @@ def _covering_spans(found: Column, run: int, least_words: int, alone_words: int)
         return F.when(F.size(normal) < 1, F.array().cast(_SPANS)).otherwise(F.concat(runs, pairs))
 
     word = F.lit(f"[{UNSPACED}]{{1,2}}|[^ {UNSPACED}]+")
-    normal = F.transform(found, lambda s: normal_sentence(s, ENDS))
+    normal = F.transform(found, lambda s: normal_sentence(s))
     return once(normal, lambda s: once(F.transform(s, lambda x: F.regexp_count(x, word)), lambda w: split(s, w)))
 
 
@@ -111,15 +100,13 @@ def remove_repeated_sentences(
     run: int = 2,
     least_words: int = 8,
     alone_words: int = 16,
-    covering: bool = True,
 ) -> DataFrame:
     """The input with ``text`` less the sentences in repeated runs, and ``n_removed`` sentences.
 
     Runs of consecutive sentences are hashed that have ``run`` sentences and ``least_words`` words, or more sentences
     where so few have too few words; and single sentences of ``alone_words`` words. So of a passage that two documents
     share the later one loses every whole sentence, however short, if there are ``run`` of them with ``least_words``
-    words. Sentences end at the marks of any script; of scripts without spaces two characters count as a word. Without
-    ``covering`` a run has exactly ``run`` sentences, which end at ``. ! ?`` and newline, and words are told by spaces.
+    words. Sentences end at the marks of any script; of scripts without spaces two characters count as a word.
 
     Of equal runs the one of the smallest (id, place) stays; the sentences of all others are removed. Runs are taken
     from the input, so chains and overlaps do not depend on an order of removal. Runs are equal if hash and length agree.
@@ -132,9 +119,7 @@ def remove_repeated_sentences(
     places move to the texts.
     """
     rows = keyed(docs, id_col, text_col)
-    pattern = ANY_SENTENCE if covering else SENTENCE
-    found = sentences(F.col(TEXT), pattern)
-    found = _covering_spans(found, run, least_words, alone_words) if covering else _fixed_spans(found, run, least_words)
+    found = _covering_spans(sentences(F.col(TEXT)), run, least_words, alone_words)
     spans = stored(rows.select(ID, HASH, F.inline(found)), "sentence-runs")
     place = F.struct(ID, "at")
     groups = spans.groupBy("a", "chars").agg(F.count("*").alias("n"), F.min(place).alias("first"))
@@ -156,7 +141,7 @@ def remove_repeated_sentences(
     changed = F.col("__llm_gone").isNotNull()
     return marked.withColumns(
         {
-            text_col: F.when(changed, once(sentences(F.col(text_col), pattern), kept)).otherwise(F.col(text_col)),
+            text_col: F.when(changed, once(sentences(F.col(text_col)), kept)).otherwise(F.col(text_col)),
             "n_removed": F.when(changed, F.size(covered)).otherwise(0).cast("long"),
         }
     ).drop("__llm_gone")
