@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorgraph.llm.rows import HASH, ID, TEXT, attach, keyed, once
+from sensorgraph.llm.rows import HASH, ID, TEXT, keyed, once
 from sensorgraph.operators.storage import stored
 
 SPACE = r"[ \t-\r]+"
@@ -108,13 +108,13 @@ def _judged(
     documents = F.count_distinct(F.coalesce(F.col(ID), F.lit(-(2**63))))
     frequent = lines.groupBy("host", "line").agg(documents.alias("n")).where(F.col("n") > most_docs)
     frequent = stored(frequent.select("host", "line"), "frequent-lines")
-    # A repeated row brings its lines again, so the sum over a row key is divided by the number of its rows.
-    copies = base.groupBy(ID, HASH).agg(F.count("*").alias("copies"))
-    removed = lines.join(frequent, ["host", "line"], "left_semi").groupBy(ID, HASH).agg(F.sum("chars").alias("chars"))
-    removed = attach(removed, copies, "inner").select(ID, HASH, (F.col("chars") / F.col("copies")).cast("long").alias("gone"))
+    # A repeated row brings its lines again, so the sum over a row and its host is divided by the number of such rows.
+    copies = base.groupBy(ID, HASH, "host").agg(F.count("*").alias("copies"))
+    removed = lines.join(frequent, ["host", "line"], "left_semi").groupBy(ID, HASH, "host").agg(F.sum("chars").alias("chars"))
+    removed = _attach(removed, copies, "inner").select(ID, HASH, "host", (F.col("chars") / F.col("copies")).cast("long").alias("gone"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     gone = F.coalesce(F.col("gone"), F.lit(0).cast("long"))
-    verdicts = attach(base, removed).select(
+    verdicts = _attach(base, removed).select(
         ID,
         HASH,
         "host",
@@ -130,6 +130,14 @@ def _judged(
     return verdicts, base, frequent
 
 
+def _attach(left: DataFrame, right: DataFrame, how: str = "left") -> DataFrame:
+    """``left`` with the other columns of ``right``, matched by row and host."""
+    names = {ID: f"{ID}_r", HASH: f"{HASH}_r", "host": "host_r"}
+    right = right.withColumnsRenamed(names)
+    same = F.col(ID).eqNullSafe(F.col(names[ID])) & (F.col(HASH) == F.col(names[HASH])) & (F.col("host") == F.col(names["host"]))
+    return left.join(right, same, how).drop(*names.values())
+
+
 def without_frequent_lines(
     docs: DataFrame,
     id_col: str = "doc_id",

@@ -270,6 +270,18 @@ def test_quality(spark, odd, none):
     assert quality_rules.quality_verdicts(none).count() == 0
 
 
+def test_lines_are_frequent_by_host(spark):
+    """One document on two hosts: its menu is removed on the host that has it often, and counts there only."""
+    menu, body = "Home page and about us and contact and terms", prose(77, 60)
+    rows = [(k, f"{menu}\n{prose(k, 60)}", "a") for k in range(4)] + [(50, f"{menu}\n{body}", "a"), (50, f"{menu}\n{body}", "b"), (50, f"{menu}\n{body}", "b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    cut = sum(len(w) for w in menu.split())
+    found = quality_rules.quality_verdicts(df, most_docs=3).where("doc_id = 50").collect()
+    assert sorted(r["n_removed_chars"] for r in found) == [0, 0, cut]
+    strict = quality_rules.quality_verdicts(df, most_docs=3, most_removed=0.01).where("doc_id = 50").collect()
+    assert sorted((r["n_removed_chars"], r["kept"]) for r in strict) == [(0, True), (0, True), (cut, False)]
+
+
 def test_repeated_short_sentences(spark):
     """Passages of short sentences, of one long sentence, and of other scripts go whole; what surrounds them stays."""
     shouted = " ".join(f"WORD{k}!!" for k in range(60))
