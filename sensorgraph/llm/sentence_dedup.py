@@ -29,8 +29,8 @@ _SPANS = "array<struct<at:int,to:int,a:bigint,chars:int>>"
 
 
 def _span(at: Column, to: Column, run: Column) -> Column:
-    """A run by its first and last place, and the hash and length of its sentences."""
-    chars = F.aggregate(run, F.lit(0), lambda n, s: n + F.length(s))
+    """A run by its first and last place, and the hash and length of its sentences, which are hashed already."""
+    chars = F.aggregate(run, F.lit(0), lambda n, s: n + s["chars"])
     return F.struct(at.cast("int").alias("at"), to.cast("int").alias("to"), F.xxhash64(run).alias("a"), chars.alias("chars"))
 
 
@@ -89,8 +89,10 @@ def _covering_spans(found: Column, run: int, least_words: int, alone_words: int)
         return F.when(F.size(normal) < 1, F.array().cast(_SPANS)).otherwise(F.concat(runs, pairs))
 
     word = F.lit(f"[{UNSPACED}]{{1,2}}|[^ {UNSPACED}]+")
-    normal = F.transform(found, lambda s: normal_sentence(s))
-    return once(normal, lambda s: once(F.transform(s, lambda x: F.regexp_count(x, word)), lambda w: split(s, w)))
+    counted = lambda s: F.struct(F.xxhash64(s).alias("hash"), F.length(s).alias("chars"), F.regexp_count(s, word).alias("words"))
+    normal = F.transform(found, lambda s: once(normal_sentence(s), counted))
+    hashed = lambda s: F.transform(s, lambda x: F.struct(x["hash"].alias("hash"), x["chars"].alias("chars")))
+    return once(normal, lambda s: once(hashed(s), lambda h: once(s["words"], lambda w: split(h, w))))
 
 
 def remove_repeated_sentences(
