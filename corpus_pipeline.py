@@ -1,7 +1,7 @@
 """Training-data pipeline over ``documents``: each stage sees all that its predecessor kept.
 
-Rows that repeat a ``doc_id`` are one document to every stage and stay or go together; null texts pass as they are, texts
-that lose all their content stay as empty texts. Columns that a stage does not know pass through.
+Rows that repeat a ``doc_id`` are one document to every stage and stay or go together; null and empty texts go with the
+first stage, texts that lose all their content later stay as empty texts. Columns that a stage does not know pass through.
 """
 
 from __future__ import annotations
@@ -21,11 +21,14 @@ def _text_changed(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without text or whose language stays open; the text's hash tells repeated ids apart."""
+    """Drops documents without text or whose language stays open; the text's hash tells repeated ids apart.
+
+    Without any labelled text there is no model and all documents pass.
+    """
     text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
     rows = language_id.document_rows(docs.select("doc_id", "text", "lang", "source"))
     rows = rows.withColumn("kind", F.xxhash64(F.coalesce("text", F.lit(""))).cast("string"))
-    found = language_id.identify(rows).where(~F.col("accepted"))
+    found = language_id.identify(rows).where(~F.col("accepted") & F.col("language").isNotNull())
     gone = stored(found.select(F.col("id").alias("__id"), F.col("kind").cast("long").alias("__hash")).distinct(), "rejected")
     return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (text_hash == F.col("__hash")), "left_anti")
 
