@@ -41,3 +41,9 @@ def test_stage_decisions(spark):
     left = passages(sorted(cut.items()), items)
     assert len(cut) == len(rows) and sum(h for _, _, h, _ in left) <= 0.02 * sum(h for _, _, h, _ in passages(rows, items))
     assert corpus_pipeline.run(spark, FOLDER).count() > 100
+
+
+def test_documents_pass_where_no_language_can_be_learnt(spark):
+    rows = [(1, "some words of a text", None, "a", 20), (2, None, None, "a", 0), (3, "others", None, None, 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.language(spark, docs, "").collect()) == [1, 2, 3]
