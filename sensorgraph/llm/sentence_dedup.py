@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
-from sensorgraph.llm.rows import HASH, ID, TEXT, attach, keyed, once
+from sensorgraph.llm.rows import HASH, ID, TEXT, attach, keyed, once, small_batches
 from sensorgraph.operators.storage import stored
 
 #: End marks of all scripts and all line ends.
@@ -20,77 +26,100 @@ def sentences(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(SENTENCE), F.lit(0))
 
 
-def normal_sentence(sentence: Column) -> Column:
-    """As compared: lower case, no end marks, single spaces."""
-    return F.btrim(F.regexp_replace(F.lower(sentence), rf"[ \t-\r{ENDS}]+", " "))
-
+_SENTENCE = re.compile(SENTENCE)
+_MARKS = re.compile(rf"[ \t-\r{ENDS}]+")
+_UNSPACED = re.compile(f"[{UNSPACED}]")
+_WORD = re.compile(f"[{UNSPACED}]{{1,2}}|[^ {UNSPACED}]+")
+#: Runs of a batch that a task hands on.
+RUNS_PER_BATCH = 50_000
 
-_SPANS = "array<struct<at:int,to:int,a:bigint,chars:int>>"
 
-
-def _span(at: Column, to: Column, run: Column) -> Column:
-    """A run by its first and last place, and the hash and length of its sentences."""
-    chars = F.aggregate(run, F.lit(0), lambda n, s: n + F.length(s))
-    return F.struct(at.cast("int").alias("at"), to.cast("int").alias("to"), F.xxhash64(run).alias("a"), chars.alias("chars"))
+def normal_sentence(sentence: str) -> str:
+    """As compared: lower case, no end marks, single spaces."""
+    return _MARKS.sub(" ", sentence.lower()).strip(" ")
 
 
-def _pairs(normal: Column, words: Column, run: int, least_words: int, wanted) -> Column:
-    """Every wanted run of ``run`` sentences, empty ones included, with enough words."""
+def n_words(normal: str) -> int:
+    if not normal.isascii() and _UNSPACED.search(normal):
+        return len(_WORD.findall(normal))
+    return normal.count(" ") + 1 if normal else 0
 
-    def enough(i: Column) -> Column:
-        return (sum((F.get(words, i + k) for k in range(1, run)), F.get(words, i)) >= least_words) & wanted(i)
 
-    starts = F.filter(F.sequence(F.lit(0), F.size(normal) - run), enough)
-    found = F.transform(starts, lambda i: _span(i, i + run - 1, F.slice(normal, i + 1, run)))
-    return F.when(F.size(normal) < run, F.array().cast(_SPANS)).otherwise(found)
+def _least(words: list[int], places: range, run: int, least_words: int) -> int:
+    """How many sentences from the first of these places on make a run; 0 if they do not."""
+    total = 0
+    for k, p in enumerate(places, 1):
+        total += words[p]
+        if k >= run and total >= least_words:
+            return k
+    return 0
 
 
-def _covering_spans(found: Column, run: int, least_words: int, alone_words: int) -> Column:
-    """``at, to, a, chars`` of the shortest runs with enough sentences and words from every sentence on and up to every
-    sentence, of long sentences alone, and of runs with an empty sentence.
+def covering_runs(words: list[int], run: int, least_words: int, alone_words: int) -> Iterator[tuple[int, int]]:
+    """First and last place of the shortest runs with enough sentences and words from every sentence on and up to every
+    sentence, and of long sentences alone. Every sentence has a word, so a run is over after ``least_words``.
 
-    Sentences without words are passed over: each of the others has a word, so a run is over after ``least_words``. The
-    runs from the left alone could leave the last sentences of a passage uncovered; with those from the right, two texts
-    share a run over every sentence of a passage that has enough sentences and words.
+    The runs from the left alone could leave the last sentences of a passage uncovered; with those from the right, two
+    texts share a run over every sentence of a passage that has enough sentences and words.
     """
-    most = max(run, least_words)
-
-    def least(words: Column) -> Column:
-        """How many of the first of these make a run; 0 if they do not."""
-        none = F.struct(F.lit(0).alias("k"), F.lit(0).alias("n"))
-
-        def longer(state: Column, n: Column) -> Column:
-            more = F.struct((state["k"] + 1).alias("k"), (state["n"] + n).alias("n"))
-            return F.when((state["k"] < run) | (state["n"] < least_words), more).otherwise(state)
-
-        whole = lambda state: F.when((state["k"] >= run) & (state["n"] >= least_words), state["k"]).otherwise(0)
-        return F.aggregate(words, none, longer, whole)
-
-    def of(place: Column, normal: Column, words: Column) -> Column:
-        span = lambda p, k: _span(F.get(place, p), F.get(place, p + k - 1), F.slice(normal, p + 1, k))
-        every = F.sequence(F.lit(0), F.size(normal) - 1)
-        onward = F.transform(every, lambda p: F.struct(p.alias("p"), least(F.slice(words, p + 1, most)).alias("k")))
-        before = lambda p: F.slice(words, F.greatest(p - most + 2, F.lit(1)), F.least(p + 1, F.lit(most)))
-        back = F.transform(every, lambda p: once(least(F.reverse(before(p))), lambda k: F.struct((p - k + 1).alias("p"), k.alias("k"))))
+    n, most = len(words), max(run, least_words)
+    for p in range(n):
+        k = _least(words, range(p, min(p + most, n)), run, least_words)
+        if k:
+            yield p, p + k - 1
+        k = _least(words, range(p, max(p - most, -1), -1), run, least_words)
         # A run that is also the shortest from its first sentence on is there already.
-        shorter = lambda x: F.aggregate(F.slice(words, x["p"] + 1, x["k"] - 1), F.lit(0), lambda n, w: n + w) >= least_words
-        back = F.filter(back, lambda x: F.when(x["k"] > run, shorter(x)).otherwise(F.lit(False)))
-        alone = F.filter(every, lambda p: F.get(words, p) >= alone_words)
-        alone = F.transform(alone, lambda p: F.struct(p.alias("p"), F.lit(1).alias("k")))
-        runs = F.concat(F.filter(onward, lambda x: x["k"] > 0), back, alone)
-        return F.when(F.size(normal) < 1, F.array().cast(_SPANS)).otherwise(F.transform(runs, lambda x: span(x["p"], x["k"])))
-
-    def split(normal: Column, words: Column) -> Column:
-        gap = lambda i: sum((F.get(words, i + k) == 0).cast("int") for k in range(run)) > 0
-        full = F.filter(F.sequence(F.lit(0), F.size(normal) - 1), lambda i: F.get(words, i) > 0)
-        at = lambda places, values: F.transform(places, lambda i: F.get(values, i))
-        runs = once(full, lambda i: once(at(i, normal), lambda s: once(at(i, words), lambda w: of(i, s, w))))
-        pairs = _pairs(normal, words, run, least_words, gap)
-        return F.when(F.size(normal) < 1, F.array().cast(_SPANS)).otherwise(F.concat(runs, pairs))
-
-    word = F.lit(f"[{UNSPACED}]{{1,2}}|[^ {UNSPACED}]+")
-    normal = F.transform(found, lambda s: normal_sentence(s))
-    return once(normal, lambda s: once(F.transform(s, lambda x: F.regexp_count(x, word)), lambda w: split(s, w)))
+        if k > run and sum(words[p - k + 1 : p]) >= least_words:
+            yield p - k + 1, p
+        if words[p] >= alone_words:
+            yield p, p
+
+
+def hashed_runs(text: str, run: int, least_words: int, alone_words: int) -> Iterator[tuple[int, int, int, int]]:
+    """``at, to, hash, chars`` of a text's runs: sentences without words are passed over, and runs that hold such a one
+    are hashed beside. No normal sentence has a line end, so joined ones are equal only if all their sentences are."""
+    normal = [normal_sentence(s) for s in _SENTENCE.findall(text)]
+    words = [n_words(s) for s in normal]
+
+    def hashed(at: int, to: int, sentences: list[str]) -> tuple[int, int, int, int]:
+        return at, to, xxh64_intdigest("\n".join(sentences)), sum(map(len, sentences))
+
+    full = [i for i, n in enumerate(words) if n]
+    spoken = [normal[i] for i in full]
+    for p, q in covering_runs([words[i] for i in full], run, least_words, alone_words):
+        yield hashed(full[p], full[q], spoken[p : q + 1])
+    if len(full) < len(words):
+        for i in range(len(words) - run + 1):
+            part = words[i : i + run]
+            if 0 in part and sum(part) >= least_words:
+                yield hashed(i, i + run - 1, normal[i : i + run])
+
+
+def _runs(rows: DataFrame, run: int, least_words: int, alone_words: int) -> DataFrame:
+    """``id, hash, at, to, a, chars`` of all runs; a row's text leaves its task only as these."""
+
+    def batch_of(ids: pa.Array, hashes: pa.Array, row: list[int], found: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
+        at, to, a, chars = zip(*found, strict=True)
+        where = pa.array(row, pa.int64())
+        columns = [ids.take(where), hashes.take(where), pa.array(at, pa.int32()), pa.array(to, pa.int32())]
+        columns += [pa.array(np.array(a, np.uint64).view(np.int64)), pa.array(chars, pa.int32())]
+        return pa.record_batch(columns, [ID, HASH, "at", "to", "a", "chars"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, found = [], []
+            for k in range(batch.num_rows):
+                for one in hashed_runs(batch.column(2)[k].as_py(), run, least_words, alone_words):
+                    row.append(k)
+                    found.append(one)
+                    if len(found) >= RUNS_PER_BATCH:
+                        yield batch_of(batch.column(0), batch.column(1), row, found)
+                        row, found = [], []
+            if found:
+                yield batch_of(batch.column(0), batch.column(1), row, found)
+
+    small_batches(rows.sparkSession)
+    return rows.select(ID, HASH, TEXT).mapInArrow(work, f"{ID} long, {HASH} long, at int, to int, a long, chars int")
 
 
 def remove_repeated_sentences(
@@ -112,15 +141,15 @@ def remove_repeated_sentences(
     from the input, so chains and overlaps do not depend on an order of removal. Runs are equal if hash and length agree.
 
     Null text stays null; texts of fewer sentences are left alone; a null id counts as the smallest; rows that repeat id
-    and text are one document and keep or lose the same sentences; an empty table stays empty; other columns pass through.
+    and text are one document and keep or lose the same sentences; an empty table stays empty; other columns pass through,
+    but for ``n_removed``, which is replaced.
 
     Runs are written once. First places are found by an aggregation that combines before its shuffle, and written; the
     join of all runs with the repeated ones then has plain inputs, so that a very frequent run is split. Only removed
     places move to the texts.
     """
     rows = keyed(docs, id_col, text_col)
-    found = _covering_spans(sentences(F.col(TEXT)), run, least_words, alone_words)
-    spans = stored(rows.select(ID, HASH, F.inline(found)), "sentence-runs")
+    spans = stored(_runs(rows, run, least_words, alone_words), "sentence-runs")
     place = F.struct(ID, "at")
     groups = spans.groupBy("a", "chars").agg(F.count("*").alias("n"), F.min(place).alias("first"))
     groups = stored(groups.where("n > 1").drop("n"), "repeated-runs")
