@@ -114,20 +114,32 @@ def _dictionary_rows(group: pa.Table, bits: int) -> pa.Table:
 
 
 def suffix_order(text: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of ``text`` in the order of their next LENGTH bytes, and whether each differs from the one before."""
-    words = []
+    """Places of ``text`` in the order of their next LENGTH bytes, and whether each differs from the one before.
+
+    Places are sorted by 8 bytes; of those that agree in them, only groups that are not equal throughout are sorted on.
+    """
     padded = np.concatenate((text, np.zeros(8, np.uint8)))
-    for k in range(0, LENGTH, 8):
-        part = np.zeros(len(starts), np.uint64)
-        for j in range(min(8, LENGTH - k)):
-            part = (part << np.uint64(8)) | padded[starts + k + j]
-        words.append(part)
-    order = np.lexsort(words[::-1])
-    new = np.zeros(len(starts), bool)
-    new[:1] = True
-    for part in words:
-        part = part[order]
-        new[1:] |= part[1:] != part[:-1]
+    eight = np.ndarray(len(text) + 1, ">u8", padded, strides=(1,))  # the 8 bytes from every place on
+    words = [eight[starts + k].astype(np.uint64) for k in range(0, LENGTH - 8, 8)]
+    words.append(eight[starts + LENGTH - 8].astype(np.uint64))  # the last overlaps the one before: no byte beyond LENGTH
+    order = np.argsort(words[0])
+    new = np.ones(len(starts), bool)
+    part = words[0][order]
+    new[1:] = part[1:] != part[:-1]
+    group = np.cumsum(new) - 1
+    differs = np.zeros(len(starts), bool)
+    for word in words[1:]:
+        part = word[order]
+        differs[1:] |= (part[1:] != part[:-1]) & ~new[1:]
+    mixed_groups = np.zeros(int(group[-1]) + 1 if len(group) else 0, bool)
+    mixed_groups[group[differs]] = True
+    rest = np.flatnonzero(mixed_groups[group]) if len(group) else np.zeros(0, np.int64)
+    if len(rest):
+        open_ = order[rest]
+        order[rest] = open_[np.lexsort((*[word[open_] for word in words[:0:-1]], group[rest]))]
+        for word in words[1:]:  # groups that are equal throughout stay as they are
+            part = word[order]
+            new[1:] |= part[1:] != part[:-1]
     return order, new
 
 
