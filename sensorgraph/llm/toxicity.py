@@ -240,7 +240,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     drawn = [known.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS) for k in (0, 1)]
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    sample = stored(texts.join(drawn[0].union(drawn[1]), "doc_id"), "labelled")
+    # At most 2 * SAMPLE_DOCS rows of two columns, so the texts stay where they are.
+    sample = stored(texts.join(F.broadcast(drawn[0].union(drawn[1])), "doc_id"), "labelled")
     words = F.array_distinct(F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: F.length(w) > 1))
     counts = sample.select("toxic", F.explode(words).alias("word")).groupBy("word")
     counts = stored(counts.agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")), "word-counts")
