@@ -132,15 +132,38 @@ def _pairs(group: pa.Table, percent: int) -> pa.Table:
 def _links(pairs: DataFrame, places: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs that do link, by the size of the intersection of their sets.
 
-    Only the sets of documents in a pair move: they are read from their blocks anew.
+    The set of ``b`` is made where its text lies, from its block; only that of ``a`` moves, once to each block that has
+    partners of it. A task holds one block and one batch of sets.
     """
-    ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    sets = _tokens_of(stored(_by_block(places.join(ends, "id")), "ends-by-block"), width)
+    ends = pairs.select(F.col("a").alias("id")).distinct()
+    sets = _tokens_of(stored(_by_block(places.join(ends, "id")), "ends-by-block"), width).select(F.col("id").alias("a"), "tokens")
+    partners = pairs.join(places.withColumnRenamed("id", "b"), "b").groupBy("block", "a").agg(F.collect_set("place").alias("places"))
     # Spark takes what a Python function returns to be as small as its input; such a side must never be broadcast.
-    left = pairs.join(sets.toDF("a", "n_a", "tokens_a").hint("merge"), "a")
-    both = left.join(sets.toDF("b", "n_b", "tokens_b").hint("merge"), "b")
-    common = F.size(F.array_intersect("tokens_a", "tokens_b"))
-    return both.where((100 + percent) * common >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+    moved = stored(partners, "partners").join(sets.hint("merge"), "a").select("block", "a", "places", "tokens")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            blocks, ends = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            wanted = batch.column(2).to_pylist()
+            found = []
+            for path in dict.fromkeys(blocks):
+                rows = [k for k, x in enumerate(blocks) if x == path]
+                at = sorted({x for k in rows for x in wanted[k]})
+                ids, tokens, sizes = _nodes(np.array(at, np.int64), path, width)
+                stop = np.cumsum(sizes)
+                near = {x: tokens[b - n : b] for x, b, n in zip(at, stop.tolist(), sizes.tolist(), strict=True)}
+                name = dict(zip(at, ids.tolist(), strict=True))
+                for k in rows:
+                    far = batch.column(3)[k].values.to_numpy().view(np.uint64)
+                    for x in wanted[k]:
+                        common = len(np.intersect1d(far, near[x], assume_unique=True))
+                        if (100 + percent) * common >= percent * (len(far) + len(near[x])):
+                            found.append((ends[k], name[x]))
+            columns = [pa.array([x[c] for x in found], pa.int64()) for c in (0, 1)]
+            yield pa.record_batch(columns, ["a", "b"])
+
+    by_block = moved.repartition(F.col("block")).sortWithinPartitions("block")
+    return by_block.mapInArrow(verify, "a long, b long")
 
 
 def near_duplicate_classes(
@@ -234,7 +257,10 @@ def near_duplicate_classes(
     votes = postings.select("token", "id", "n").join(centre, "token").where("id <> centre").groupBy("id", "n", "centre").count()
     votes = votes.where(F.col("count") * 32 >= F.col("n"))
     best = votes.groupBy("id").agg(F.max(F.struct("count", "centre")).alias("best"))
-    tried = stored(best.select(F.least("id", "best.centre").alias("a"), F.greatest("id", "best.centre").alias("b")).distinct(), "tried")
+    # Two nodes may name each other; the set that moves is that of a centre, which many partners share.
+    both = best.groupBy(F.least("id", "best.centre").alias("low"), F.greatest("id", "best.centre").alias("high"))
+    both = both.agg(F.min("best.centre").alias("a"))
+    tried = stored(both.select("a", F.when(F.col("a") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("b")), "tried")
     links = stored(_links(tried, places, width, percent), "links")
     labels = components(links)
 
