@@ -1,10 +1,12 @@
 """Operators against plain versions on small, awkward tables."""
 
+import itertools
 import random
 import re
 import struct
 from pathlib import Path
 
+import numpy as np
 import pytest
 
 from sensorgraph.llm import (
@@ -204,6 +206,59 @@ def test_packing(spark, none):
     assert packing.pack(none).count() == 0
 
 
+def test_program_places_pieces():
+    """The rounded program places nine in ten sequences, all reach the lower bound, and every piece is placed once."""
+    rng = np.random.default_rng(7)
+    for n, spread in ((1_200, 500), (12_000, 800)):
+        histogram = np.bincount(np.clip(rng.gamma(1.2, spread, n).astype(int), 1, 2048), minlength=2049)
+        lengths = np.flatnonzero(histogram)
+        counts = histogram[lengths]
+        plan, placed = packing.configurations(lengths, counts, 2048)
+        total = sum(times for _, times in plan)
+        assert (sum(pattern * times for pattern, times in plan) == counts).all()
+        assert all(pattern @ lengths <= 2048 for pattern, _ in plan)
+        assert total == -(-int(counts @ lengths) // 2048)
+        assert placed >= 0.9 * total
+    assert packing.configurations(np.zeros(0, np.int64), np.zeros(0, np.int64), 64) == ([], 0)
+
+
+def test_dearest_pattern_by_enumeration():
+    lengths, counts, prices = np.array([2, 3, 5, 7]), np.array([3, 1, 2, 1]), np.array([1.0, 1.7, 2.4, 4.1])
+    uses = [np.array(x) for x in itertools.product(*[range(n + 1) for n in counts])]
+    for capacity in (7, 11, 16):
+        best = max(float(x @ prices) for x in uses if x @ lengths <= capacity)
+        patterns = packing.dearest_patterns(prices, lengths, counts, capacity)
+        assert float(patterns[0] @ prices) == pytest.approx(best)
+        assert all((x <= counts).all() and x @ lengths <= capacity for x in patterns)
+
+
+def test_suffix_order():
+    """Against sorting the strings themselves, with much and little that agrees in its first bytes."""
+    rng = np.random.default_rng(3)
+    words = [b"alpha ", b"alphabet ", b"beta ", b"b "]
+    text = np.frombuffer(b"".join(words[k] for k in rng.integers(0, 4, 900)), np.uint8)
+    text = np.concatenate((text, rng.integers(0, 256, 700).astype(np.uint8), text[100:900]))
+    starts = np.arange(len(text) - suffix_dedup.LENGTH + 1)
+    order, new = suffix_dedup.suffix_order(text, starts)
+    strings = [text[k : k + suffix_dedup.LENGTH].tobytes() for k in starts]
+    ordered = [strings[k] for k in order]
+    assert ordered == sorted(strings)
+    assert new.tolist() == [True] + [a != b for a, b in itertools.pairwise(ordered)]
+
+
+def test_runs_of_sentences():
+    """The shortest runs with 2 sentences and 8 words from and up to each sentence, a long one alone, by plain search."""
+    rng = np.random.default_rng(5)
+    for _ in range(60):
+        words = rng.choice([1, 2, 3, 9, 17], rng.integers(0, 14)).tolist()
+        n = len(words)
+        fit = {(p, q) for p in range(n) for q in range(p + 1, n) if sum(words[p : q + 1]) >= 8}
+        wanted = {min(x for x in fit if x[0] == p) for p, _ in fit} | {max(x for x in fit if x[1] == q) for _, q in fit}
+        found = list(sentence_dedup.covering_runs(words, 2, 8, 16))
+        assert len(found) == len(set(found))
+        assert set(found) == wanted | {(p, p) for p in range(n) if words[p] >= 16}
+
+
 def test_language(spark, none):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     lang = {r["doc_id"]: r["lang"] for r in docs.collect()}
