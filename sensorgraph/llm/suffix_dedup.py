@@ -116,30 +116,37 @@ def _dictionary_rows(group: pa.Table, bits: int) -> pa.Table:
 def suffix_order(text: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of ``text`` in the order of their next LENGTH bytes, and whether each differs from the one before.
 
-    Places are sorted by 8 bytes; of those that agree in them, only groups that are not equal throughout are sorted on.
+    Places are sorted by 8 bytes. Groups that agree in them but are not equal throughout are sorted by the next 8, and so
+    on; one word of 8 bytes per place is held at a time.
     """
     padded = np.concatenate((text, np.zeros(8, np.uint8)))
     eight = np.ndarray(len(text) + 1, ">u8", padded, strides=(1,))  # the 8 bytes from every place on
-    words = [eight[starts + k].astype(np.uint64) for k in range(0, LENGTH - 8, 8)]
-    words.append(eight[starts + LENGTH - 8].astype(np.uint64))  # the last overlaps the one before: no byte beyond LENGTH
-    order = np.argsort(words[0])
+
+    def word(places: np.ndarray, k: int) -> np.ndarray:
+        return eight[starts[places] + k].astype(np.uint64)
+
+    steps = [*range(8, LENGTH - 8, 8), LENGTH - 8]  # the last overlaps the one before: no byte beyond LENGTH
+    first = eight[starts].astype(np.uint64)
+    order = np.argsort(first)
+    first = first[order]
     new = np.ones(len(starts), bool)
-    part = words[0][order]
-    new[1:] = part[1:] != part[:-1]
-    group = np.cumsum(new) - 1
+    new[1:] = first[1:] != first[:-1]
+    del first
     differs = np.zeros(len(starts), bool)
-    for word in words[1:]:
-        part = word[order]
+    for k in steps:
+        part = word(order, k)
         differs[1:] |= (part[1:] != part[:-1]) & ~new[1:]
-    mixed_groups = np.zeros(int(group[-1]) + 1 if len(group) else 0, bool)
-    mixed_groups[group[differs]] = True
-    rest = np.flatnonzero(mixed_groups[group]) if len(group) else np.zeros(0, np.int64)
-    if len(rest):
-        open_ = order[rest]
-        order[rest] = open_[np.lexsort((*[word[open_] for word in words[:0:-1]], group[rest]))]
-        for word in words[1:]:  # groups that are equal throughout stay as they are
-            part = word[order]
-            new[1:] |= part[1:] != part[:-1]
+    left = np.logical_or.reduceat(differs, np.flatnonzero(new)) if len(starts) else differs
+    left = np.flatnonzero(left[np.cumsum(new) - 1])
+    for k in steps:
+        if not len(left):
+            break
+        group, part = np.cumsum(new[left]), word(order[left], k)
+        by = np.lexsort((part, group))
+        order[left], part = order[left][by], part[by]
+        new[left[1:]] |= part[1:] != part[:-1]
+        alone = new[left] & np.append(new[left[1:]], True)
+        left = left[~alone]
     return order, new
 
 
