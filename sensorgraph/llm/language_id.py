@@ -17,7 +17,8 @@ from sensorgraph.operators.storage import stored
 CELLS = 1 << 16
 #: Expected number of labelled texts per language that the text model is fitted on, drawn by hash of the id.
 SAMPLE_TEXTS = 2000
-MOST_LANGUAGES = 64
+#: Languages with a text model, those with most labelled texts; a model takes 256 KB on the driver and per worker.
+MOST_LANGUAGES = 512
 #: A text counts as at most so many independent trigrams: neighbours overlap, so long texts would be too sure.
 TEXT_WEIGHT = 120
 #: Pseudo-counts with which a level of the address (suffix, domain, host) leans on the level above.
@@ -36,28 +37,30 @@ def _owners(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def fit_text(rows: DataFrame, languages: list[str], totals: dict[str, int]) -> np.ndarray:
     """Log probability of each trigram cell per language, from a drawn sample of labelled texts."""
-    share = F.lit(0.0)
-    for name in languages:
-        share = F.when(F.col("lang") == name, min(1.0, SAMPLE_TEXTS / totals[name])).otherwise(share)
-    drawn = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(1_000_000)) < share * 1_000_000).select("lang", "text")
-    number = {name: k for k, name in enumerate(languages)}
+    shares = [(name, k, min(1.0, SAMPLE_TEXTS / totals[name])) for k, name in enumerate(languages)]
+    shares = F.broadcast(rows.sparkSession.createDataFrame(shares, "lang string, which int, share double"))
+    lot = F.pmod(F.xxhash64("id", "text"), F.lit(1_000_000))
+    drawn = rows.join(shares, "lang").where(lot < F.col("share") * 1_000_000).select("which", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(languages), CELLS), np.int64)
         for batch in batches:
             data, offsets = byte_column(batch.column(1))
-            for k, name in enumerate(batch.column(0).to_pylist()):
-                text = data[offsets[k] : offsets[k + 1]]
-                if len(text) > 2:
-                    total[number[name]] += np.bincount(_cells(text), minlength=CELLS)
-        which, cell = np.nonzero(total)
-        yield pa.record_batch([pa.array(which), pa.array(cell), pa.array(total[which, cell])], ["which", "cell", "n"])
+            which = batch.column(0).to_numpy().astype(np.int64)
+            for a, b in pieces(offsets):
+                part = data[offsets[a] : offsets[b]]
+                _, n = _owners(offsets[a : b + 1])
+                owner = np.repeat(np.arange(a, b), n)
+                inside = np.repeat(offsets[a:b] - offsets[a], n) + np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+                if len(owner):
+                    found, times = np.unique(which[owner] * CELLS + _cells(part)[inside], return_counts=True)
+                    columns = [pa.array((found // CELLS).astype(np.int32)), pa.array((found % CELLS).astype(np.int32)), pa.array(times)]
+                    yield pa.record_batch(columns, ["which", "cell", "n"])
 
-    counted = drawn.mapInArrow(count, "which long, cell long, n long").groupBy("which", "cell").agg(F.sum("n").alias("n"))
-    table = np.full((CELLS, len(languages)), 0.5)
-    found = counted.toPandas()  # at most CELLS rows per language
-    table[found["cell"].to_numpy(np.int64), found["which"].to_numpy(np.int64)] += found["n"].to_numpy(float)
-    return np.log(table / table.sum(0)).astype(np.float32)
+    counted = drawn.mapInArrow(count, "which int, cell int, n long").groupBy("which", "cell").agg(F.sum("n").alias("n"))
+    table = np.full((CELLS, len(languages)), 0.5, np.float32)
+    found = counted.toArrow()  # at most CELLS rows per language
+    table[found["cell"].to_numpy(), found["which"].to_numpy()] += found["n"].to_numpy()
+    return np.log(table / table.sum(0, dtype=np.float64).astype(np.float32))
 
 
 def _text_scores(rows: DataFrame, model: np.ndarray, languages: list[str]) -> DataFrame:
@@ -109,28 +112,46 @@ def address_parts(url: Column) -> tuple[Column, Column, Column]:
     return none(host), none(domain), F.coalesce(none(path), none(last))
 
 
-def _posterior(rows: DataFrame, terms: Column) -> Column:
-    top = F.array_max(terms)
-    scaled = F.transform(terms, lambda x: F.exp(x - top))
-    total = F.aggregate(scaled, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(scaled, lambda x: x / total)
+def _named(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often an inner lambda uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+
+
+def _numbers(values) -> Column:
+    return F.array(*[F.lit(float(x)) for x in values])
+
+
+def _posterior(terms: Column) -> Column:
+    scaled = _named(F.array_max(terms), lambda top: F.transform(terms, lambda x: F.exp(x - top)))
+    return _named(scaled, lambda all_of: _named(_total(all_of), lambda total: F.transform(all_of, lambda x: x / total)))
+
+
+def _sums(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Sum of the posteriors of a group, as one array; languages are summed as rows, before they are shuffled."""
+    parts = rows.select(*keys, F.posexplode("p").alias("k", "x")).groupBy(*keys, "k").agg(F.sum("x").alias("x"))
+    ordered = F.array_sort(F.collect_list(F.struct("k", "x")))
+    return parts.groupBy(*keys).agg(F.transform(ordered, lambda e: e["x"]).alias(name))
 
 
-def _sums(grouped, size: int, name: str) -> DataFrame:
-    """Sum of the posteriors of a group, as one array."""
-    parts = grouped.agg(*[F.sum(F.col("p")[k]).alias(f"s{k}") for k in range(size)])
-    keys = [c for c in parts.columns if not c.startswith("s") or not c[1:].isdigit()]
-    return parts.select(*keys, F.array(*[F.col(f"s{k}") for k in range(size)]).alias(name))
+def _sum_of_all(rows: DataFrame, size: int) -> np.ndarray:
+    found = _sums(rows, [], "total").first()["total"]
+    return np.array(found) if found else np.zeros(size)
 
 
 def identify(
     rows: DataFrame,
     least_confidence: float = 0.5,
     wanted: list[str] | None = None,
+    most_languages: int = MOST_LANGUAGES,
 ) -> DataFrame:
     """Rows ``id, kind, text, lang, host, domain, suffix, markup`` to ``id, kind, host, language, confidence, accepted``.
 
-    ``lang`` labels the texts that the trigram model is fitted on and is used for nothing else. The posterior is the
+    ``lang`` labels the texts that the trigram model is fitted on and is used for nothing else; the model covers the
+    ``most_languages`` values with most labelled texts (ties by name), all rows are judged among these. The posterior is the
     product of the text likelihood, the likelihoods of the declared language and of the address suffix given the
     language, and the prior of the host. Those three are estimated from the text posteriors of all rows by grouped sums:
     host leans on domain, domain on all rows, each with pseudo-counts; a row's own posterior is taken out of its host.
@@ -143,9 +164,7 @@ def identify(
     small_batches(rows.sparkSession)
     rows = rows.withColumn("text", F.coalesce("text", F.lit("")))
     labels = rows.where(F.col("lang").isNotNull() & (F.col("text") != "")).groupBy("lang").count()
-    totals = {r["lang"]: r["count"] for r in labels.orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES + 1).collect()}
-    if len(totals) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    totals = {r["lang"]: r["count"] for r in labels.orderBy(F.desc("count"), "lang").limit(most_languages).collect()}
     languages = sorted(totals)
     if not languages:
         return rows.select(
@@ -153,40 +172,37 @@ def identify(
         )
     size = len(languages)
     scored = _text_scores(rows.drop("lang"), fit_text(rows, languages, totals), languages)
-    scored = stored(scored.withColumn("p", _posterior(scored, F.col("ll"))), "text-scores")
+    scored = stored(scored.withColumn("p", _posterior(F.col("ll"))), "text-scores")
     known = scored.where("n > 0")
-    world = known.agg(*[F.sum(F.col("p")[k]).alias(f"s{k}") for k in range(size)]).first()
-    world = np.array([x or 0.0 for x in world]) + 1.0
-    world = (world / world.sum()).tolist()
+    world = _sum_of_all(known, size) + 1.0
+    world = world / world.sum()
     evidence = scored
     for name in ("markup", "suffix"):  # P(declared | language), with pseudo-counts in proportion to all rows
         value = known.where(F.col(name).isNotNull())
-        all_of = value.agg(*[F.sum(F.col("p")[k]).alias(f"s{k}") for k in range(size)]).first()
-        all_of = [float(x or 0.0) for x in all_of]
-        per = _sums(value.groupBy(name), size, "in_group")
-        general = F.aggregate("in_group", F.lit(0.0), lambda a, x: a + x) / max(sum(all_of), 1e-9)
-        terms = [F.log((F.col("in_group")[k] + MARKUP_SMOOTHING * general) / (all_of[k] + MARKUP_SMOOTHING)) for k in range(size)]
-        per = stored(per.select(name, F.array(*terms).alias(f"ll_{name}")), f"{name}-likelihood")
+        all_of = _sum_of_all(value, size)
+        general = _total(F.col("in_group")) * (MARKUP_SMOOTHING / max(all_of.sum(), 1e-9))
+        below = _numbers(all_of + MARKUP_SMOOTHING)
+        terms = _named(general, lambda g: F.zip_with("in_group", below, lambda x, n: F.log((x + g) / n)))  # noqa: B023
+        per = stored(_sums(value, [name], "in_group").select(name, terms.alias(f"ll_{name}")), f"{name}-likelihood")
         evidence = evidence.join(per, name, "left")
-    by_domain = stored(_sums(known.where("domain is not null").groupBy("domain"), size, "in_domain"), "domains")
-    by_host = stored(_sums(known.where("host is not null").groupBy("host"), size, "in_host"), "hosts")
+    by_domain = stored(_sums(known.where("domain is not null"), ["domain"], "in_domain"), "domains")
+    by_host = stored(_sums(known.where("host is not null"), ["host"], "in_host"), "hosts")
     evidence = evidence.join(by_domain, "domain", "left").join(by_host, "host", "left")
+    nothing = F.array_repeat(F.lit(0.0), size)
 
-    def leaned(counts: str, above: list[Column]) -> list[Column]:
+    def leaned(counts: str, above: Column) -> Column:
         """Shares of a level without the row itself, smoothed by the level above."""
-        own = [F.when(F.col("n") > 0, F.col("p")[k]).otherwise(0.0) for k in range(size)]
-        left = [F.greatest(F.coalesce(F.col(counts)[k], own[k]) - own[k], F.lit(0.0)) for k in range(size)]
-        total = sum(left[1:], left[0])
-        return [(left[k] + HOST_SMOOTHING * above[k]) / (total + HOST_SMOOTHING) for k in range(size)]
-
-    domain = leaned("in_domain", [F.lit(x) for x in world])
-    evidence = evidence.withColumn("domain_share", F.array(*domain))
-    host = leaned("in_host", [F.col("domain_share")[k] for k in range(size)])
-    evidence = evidence.withColumn("host_share", F.array(*host))
-    says = lambda name, k: F.coalesce(F.col(f"ll_{name}")[k], F.lit(0.0))
-    terms = [F.col("ll")[k] + F.log(F.col("host_share")[k]) + says("markup", k) + says("suffix", k) for k in range(size)]
-    fused = evidence.withColumn("terms", F.array(*terms))
-    fused = fused.withColumn("posterior", _posterior(fused, F.col("terms")))
+        own = F.when(F.col("n") > 0, F.col("p")).otherwise(nothing)
+        others = F.zip_with(F.coalesce(F.col(counts), own), own, lambda a, x: F.greatest(a - x, F.lit(0.0)))
+        share = lambda left, total: F.zip_with(left, above, lambda a, x: (a + HOST_SMOOTHING * x) / total)
+        return _named(others, lambda left: _named(_total(left) + HOST_SMOOTHING, lambda total: share(left, total)))
+
+    evidence = evidence.withColumn("domain_share", leaned("in_domain", _numbers(world)))
+    evidence = evidence.withColumn("host_share", leaned("in_host", F.col("domain_share")))
+    terms = F.zip_with("ll", "host_share", lambda a, x: a + F.log(x))
+    for name in ("markup", "suffix"):
+        terms = F.zip_with(terms, F.coalesce(F.col(f"ll_{name}"), nothing), lambda a, x: a + x)
+    fused = evidence.withColumn("posterior", _posterior(terms))
     best = F.array_max("posterior")
     language = F.get(F.array(*[F.lit(x) for x in languages]), (F.array_position("posterior", best) - 1).cast("int"))
     accepted = (F.col("n") > 0) & (F.col("confidence") >= least_confidence)
