@@ -286,12 +286,15 @@ def propagate(
 
 
 def _propagate_tiles(rows, links, known, cols, hops, sensor, time, links_per_slot):
-    n_sensors, n_times = known.count(), rows.agg(F.approx_count_distinct(time)).first()[0]
-    blocks, time_blocks = 1 + n_sensors // tiles.SENSORS_PER_BLOCK, 1 + n_times // tiles.TIMES_PER_BLOCK
     types = dict(rows.dtypes)
-    spread = SpreadLinks(tiles.strips(links, blocks), max(1, links_per_slot // tiles.LINKS_PER_STRIP))
+    times = stored(rows.select(time).distinct(), "propagation-times")
+    n_sensors, n_times, n_links = known.count(), times.count(), links.count()
+    # From the second hop on nearly every sensor has a value at every time.
+    n_readings = rows.count() if hops == 1 else n_sensors * n_times
+    to = tiles.layout(n_sensors, n_times, n_readings, n_links, len(cols))
+    sensors, times = tiles.placed_sensors(known, sensor, to), tiles.placed_times(times, time, to)
+    strips = tiles.strips(links, sensors, sensor, links_per_slot)
     for _ in range(hops):
-        own = tiles.tiles(rows, cols, sensor, time, blocks, time_blocks)
-        joined = spread.join(stored(own, "propagation-tiles"), "__block")
-        rows = tiles.multiply(joined, cols, sensor, time, types)
+        own = stored(tiles.tiles(rows, cols, sensors, times, sensor, time), "propagation-tiles")
+        rows = tiles.multiply(tiles.cells(own, strips, sensors, times, sensor, time, to), cols, sensor, time, types, to)
     return rows

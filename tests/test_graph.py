@@ -217,6 +217,33 @@ def test_blocks_treat_missing_and_undefined_values_as_rows_do(spark):
     assert graph.propagate(df, links.limit(0), ["speed"], broadcast_rows=0).count() == 0
 
 
+def test_products_are_added_up_without_another_shuffle(spark, monkeypatch):
+    """Many cells, some of them without a sensor, a time or a reading: each sums its own, nothing is added up behind it."""
+    for name, size in (("MOST_IN_CELL", 60), ("LEAST_IN_CELL", 1), ("MOST_IN_TILE", 20), ("LINKS_PER_STRIP", 7), ("PRODUCTS", 16)):
+        monkeypatch.setattr(tiles, name, size)
+    plans, store = {}, tiles.stored
+    monkeypatch.setattr(tiles, "stored", lambda df, name: plans.update({name: plan(df)}) or store(df, name))
+    rows = [r for r in random_edges(9, 300, 25) if r[2]]
+    nodes = sorted({v for s, d, _ in rows for v in (s, d)})
+    panel = {(at(t), v): float((t * 7 + v * 3) % 11) for t in range(23) for v in nodes if (t * v) % 4 == 1}
+    df = spark.createDataFrame([(t, v, x) for (t, v), x in panel.items()], "timestamp timestamp_ntz, sensor_id long, speed double")
+    by_rows, by_blocks = [
+        {(r["timestamp"], r["sensor_id"]): r["speed"] for r in graph.propagate(df, edges(spark, rows), ["speed"], broadcast_rows=n, links_per_slot=7).collect()}
+        for n in (10**6, 0)
+    ]
+    close(by_blocks, by_rows)
+    above = plans["propagated"].split("MapInArrow")[0]
+    assert "Aggregate" not in above and "Exchange" not in above
+
+
+def test_cells_follow_the_bytes_that_move():
+    dense, sparse = tiles.layout(90_000, 720, 64_800_000, 6_000_000, 1), tiles.layout(90_000, 720, 5_700_000, 6_000_000, 1)
+    assert sparse.destinations > dense.destinations and sparse.times < dense.times  # fewer readings are copied more often
+    for many, times in ((540_000, 720), (1500, 260_000), (3, 10**7), (10**7, 1)):
+        to = tiles.layout(many, times, many * times, 60 * many, 2)
+        assert many / to.destinations * times / to.times * 2 <= 1.1 * tiles.MOST_IN_CELL
+
+
 def test_hub_of_transitions_can_be_split(spark):
     """With low limits the join of a hub's links with the totals is read in split partitions."""
     rows = spark.range(60_000).select(F.lit(0).alias("source_sensor"), F.col("id").alias("destination_sensor"), F.lit(1.0).alias("weight"))
