@@ -452,9 +452,8 @@ def _forecast(spark, sf, kind):
     inputs = ["speed", "neighbor_speed"]
     samples = panel.sequences(parted, SEQ.length, SEQ.horizon, "split", cols=inputs)
     widths = {f"{c}_sequence": SEQ.length for c in inputs}
-    flat = stored(
-        reshape.flatten_arrays(samples.withColumnRenamed("target", "actual"), widths), "samples"
-    )
+    # Written as arrays: neighbouring windows share all steps but one, which files compress and flat columns do not.
+    flat = reshape.flatten_arrays(stored(samples.withColumnRenamed("target", "actual"), "samples"), widths)
     features = [f"{c}_{k}" for c, width in widths.items() for k in range(width)]
     train = flat.where(F.col("split") == "train")
     validation = flat.where(F.col("split") == "validation")

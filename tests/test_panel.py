@@ -245,3 +245,13 @@ def test_filled_cells_are_not_shuffled(spark):
     text = plan(panel.dense_panel(readings, ["speed"], times=times, ids=ids, broadcast_rows=0, steps_per_task=5))
     assert text.index("Generate posexplode") < text.index("Exchange")
     assert panel.dense_panel(readings.limit(0), ["speed"], broadcast_rows=0).count() == 0
+
+
+def test_forecast_samples_are_stored_as_arrays(spark, monkeypatch):
+    """Windows that overlap by all steps but one: as flat columns they would be written anew for every step."""
+    from sensorgraph.catalog import network
+
+    kinds, store = {}, network.stored
+    monkeypatch.setattr(network, "stored", lambda df, name: kinds.update({name: dict(df.dtypes)}) or store(df, name))
+    network._forecast(spark, "/root/testdata/sf0.001", "huber")
+    assert [kinds["samples"][f"{c}_sequence"] for c in ("speed", "neighbor_speed")] == ["array<double>"] * 2
