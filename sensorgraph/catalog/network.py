@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sensorgraph.catalog import fixtures as fx
@@ -622,6 +625,8 @@ def n09(spark, sf):
     times, ids = panel.time_index(scaled), panel.node_ids(edges)
     cells = panel.dense_panel(scaled, MODEL_INPUTS, times=times, ids=ids)
     found = panel.sequences(cells, SEQ.length, SEQ.horizon, cols=MODEL_INPUTS)
-    total = lambda c: F.aggregate(F.transform(f"{c}_sequence", lambda x, i: x * (i + 1)), F.lit(0.0), lambda a, x: a + x)
+    # Element by element: functions over arrays are interpreted, and there are 12 steps of every column in every row.
+    step_of = lambda c, i: F.get(f"{c}_sequence", F.lit(i)) * (i + 1)
+    total = lambda c: reduce(Column.__add__, [step_of(c, i) for i in range(SEQ.length)], F.lit(0.0))
     shown_ = found.select("node_id", "sensor_id", "timestamp", "time_index", *[total(c).alias(f"{c}_sequence") for c in MODEL_INPUTS], "target")
     return rounded(shown_, 4, **{f"{c}_sequence": 2 for c in MODEL_INPUTS if "std" in c})

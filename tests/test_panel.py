@@ -255,3 +255,9 @@ def test_forecast_samples_are_stored_as_arrays(spark, monkeypatch):
     monkeypatch.setattr(network, "stored", lambda df, name: kinds.update({name: dict(df.dtypes)}) or store(df, name))
     network._forecast(spark, "/root/testdata/sf0.001", "huber")
     assert [kinds["samples"][f"{c}_sequence"] for c in ("speed", "neighbor_speed")] == ["array<double>"] * 2
+
+
+def test_shown_sequences_are_summed_without_interpreted_functions(spark):
+    from sensorgraph.catalog import network
+
+    assert "lambdafunction" not in plan(network.n09(spark, "/root/testdata/sf0.001"))
