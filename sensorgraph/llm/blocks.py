@@ -32,10 +32,13 @@ def file_system(path: str):
     return fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", path))
 
 
-def bucket_bits(df: DataFrame) -> int:
-    """Buckets in proportion to the input, as a power of two; at least 256."""
+def bucket_bits(df: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """Buckets in proportion to the input, as a power of two; at least 256.
+
+    Blocks grow with the input too, and each has a row per bucket: small buckets make many rows of few codes.
+    """
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return min(40, max(8, (size // BUCKET_BYTES).bit_length()))
+    return min(40, max(8, (size // bucket_bytes).bit_length()))
 
 
 def by_bucket(codes: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:

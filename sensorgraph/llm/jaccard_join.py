@@ -16,6 +16,8 @@ from sensorgraph.llm.text import NOT_WHITE, mixed, pieces, ranges, span_hashes,
 from sensorgraph.operators.storage import stored
 
 WIDTH, PERCENT = 5, 75
+#: Input per bucket of the exchange of codes. With 30 GB a block still has some 60 codes for each bucket.
+BUCKET_BYTES = 16 << 20
 #: Seeds of the token orders by which candidates are filtered; each order is by frequency first.
 ORDERS = (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0)
 
@@ -86,6 +88,11 @@ def _nodes(places: np.ndarray, path: str, width: int) -> tuple[np.ndarray, np.nd
     return ids[places], tokens, sizes
 
 
+def _spread(places: DataFrame) -> DataFrame:
+    """Blocks dealt over all tasks: a number that is given is kept, however few bytes name the blocks."""
+    return places.repartition(int(places.sparkSession.conf.get("spark.sql.shuffle.partitions")), "block")
+
+
 def _tokens_of(places: DataFrame, width: int) -> DataFrame:
     """``id, n, tokens`` of the texts at ``block, places``, read from their blocks."""
 
@@ -97,7 +104,7 @@ def _tokens_of(places: DataFrame, width: int) -> DataFrame:
                 lists = pa.ListArray.from_arrays(ends, tokens.view(np.int64))
                 yield pa.record_batch([pa.array(ids), pa.array(sizes.astype(np.int64)), lists], ["id", "n", "tokens"])
 
-    return places.repartition(F.col("block")).mapInArrow(run, "id long, n long, tokens array<long>")
+    return _spread(places).mapInArrow(run, "id long, n long, tokens array<long>")
 
 
 def _by_block(rows: DataFrame) -> DataFrame:
@@ -105,8 +112,20 @@ def _by_block(rows: DataFrame) -> DataFrame:
     return rows.groupBy("block").agg(F.sort_array(F.collect_set("place")).alias("places"))
 
 
-def _in_order(tokens: np.ndarray, levels: np.ndarray, seed: int) -> np.ndarray:
-    return np.lexsort((mixed(tokens ^ np.uint64(seed)), levels))
+def _prefix_rows(ids: np.ndarray, tokens: np.ndarray, sizes: np.ndarray, levels: np.ndarray, percent: int) -> pa.Table:
+    """Tokens of the sets' prefixes that another set has, with their place, under each order (``turn``)."""
+    owner = np.repeat(np.arange(len(ids)), sizes)
+    central = np.bincount(owner, levels, len(ids)) / np.maximum(sizes, 1)
+    place = ranges(np.zeros(len(sizes), np.int64), sizes)
+    inside = place < (sizes - _least_overlap(sizes, percent) + 1)[owner]
+    out = []
+    for turn, seed in enumerate(ORDERS):
+        order = np.lexsort((mixed(tokens ^ np.uint64(seed)), levels, owner))
+        at = np.flatnonzero(inside & (levels[order] > 1))
+        mine = owner[at]
+        columns = [np.full(len(at), turn, np.int32), tokens[order[at]].view(np.int64), place[at], ids[mine], sizes[mine].astype(np.int64), central[mine]]
+        out.append(pa.table([pa.array(c) for c in columns], ["turn", "token", "at", "id", "n", "central"]))
+    return pa.concat_tables(out)
 
 
 def _pairs(group: pa.Table, percent: int) -> pa.Table:
@@ -152,8 +171,9 @@ def near_duplicate_classes(
     1. Order by hash: a set's head, long enough that any partner shares ``1 + n / 16`` tokens of it, is sent as 5-byte
        codes. Documents with fewer shared codes have no link and go no further.
     2. Documents with equal sets are one node. Tokens of nodes get their frequency class by the same exchange.
-    3. Orders by (frequency class, seeded hash): under each a linked pair shares a token of both prefixes. Each node is
-       tried with the most central node of its prefix tokens; the links found give components.
+    3. Orders by (frequency class, seeded hash): under each a linked pair shares a token of both prefixes. Only these
+       prefixes are written and moved, not the nodes' whole sets. Each node is tried with the most central node of its
+       prefix tokens; the links found give components.
     4. What is left: tokens of prefixes whose documents are in several components. Pairs of different components that
        share such a token under every order (and pass the bounds of size and position) are intersected over the orders and
        verified on the whole sets. Pairs within a component are never made, so a group of copies costs one pair each.
@@ -162,7 +182,7 @@ def near_duplicate_classes(
     smallest number and given back as null); rows that repeat an id are one document; an empty table gives no row.
     Shingles are compared by 64-bit hashes.
     """
-    bits = bucket_bits(docs)
+    bits = bucket_bits(docs, BUCKET_BYTES)
 
     def head_codes(ids: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         return doubled(*_heads(*shingle_sets(data, offsets, width), percent))
@@ -182,8 +202,7 @@ def near_duplicate_classes(
                 _, tokens, _ = _nodes(np.array(places, np.int64), path, width)
                 yield code_rows(path, np.sort(tokens), bits)
 
-    spread = chosen.repartition(F.col("block"))
-    classes = code_levels(spread.mapInArrow(node_codes, "block string, bucket long, payload binary"))
+    classes = code_levels(_spread(chosen).mapInArrow(node_codes, "block string, bucket long, payload binary"))
 
     def node_rows(group: pa.Table) -> pa.Table:
         path, places = group.column("block")[0].as_py(), group.column("places")[0].as_py()
@@ -191,43 +210,11 @@ def near_duplicate_classes(
         order = np.argsort(tokens, kind="stable")
         level = np.empty(len(tokens), np.uint8)
         level[order] = levels_of(group, tokens[order], bits)
-        stop = np.cumsum(sizes)
-        parts = [slice(b - n, b) for b, n in zip(stop.tolist(), sizes.tolist(), strict=True)]
-        rows = [(int(i), p.stop - p.start, tokens[p].view(np.int64), level[p]) for i, p in zip(ids, parts, strict=True)]
-        return pa.table(
-            {
-                "id": pa.array([r[0] for r in rows], pa.int64()),
-                "n": pa.array([r[1] for r in rows], pa.int64()),
-                "central": pa.array([float(r[3].mean()) for r in rows], pa.float64()),
-                "tokens": pa.array([r[2] for r in rows], pa.list_(pa.int64())),
-                "levels": pa.array([r[3].tobytes() for r in rows], pa.binary()),
-            }
-        )
-
-    kinds = "id long, n long, central double, tokens array<long>, levels binary"
-    nodes = stored(classes.hint("merge").join(chosen, "block").groupBy("block").applyInArrow(node_rows, kinds), "nodes")
-
-    def prefixes(rows: DataFrame, seed: int) -> DataFrame:
-        """Tokens of the nodes' prefixes that another node has, with their place in the order."""
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                out = []
-                for k in range(batch.num_rows):
-                    tokens = batch.column(3)[k].values.to_numpy().view(np.uint64)
-                    level = np.frombuffer(batch.column(4)[k].as_py(), np.uint8)
-                    order = _in_order(tokens, level, seed)[: len(tokens) - int(_least_overlap(np.int64(len(tokens)), percent)) + 1]
-                    at = np.flatnonzero(level[order] > 1)
-                    out.append((tokens[order[at]].view(np.int64), at))
-                many = [len(x) for x, _ in out]
-                row = pa.array(np.repeat(np.arange(len(out)), many))
-                columns = [pa.array(np.concatenate([x[c] for x in out])) for c in (0, 1)]
-                columns += [batch.column(c).take(row) for c in (0, 1, 2)]
-                yield pa.record_batch(columns, ["token", "at", "id", "n", "central"])
-
-        return rows.mapInArrow(run, "token long, at long, id long, n long, central double")
-
-    postings = stored(prefixes(nodes, ORDERS[0]), "prefix-tokens")
+        return _prefix_rows(ids, tokens, sizes, level, percent)
+
+    kinds = "turn int, token long, at long, id long, n long, central double"
+    prefixes = stored(classes.hint("merge").join(chosen, "block").groupBy("block").applyInArrow(node_rows, kinds), "prefix-tokens")
+    postings = prefixes.where("turn = 0")
     centre = postings.groupBy("token").agg(F.max(F.struct("central", (-F.col("id")).alias("minus"))).alias("top"), F.count("*").alias("m"))
     centre = stored(centre.where("m > 1").select("token", (-F.col("top.minus")).alias("centre")), "centres")
     # Only a pair that shares a fair part of a prefix is worth moving two sets; the rest is left to the filters below.
@@ -238,15 +225,15 @@ def near_duplicate_classes(
     links = stored(_links(tried, places, width, percent), "links")
     labels = components(links)
 
-    own = postings.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    own = postings.select("token", "at", "id", "n").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     several = own.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     open_tokens = stored(several.where("low < high").select("token"), "open-tokens")
     open_rows = stored(own.join(open_tokens, "token"), "open-rows")
     if not open_rows.isEmpty():
-        some = stored(nodes.join(open_rows.select("id").distinct(), "id"), "open-nodes")
+        open_nodes = stored(open_rows.select("id", "label").distinct(), "open-nodes")
         cell = F.pmod("token", F.lit(1 << bits))  # several tokens a group; all rows of a token are in one
-        of_order = [open_rows, *[prefixes(some, seed).join(labels, "id", "left").withColumn("label", F.coalesce("label", "id")) for seed in ORDERS[1:]]]
-        found = [rows.groupBy(cell).applyInArrow(lambda g: _pairs(g, percent), "a long, b long").distinct() for rows in of_order]
+        others = [prefixes.where(F.col("turn") == k).select("token", "at", "id", "n").join(open_nodes, "id") for k in range(1, len(ORDERS))]
+        found = [rows.groupBy(cell).applyInArrow(lambda g: _pairs(g, percent), "a long, b long").distinct() for rows in [open_rows, *others]]
         pairs = stored(reduce(lambda x, y: x.join(y, ["a", "b"]), found), "pairs")
         links = links.union(stored(_links(pairs, places, width, percent), "more-links"))
     labels = components(links.union(copies.where("a <> b")))

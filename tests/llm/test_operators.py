@@ -179,6 +179,57 @@ def test_jaccard_classes(spark, odd, none):
     assert len(found) == len(ODD) and {(r["doc_id"], r["component_id"]) for r in found} >= {(12, 12), (13, 12), (20, 3), (None, None)}
 
 
+def test_jaccard_moves_no_whole_sets(spark, monkeypatch):
+    """Between blocks only codes and prefixes move, whichever side would have been broadcast; a pair's sets move to be verified."""
+    written, keep = {}, jaccard_join.stored
+
+    def stored(df, name):
+        written[name] = keep(df, name)
+        return written[name]
+
+    monkeypatch.setattr(jaccard_join, "stored", stored)
+    rows = []
+    for group in range(4):  # each copy links with its neighbours in a chain, and all have one passage of another class
+        words = prose(300 + group, 120).split()
+        for k in range(10):
+            words = [*words[3:], *prose(400 + 10 * group + k, 3).split()]
+            rows.append((3000 + 10 * group + k, " ".join(words)))
+    rows += [(4000 + k, " ".join([*prose(500 + k, 60).split(), *rows[10 * (k % 4)][1].split()[:30]])) for k in range(12)]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = tuples(jaccard_join.near_duplicate_classes(frame(spark, rows).repartition(5)), "doc_id", "n_shingles", "component_id")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert found == sorted(jaccard_classes(rows), key=repr)
+    assert {"prefix-tokens", "open-nodes", "pairs"} <= set(written) and written["open-nodes"].count() > 0
+    assert [n for n, df in written.items() if any(kind.startswith(("array<bigint>", "binary")) and c != "places" for c, kind in df.dtypes)] == []
+
+
+def test_jaccard_prefixes():
+    r = np.random.default_rng(5)
+    sizes = np.array([1, 3, 4, 40, 100])
+    tokens = r.integers(0, 1 << 64, sizes.sum(), dtype=np.uint64)
+    levels = r.integers(1, 6, len(tokens)).astype(np.uint8)
+    found = jaccard_join._prefix_rows(np.array([5, 4, 9, 7, 1]), tokens, sizes, levels, 75).to_pylist()
+    wanted, first = [], 0
+    for id_, n in zip([5, 4, 9, 7, 1], sizes.tolist(), strict=True):
+        mine = slice(first, first + n)
+        for turn, seed in enumerate(jaccard_join.ORDERS):
+            order = sorted(zip(levels[mine].tolist(), jaccard_join.mixed(tokens[mine] ^ np.uint64(seed)).tolist(), tokens[mine].view(np.int64).tolist(), strict=True))
+            head = enumerate(order[: n - -(-n * 75 // 100) + 1])
+            wanted += [(turn, token, at, id_, n, float(levels[mine].mean())) for at, (level, _, token) in head if level > 1]
+        first += n
+    assert sorted(tuple(row.values()) for row in found) == sorted(wanted)
+
+
+def test_jaccard_codes_per_bucket(spark):
+    """Blocks and buckets both grow with the input; with 30 GB a block's row of a bucket is still mostly codes."""
+    bits = jaccard_join.bucket_bits(spark.range((30 << 30) // 8), jaccard_join.BUCKET_BYTES)
+    codes = np.sort(np.random.default_rng(1).integers(0, 1 << 64, 124_000, dtype=np.uint64))  # as many as nodes of a block sent at 0.51 GB
+    assert jaccard_join.code_rows("block", codes, bits).num_rows * 60 <= len(codes)
+
+
 def test_repeated_bytes(spark, none):
     r = random.Random(3)
     rows = [(k, "".join(r.choices("ab", k=r.randint(0, 400)))) for k in range(12)]
