@@ -81,11 +81,9 @@ def _survivors(group: pa.Table, width: int, percent: int, bits: int) -> pa.Table
 
 def _nodes(places: np.ndarray, path: str, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids, tokens and set sizes of some texts of a block."""
-    ids, data, offsets = block_texts(read_block(path))
-    lengths = np.diff(offsets)[places]
-    data = data[ranges(offsets[:-1][places], lengths)]
-    tokens, sizes = shingle_sets(data, np.concatenate(([0], np.cumsum(lengths))), width)
-    return ids[places], tokens, sizes
+    ids, data, offsets = block_texts(read_block(path).take(pa.array(places)))
+    tokens, sizes = shingle_sets(data, offsets, width)
+    return ids, tokens, sizes
 
 
 def _spread(places: DataFrame) -> DataFrame:
@@ -204,8 +202,8 @@ def near_duplicate_classes(
 
     classes = code_levels(_spread(chosen).mapInArrow(node_codes, "block string, bucket long, payload binary"))
 
-    def node_rows(group: pa.Table) -> pa.Table:
-        path, places = group.column("block")[0].as_py(), group.column("places")[0].as_py()
+    def node_rows(group: pa.Table, listed: pa.Table) -> pa.Table:
+        path, places = listed.column("block")[0].as_py(), listed.column("places")[0].as_py()
         ids, tokens, sizes = _nodes(np.array(places, np.int64), path, width)
         order = np.argsort(tokens, kind="stable")
         level = np.empty(len(tokens), np.uint8)
@@ -213,7 +211,8 @@ def near_duplicate_classes(
         return _prefix_rows(ids, tokens, sizes, level, percent)
 
     kinds = "turn int, token long, at long, id long, n long, central double"
-    prefixes = stored(classes.hint("merge").join(chosen, "block").groupBy("block").applyInArrow(node_rows, kinds), "prefix-tokens")
+    # Grouped beside the codes, not joined to them: the list of places would be repeated for each bucket of its block.
+    prefixes = stored(classes.groupBy("block").cogroup(chosen.groupBy("block")).applyInArrow(node_rows, kinds), "prefix-tokens")
     postings = prefixes.where("turn = 0")
     centre = postings.groupBy("token").agg(F.max(F.struct("central", (-F.col("id")).alias("minus"))).alias("top"), F.count("*").alias("m"))
     centre = stored(centre.where("m > 1").select("token", (-F.col("top.minus")).alias("centre")), "centres")

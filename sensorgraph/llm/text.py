@@ -13,6 +13,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 PIECE_BYTES = 1 << 20
+#: Bytes hashed at once. Each worker holds two tables of powers for twice as many, 8 bytes each.
+HASH_BYTES = 1 << 17
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 3
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 WHITE = np.zeros(256, bool)
@@ -75,7 +77,7 @@ def powers(base: int, count: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-_UP, _DOWN = powers(_MULTIPLIER, PIECE_BYTES * 2), powers(_INVERSE, PIECE_BYTES * 2)
+_UP, _DOWN = powers(_MULTIPLIER, HASH_BYTES * 2), powers(_INVERSE, HASH_BYTES * 2)
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool) -> np.ndarray:
@@ -85,7 +87,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
     first = 0
     while first < len(starts):
         low = starts[first]
-        after = int(np.searchsorted(starts, low + PIECE_BYTES, "left"))
+        after = int(np.searchsorted(starts, low + HASH_BYTES, "left"))
         high = int(ends[first:after].max())
         if high - low > len(_UP) - 1:  # a single huge word
             up, down = powers(_MULTIPLIER, high - low + 1), powers(_INVERSE, high - low + 1)

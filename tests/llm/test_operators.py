@@ -4,9 +4,12 @@ import itertools
 import random
 import re
 import struct
+import tracemalloc
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from sensorgraph.llm import (
@@ -17,6 +20,7 @@ from sensorgraph.llm import (
     quality_rules,
     sentence_dedup,
     suffix_dedup,
+    text,
     token_counts,
     toxicity,
     warc,
@@ -230,6 +234,56 @@ def test_jaccard_codes_per_bucket(spark):
     assert jaccard_join.code_rows("block", codes, bits).num_rows * 60 <= len(codes)
 
 
+def test_jaccard_memory_of_a_block(tmp_path):
+    """A worker holds small tables for hashes and a few bytes for each byte of the texts it reads again."""
+    texts = [prose(k, 400) for k in range(600)]
+    path, size = f"{tmp_path}/block.parquet", sum(map(len, texts))
+    pq.write_table(pa.table({"id": range(600), "text": texts}), path)
+    places = np.array([k for k in range(600) if k % 9])
+    tracemalloc.start()
+    try:
+        ids, tokens, sizes = jaccard_join._nodes(places, f"file:{path}", 5)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert text._UP.nbytes + text._DOWN.nbytes <= 4 << 20
+    assert size > 1_300_000 and most < 16 * size
+    assert ids.tolist() == places.tolist() and sizes.sum() == len(tokens)
+    starts = np.cumsum(sizes) - sizes
+    for k in (0, 1, 300, len(places) - 1):  # as the text alone gives
+        data = np.frombuffer(texts[places[k]].encode(), np.uint8)
+        alone, _ = jaccard_join.shingle_sets(data, np.array([0, len(data)]), 5)
+        assert alone.tolist() == tokens[starts[k] : starts[k] + sizes[k]].tolist()
+
+
+def test_hashes_of_words_in_windows():
+    """A word's hash does not depend on where the pieces end that are hashed at once, nor on its length."""
+    r = random.Random(8)
+    lengths = [r.randint(1, 30) for _ in range(40_000)]
+    lengths[100:100], lengths[9_000:9_000] = [text.HASH_BYTES], [3 * text.HASH_BYTES]
+    words = [r.randbytes(n).replace(b" ", b"_") for n in lengths]
+    data = np.frombuffer(b" ".join(words), np.uint8)
+    ends = np.cumsum([n + 1 for n in lengths]) - 1
+    found = text.span_hashes(data, ends - lengths, ends, lower=True)
+    for k in [*range(0, len(words), 97), 100, 9_000]:
+        word = np.frombuffer(words[k], np.uint8)
+        assert found[k] == text.span_hashes(word, np.array([0]), np.array([len(word)]), lower=True)[0]
+
+
+def test_jaccard_places_beside_codes(spark, monkeypatch):
+    """The list of a block's nodes reaches its task once, not with every bucket of the block."""
+    plans, keep = {}, jaccard_join.stored
+
+    def stored(df, name):
+        plans[name] = df._jdf.queryExecution().analyzed().toString()
+        return keep(df, name)
+
+    monkeypatch.setattr(jaccard_join, "stored", stored)
+    rows = [(k, prose(k // 3, 40) + f" tail{k}") for k in range(30)]
+    assert tuples(jaccard_join.near_duplicate_classes(frame(spark, rows)), "doc_id", "n_shingles", "component_id") == sorted(jaccard_classes(rows), key=repr)
+    assert "CoGroup" in plans["prefix-tokens"] and "Join" not in plans["prefix-tokens"]
+
+
 def test_repeated_bytes(spark, none):
     r = random.Random(3)
     rows = [(k, "".join(r.choices("ab", k=r.randint(0, 400)))) for k in range(12)]
