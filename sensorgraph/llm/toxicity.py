@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorgraph.llm.rows import small_batches
-from sensorgraph.llm.text import NOT_WHITE, byte_column, pieces, span_hashes, spans
+from sensorgraph.llm.text import NOT_WHITE, byte_column, pieces, ranges, span_hashes, spans
 from sensorgraph.operators.storage import stored
 
 #: Kernel: triples of letters within a span of SPAN characters, each character of the span weighing DECAY.
@@ -193,10 +194,20 @@ def _with_spelled(scorer, data, starts, ends, sentence, score):
     """Runs of three or more very short words of a sentence also count as one word written apart."""
     short = ends - starts <= _SHORT
     edge = np.diff(np.concatenate(([0], short.astype(np.int8), [0])))
-    for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True):
-        if b - a >= 3 and sentence[a] == sentence[b - 1]:
-            word = "".join(data[starts[k] : ends[k]].tobytes().decode() for k in range(a, b))
-            score[a] = max(score[a], float(scorer.direct([word])[0]))
+    begin, after = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    apart = after - begin >= 3
+    begin, after = begin[apart], after[apart]
+    apart = sentence[begin] == sentence[after - 1]
+    begin, after = begin[apart], after[apart]
+    if len(begin):  # all runs at once: a call of the scorer for each run costs most of the time
+        inside = ranges(begin, after - begin)
+        sizes = (ends - starts)[inside]
+        joined = data[ranges(starts[inside], sizes)].tobytes()
+        edges = np.concatenate(([0], np.cumsum(sizes)))[np.concatenate(([0], np.cumsum(after - begin)))].tolist()
+        words = [joined[a:b].decode() for a, b in itertools.pairwise(edges)]
+        distinct = list(dict.fromkeys(words))
+        found = dict(zip(distinct, scorer.direct(distinct).tolist(), strict=True))
+        score[begin] = np.maximum(score[begin], [found[word] for word in words])
     return score
 
 

@@ -409,6 +409,33 @@ def test_toxicity(spark, odd, none):
     assert max(r["score"] for r in toxicity.score(odd, blank).collect()) < 1e-6
 
 
+def test_toxicity_scores_spelled_words_at_once():
+    """Every run of short words of one sentence counts like the word it spells, and the runs share a call of the scorer."""
+    texts = ["An i d i o t said so", "a b. c d", "Word ß é É and I D I O T too. 1 2 3 all", "", "x y " * 40 + "end", "so i t\nis no w"] * 50
+    offsets = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    starts, ends, first = text.spans(data, offsets, text.NOT_WHITE)
+    sentence = np.cumsum(np.concatenate(([0], toxicity._ENDS[data])))[starts] + np.repeat(np.arange(len(texts)), np.diff(first))
+    words = [data[a:b].tobytes().decode() for a, b in zip(starts, ends, strict=True)]
+    calls = []
+
+    class Counted(toxicity.WordScores):
+        def direct(self, words):
+            calls.append(len(words))
+            return super().direct(words)
+
+    scorer = Counted(np.random.default_rng(3).normal(size=toxicity.LETTERS**3), -0.5)
+    expected, k = np.full(len(words), -3.0), 0
+    while k < len(words):
+        after = next((j for j in range(k, len(words)) if len(words[j].encode()) > 2), len(words))
+        if after - k >= 3 and sentence[k] == sentence[after - 1]:
+            expected[k] = max(-3.0, toxicity.WordScores.direct(scorer, ["".join(words[k:after])])[0])
+        k = after + 1
+    found = toxicity._with_spelled(scorer, data, starts, ends, sentence, np.full(len(words), -3.0))
+    assert (expected > -3).sum() >= 150 and np.array_equal(found, expected)
+    assert len(calls) == 1
+
+
 def test_quality(spark, odd, none):
     found = quality_rules.quality_verdicts(odd, most_docs=2).collect()
     assert len(found) == len(ODD)
