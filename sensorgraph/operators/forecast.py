@@ -10,11 +10,16 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sensorgraph.operators import boosting
+
 
 def fit_forecaster(
     train: DataFrame, features: Sequence[str], kind: str = "huber", label: str = "actual"
 ) -> PipelineModel:
-    """``huber``: linear regression with Huber loss; ``gbt``: gradient-boosted trees."""
+    """``huber``: linear regression with Huber loss; ``gbt``: gradient-boosted trees.
+
+    The trees are grown in passes over blocks of rows (see ``boosting``) and returned as Spark's own model.
+    """
     regressors = {
         "huber": lambda: LinearRegression(
             loss="huber", maxIter=50, featuresCol="x", labelCol=label, predictionCol="predicted"
@@ -26,7 +31,13 @@ def fit_forecaster(
     if kind not in regressors:
         raise ValueError(f"unknown forecaster {kind!r}; choose one of {', '.join(regressors)}")
     assembler = VectorAssembler(inputCols=list(features), outputCol="x", handleInvalid="keep")
-    return Pipeline(stages=[assembler, regressors[kind]()]).fit(train)
+    regressor = regressors[kind]()
+    spark = train.sparkSession
+    if kind == "huber":
+        return Pipeline(stages=[assembler, regressor]).fit(train)
+    rounds, depth, rate = regressor.getMaxIter(), regressor.getMaxDepth(), regressor.getStepSize()
+    trees, thresholds = boosting.fit_boosted_trees(train, features, label, rounds, depth, rate)
+    return PipelineModel([assembler, boosting.spark_model(spark, regressor, trees, thresholds, rate)])
 
 
 def persistence(seq: DataFrame, value: str = "speed") -> DataFrame:
