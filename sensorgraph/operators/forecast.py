@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorgraph.operators import boosting
+from sensorgraph.operators import boosting, huber
 
 
 def fit_forecaster(
@@ -18,7 +18,7 @@ def fit_forecaster(
 ) -> PipelineModel:
     """``huber``: linear regression with Huber loss; ``gbt``: gradient-boosted trees.
 
-    The trees are grown in passes over blocks of rows (see ``boosting``) and returned as Spark's own model.
+    Both are fitted in passes over blocks of rows (see ``huber`` and ``boosting``) and returned as Spark's own models.
     """
     regressors = {
         "huber": lambda: LinearRegression(
@@ -34,7 +34,8 @@ def fit_forecaster(
     regressor = regressors[kind]()
     spark = train.sparkSession
     if kind == "huber":
-        return Pipeline(stages=[assembler, regressor]).fit(train)
+        fitted = huber.fit_huber(train, features, label, regressor.getMaxIter(), regressor.getTol(), regressor.getEpsilon())
+        return PipelineModel([assembler, huber.spark_model(spark, regressor, fitted)])
     rounds, depth, rate = regressor.getMaxIter(), regressor.getMaxDepth(), regressor.getStepSize()
     trees, thresholds = boosting.fit_boosted_trees(train, features, label, rounds, depth, rate)
     return PipelineModel([assembler, boosting.spark_model(spark, regressor, trees, thresholds, rate)])

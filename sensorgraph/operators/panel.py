@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -191,27 +194,46 @@ def sequences(
     spread = panel.select(time, "time_index", *keys, *dict.fromkeys([*cols, target])).withColumn(
         "span", F.explode(F.when(first_steps, F.array(span, span - 1)).otherwise(F.array(span)))
     )
-    window = Window.partitionBy(*keys, "span").orderBy("time_index")
-    frame = window.rowsBetween(0, length - 1)
-    windowed = {
-        # Structs, because a plain list would skip the NULL of a masked cell.
-        "steps": F.collect_list(F.struct(*cols)).over(frame),
-        "last_index": F.lead("time_index", length - 1).over(window),
-        "target_index": F.lead("time_index", horizon).over(window),
-        "next_value": F.lead(target, horizon).over(window),
-    }
-    return (
-        spread.withColumns(windowed)
-        .where(F.col("target_index").isNotNull() & F.col("last_index").isNotNull())
-        .where(span == F.col("span"))
-        .select(
-            *keys,
-            time,
-            "time_index",
-            *[F.col("steps")[c].alias(f"{c}_sequence") for c in cols],
-            F.col("next_value").alias("target"),
-        )
+    types = {f.name: f.dataType for f in spread.schema}
+    kept = [*keys, time, "time_index"]
+    schema = T.StructType(
+        [T.StructField(c, types[c]) for c in kept]
+        + [T.StructField(f"{c}_sequence", T.ArrayType(types[c])) for c in cols]
+        + [T.StructField("target", types[target])]
     )
+    # In the order of the series a window is a run of rows, taken in whole batches: window functions build every array anew.
+    ordered = spread.withColumn("__own", span == F.col("span")).repartition(*keys, "span").sortWithinPartitions(*keys, "span", "time_index")
+    return ordered.mapInArrow(_windows(length, horizon, [*keys, "span"], kept, list(cols), target), schema)
+
+
+def _windows(length: int, horizon: int, keys: list[str], kept: list[str], cols: list[str], target: str):
+    """Per row its window and target, if both lie in its series and the row in its own span."""
+    reach = max(length - 1, horizon)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            rows = batch if held is None else pa.concat_batches([held, batch])
+            held = rows.slice(max(0, rows.num_rows - reach))
+            n = rows.num_rows - reach
+            if n <= 0:
+                continue
+            whole = rows["__own"].slice(0, n)
+            for key in keys:
+                here, there = rows[key].slice(0, n), rows[key].slice(reach)
+                equal = pc.fill_null(pc.equal(here, there), False)
+                if here.null_count:
+                    equal = pc.or_(equal, pc.and_(pc.is_null(here), pc.is_null(there)))
+                whole = pc.and_(whole, equal)
+            at = np.flatnonzero(whole.to_numpy(zero_copy_only=False))
+            steps = pa.array((at[:, None] + np.arange(length)).reshape(-1))
+            ends = pa.array(np.arange(len(at) + 1, dtype=np.int32) * length)
+            found = [rows[c].take(pa.array(at)) for c in kept]
+            found += [pa.ListArray.from_arrays(ends, rows[c].take(steps)) for c in cols]
+            found.append(rows[target].take(pa.array(at + horizon)))
+            yield pa.record_batch(found, names=[*kept, *[f"{c}_sequence" for c in cols], "target"])
+
+    return run
 
 
 def clean_features(

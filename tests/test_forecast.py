@@ -2,10 +2,10 @@ import numpy as np
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import functions as F
 
-from sensorgraph.operators import blocks, boosting, forecast
+from sensorgraph.operators import blocks, boosting, forecast, huber, panel
 
 NAMES = ["a", "b", "c"]
 
@@ -63,3 +63,52 @@ def test_blocks_are_read_as_they_were_written(windows):
     assert np.array_equal(next(blocks.unpacked(iter([row]))), block, equal_nan=True)
     assert (row["numbers"][0].as_buffer().size < block.nbytes / 4) == windows
     assert np.array_equal(next(blocks.unpacked(iter([blocks.packed(block[:, :1])]))), block[:, :1], equal_nan=True)
+
+
+def test_huber_fit_is_that_of_spark_in_few_passes(spark, samples, monkeypatch):
+    theirs = LinearRegression(loss="huber", maxIter=200, tol=1e-12, featuresCol="x", labelCol="actual")
+    wanted = Pipeline(stages=[VectorAssembler(inputCols=NAMES, outputCol="x"), theirs]).fit(samples).stages[1]
+    monkeypatch.setattr(LinearRegression, "_fit", lambda *a: pytest.fail("Spark keeps all rows as vectors"))
+    passes, reduced = [], blocks.reduced
+    monkeypatch.setattr(blocks, "reduced", lambda *a: passes.append(1) or reduced(*a))
+    found = forecast.fit_forecaster(samples, NAMES, "huber").stages[1]
+    assert len(passes) < 12
+    assert list(found.coefficients) == pytest.approx(list(wanted.coefficients), abs=1e-3)
+    assert (found.intercept, found.scale) == pytest.approx((wanted.intercept, wanted.scale), abs=1e-3)
+    rows = np.array(samples.select(*NAMES, "actual").collect())
+    loss = lambda m: huber.objective(rows[:, 3] - rows[:, :3] @ m.coefficients.toArray() - m.intercept, m.scale, 1.35)
+    assert loss(found) <= loss(wanted) * (1 + 1e-6)
+
+
+def test_huber_fit_of_mostly_zero_and_of_equal_labels(spark):
+    """Most labels zero: the line lies on them and the scale goes towards 0."""
+    r = np.random.default_rng(4)
+    rows = np.column_stack([r.random((500, 2)), np.where(r.random(500) < 0.9, 0, r.random(500) * 9)])
+    frame = lambda rows: spark.createDataFrame(np.asarray(rows).tolist(), "a double, b double, actual double")
+    found = forecast.fit_forecaster(frame(rows), ["a", "b"], "huber").stages[1]
+    assert max(map(abs, (*found.coefficients, found.intercept, found.scale))) < 1e-2
+    for label in (0.0, 7.0):
+        equal = frame(rows * [1, 1, 0] + [0, 0, label])
+        predicted = forecast.fit_forecaster(equal, ["a", "b"], "huber").transform(equal)
+        assert predicted.agg(F.max(F.abs(F.col("predicted") - label))).first()[0] < 1e-6
+    with pytest.raises(ValueError, match="nothing"):
+        forecast.fit_forecaster(frame(rows).limit(0), ["a", "b"], "huber")
+
+
+def test_windows_are_taken_in_batches(spark):
+    """Values that no number stands for stay in their windows, and windows go on over the ends of batches."""
+    df = spark.range(40).selectExpr(
+        "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, cast(id % 20 as int)) as timestamp", "id % 20 as time_index",
+        "id div 20 as node_id", "id div 20 as sensor_id", "if(id % 3 = 0, null, cast(id as string)) as speed",
+    )
+    usual = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+        found = panel.sequences(df, 4, 5, target="speed")
+        assert "Window" not in found._jdf.queryExecution().executedPlan().toString()
+        rows = found.orderBy("node_id", "time_index").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", usual)
+    value = lambda i: None if i % 3 == 0 else str(i)
+    wanted = [(20 * n + t, [value(20 * n + t + k) for k in range(4)], value(20 * n + t + 5)) for n in range(2) for t in range(15)]
+    assert [(20 * r["node_id"] + r["time_index"], r["speed_sequence"], r["target"]) for r in rows] == wanted
